@@ -45,10 +45,9 @@ def _marks(lines: DataFrame) -> DataFrame:
     )
 
 
-def _last(mark: str, where: Column | None = None) -> Column:
+def _last(mark: str) -> Column:
     """Last value of a mark in log order: an aggregate, combined map-side."""
-    known = F.col(mark).isNotNull() if where is None else F.col(mark).isNotNull() & where
-    return F.max_by(F.col(mark), F.when(known, F.col("position")))
+    return F.max_by(F.col(mark), F.when(F.col(mark).isNotNull(), F.col("position")))
 
 
 def dataset_status(lines: DataFrame) -> DataFrame:

@@ -117,16 +117,16 @@ def report_breakdown(reports: DataFrame) -> DataFrame:
 def with_totals(reports: DataFrame) -> DataFrame:
     """Totals of each run as the sums over its datasets."""
     zero = F.lit(0).cast("bigint")
+
+    def total(part: str) -> Column:
+        counts = F.transform("datasets", lambda d: F.coalesce(d[part], zero))
+        return F.coalesce(F.aggregate(counts, zero, lambda acc, n: acc + n), zero)
+
     sums = {
-        total: F.coalesce(
-            F.aggregate("datasets", zero, lambda acc, d, part=part: acc + F.coalesce(d[part], zero)), zero
-        )
-        for total, part in (
-            ("totals_items_scanned", "items_scanned"),
-            ("totals_succeeded", "succeeded"),
-            ("totals_failed", "failed"),
-            ("totals_skipped", "skipped"),
-        )
+        "totals_items_scanned": total("items_scanned"),
+        "totals_succeeded": total("succeeded"),
+        "totals_failed": total("failed"),
+        "totals_skipped": total("skipped"),
     }
     return reports.withColumns(sums)
 
