@@ -25,29 +25,19 @@ def parse_inverted_index(text: Column) -> Column:
     return F.map_entries(index)
 
 
-def _located_words(entries: Column) -> Column:
-    """One (unplaced, pos, word) per occurrence, in reading order."""
-    return F.sort_array(
-        F.flatten(
-            F.transform(
-                entries,
-                lambda entry: F.transform(
-                    entry["value"],
-                    lambda pos: F.struct(
-                        pos.isNull().alias("unplaced"),
-                        pos.alias("pos"),
-                        entry["key"].alias("word"),
-                    ),
-                ),
-            )
+def _placed_words(entries: Column) -> Column:
+    """One (pos, word) per occurrence."""
+    return F.flatten(
+        F.transform(
+            entries,
+            lambda entry: F.transform(
+                entry["value"],
+                lambda pos: F.struct(pos.alias("pos"), entry["key"].alias("word")),
+            ),
         )
     )
 
 
-def _text(words: Column) -> Column:
-    return F.array_join(F.transform(words, lambda w: w["word"]), " ")
-
-
 def abstract_from_json(text: Column) -> Column:
     """Words in order of (position, word), joined by a space.
 
@@ -55,12 +45,12 @@ def abstract_from_json(text: Column) -> Column:
     is not an integer give null.
     """
     return _bind(
-        _located_words(parse_inverted_index(text)),
-        # Unplaced words sort last, so the last element tells whether there are any.
+        F.sort_array(_placed_words(parse_inverted_index(text))),
+        # Null positions sort first, so the first element tells whether there are any.
         lambda words: F.when(
-            F.coalesce(F.try_element_at(words, F.lit(-1))["unplaced"], F.lit(False)),
+            F.get(words, F.lit(0)).isNotNull() & F.get(words, F.lit(0))["pos"].isNull(),
             F.lit(None).cast("string"),
-        ).otherwise(_text(words)),
+        ).otherwise(F.array_join(words["word"], " ")),
     )
 
 
@@ -70,4 +60,10 @@ def abstract_from_map(index: Column) -> Column:
     Words without positions are left out and null positions go last.
     """
     entries = F.filter(F.map_entries(index), lambda entry: entry["value"].isNotNull())
-    return _text(_located_words(entries))
+
+    def joined(words: Column) -> Column:
+        placed = F.filter(words, lambda w: w["pos"].isNotNull())
+        unplaced = F.filter(words, lambda w: w["pos"].isNull())
+        return F.array_join(F.concat(placed, unplaced)["word"], " ")
+
+    return _bind(F.sort_array(_placed_words(entries)), joined)

@@ -51,6 +51,10 @@ class IdScheme:
     def prefix(self) -> str:
         return f"https://{self.host}/"
 
+    @property
+    def url_pattern(self) -> str:
+        return rf"\Ahttps?://{re.escape(self.host)}/"
+
     @property
     def column_names(self) -> tuple[str, ...]:
         """Headers under which an id list may keep its ids."""
@@ -59,26 +63,33 @@ class IdScheme:
 
 def trim_space(text: Column) -> Column:
     """Trim every Unicode white space, not only the space character."""
-    return F.regexp_replace(text, r"(?U)\A\s+|\s+\z", "")
+    return F.regexp_replace(text, r"(?U)\A\s++|\s++\z", "")
 
 
-def _unquoted(raw: Column) -> Column:
+def unquoted(raw: Column) -> Column:
     return F.btrim(F.btrim(trim_space(raw), F.lit('"')), F.lit("'"))
 
 
+def short_form(text: Column, scheme: IdScheme) -> Column:
+    """Unquoted text without host and outer slashes."""
+    return F.btrim(F.regexp_replace(text, scheme.url_pattern, ""), F.lit("/"))
+
+
+def full_form(text: Column, scheme: IdScheme) -> Column:
+    """Unquoted text as a URL; one that is a URL already stays as it is."""
+    return F.when(text.rlike(scheme.url_pattern), text).otherwise(
+        F.concat(F.lit(scheme.prefix), F.btrim(text, F.lit("/")))
+    )
+
+
 def normalize_id(raw: Column, scheme: IdScheme) -> Column:
     """Short form: no outer quotes, host or slashes."""
-    host = rf"\Ahttps?://{re.escape(scheme.host)}/"
-    return F.btrim(F.regexp_replace(_unquoted(raw), host, ""), F.lit("/"))
+    return short_form(unquoted(raw), scheme)
 
 
 def canonical_id(raw: Column, scheme: IdScheme) -> Column:
-    """Full form as stored in the corpus; text that is a URL already stays as it is."""
-    text = _unquoted(raw)
-    is_url = text.startswith(scheme.prefix) | text.startswith(f"http://{scheme.host}/")
-    return F.when(is_url, text).otherwise(
-        F.concat(F.lit(scheme.prefix), F.btrim(text, F.lit("/")))
-    )
+    """Full form as stored in the corpus."""
+    return full_form(unquoted(raw), scheme)
 
 
 def _lookup(table: dict[str, str], key: Column) -> Column:
@@ -101,8 +112,11 @@ def dataset_of(normalized: Column) -> Column:
 def id_block(record_id: Column) -> Column:
     """Trailing number divided by 10000; null without digits or beyond 64 bits.
 
-    Beyond 32 bits the value wraps, as the stored column is an INT.
+    Beyond 32 bits the value wraps, as the stored column is an INT. The range is
+    tested on the text: a cast that fails row by row is very slow.
     """
-    number = F.regexp_extract(record_id, r"([0-9]+)\z", 1).try_cast("bigint")
-    block = F.call_function("div", number, F.lit(IDS_PER_BLOCK))
+    digits = F.regexp_extract(record_id, r"(?<![0-9])0*([0-9]+)\z", 1)
+    size = F.length(digits)
+    fits = size.between(1, 18) | ((size == 19) & (digits <= str(2**63 - 1)))
+    block = F.call_function("div", F.when(fits, digits.cast("bigint")), F.lit(IDS_PER_BLOCK))
     return (F.pmod(block + F.lit(2**31), F.lit(2**32)) - F.lit(2**31)).cast("int")

@@ -8,7 +8,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stackroom.functions.ids import IdScheme, canonical_id, dataset_of, id_block, normalize_id
+from stackroom.functions.ids import (
+    IdScheme,
+    dataset_of,
+    full_form,
+    id_block,
+    short_form,
+    unquoted,
+)
 from stackroom.functions.paths import scanned_file
 from stackroom.operators.keyed import fits_broadcast, semi_join
 from stackroom.plans.index import index_path
@@ -31,11 +38,19 @@ class Requests:
 
 def split_requests(raw: DataFrame, scheme: IdScheme, only: str = "all") -> Requests:
     """Route each ``raw`` id to its dataset; what has none (or another) is unknown."""
-    ids = raw.select(
-        "raw",
-        normalize_id(F.col("raw"), scheme).alias("normalized"),
-        canonical_id(F.col("raw"), scheme).alias("canonical"),
-    ).withColumn("dataset", dataset_of(F.col("normalized")))
+    # Column by column, so the parsing of one is not repeated in the next. The last
+    # step generates: a filter on its columns reads them, where Catalyst would copy
+    # the parsing of projected ones into the filter and run it twice.
+    routed = F.struct(
+        "normalized",
+        full_form(F.col("text"), scheme).alias("canonical"),
+        dataset_of(F.col("normalized")).alias("dataset"),
+    )
+    ids = (
+        raw.withColumn("text", unquoted(F.col("raw")))
+        .withColumn("normalized", short_form(F.col("text"), scheme))
+        .select("raw", F.inline(F.array(routed)))
+    )
     reason = F.when(F.col("dataset").isNull(), "unmapped id format/prefix")
     if only != "all":
         reason = reason.when(F.col("dataset") != only, f"filtered by --dataset={only}")

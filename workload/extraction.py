@@ -17,6 +17,7 @@ from stackroom.plans.extract import (
     split_requests,
 )
 from stackroom.plans.index import index_rows
+from stackroom.session import checkpointed
 from workload.tables import SCHEME, full_id, table
 
 
@@ -77,8 +78,9 @@ def _index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _hits(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    accepted = split_requests(_requests(spark, sf_dir), SCHEME).accepted
-    return accepted, lookup(_index(spark, sf_dir), accepted)
+    """Requests and index hits; both are used several times, so their lineage is cut."""
+    accepted = checkpointed(split_requests(_requests(spark, sf_dir), SCHEME).accepted)
+    return accepted, checkpointed(lookup(_index(spark, sf_dir), accepted))
 
 
 def id_blocks(spark, sf_dir):

@@ -22,7 +22,7 @@ def _words(text: Column) -> Column:
 
 def inverted_map(text: Column) -> Column:
     """word -> positions of a text, within the row: sort by word, then cut at each new word."""
-    located = F.array_sort(
+    located = F.sort_array(
         F.transform(_words(text), lambda w, i: F.struct(w.alias("word"), i.cast("bigint").alias("pos")))
     )
 
