@@ -11,7 +11,7 @@ from stackroom.functions.paths import RAW_WORKS, WORKS, scanned_file
 from stackroom.plans.outcome import Outcome, dataset_summary, failure_rows
 from stackroom.session import checkpointed
 from stackroom.sinks.outputs import replace_partitions
-from stackroom.sources.corpus import file_inventory, file_row_counts, path_exists, read_corpus
+from stackroom.sources.corpus import file_inventory, file_row_counts, read_corpus
 
 PARTITION = "updated_date"
 _NO_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -83,11 +83,9 @@ def run_enrich(spark: SparkSession, parquet_dir: str, overwrite: bool = False) -
     rebuilt whole when one of its files is newer than its output.
     """
     source_dir, output_dir = f"{parquet_dir}/{RAW_WORKS}", f"{parquet_dir}/{WORKS}"
-    if not path_exists(spark, source_dir):
-        raise FileNotFoundError(f"source corpus not found: {source_dir} (run download first)")
     source = checkpointed(file_inventory(spark, source_dir))
     if source.isEmpty():
-        raise FileNotFoundError(f"no parquet files under {source_dir}")
+        raise FileNotFoundError(f"no parquet files under {source_dir} (run download first)")
     by_partition = source.withColumn(PARTITION, partition_of(F.col("rel_path")))
     todo = (
         by_partition.select(PARTITION).distinct()

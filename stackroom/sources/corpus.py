@@ -20,14 +20,19 @@ def _parquet(spark: SparkSession) -> DataFrameReader:
     return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _listing(spark: SparkSession, path: str) -> DataFrame | None:
+    """Files below a path (content unread), None when there is no such path."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     try:
-        spark.read.format("binaryFile").load(path)
+        return reader.option("pathGlobFilter", "*.parquet").load(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return False
+            return None
         raise
-    return True
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    return _listing(spark, path) is not None
 
 
 def read_corpus(spark: SparkSession, *paths: str, merge_schema: bool = True) -> DataFrame:
@@ -46,14 +51,9 @@ def file_inventory(spark: SparkSession, root: str, folder: str = "") -> DataFram
     narrows the listing, the paths stay relative to ``root``.
     """
     where = f"{root.rstrip('/')}/{folder}" if folder else root
-    if not path_exists(spark, where):
+    files = _listing(spark, where)
+    if files is None:
         return spark.createDataFrame([], _INVENTORY)
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .load(where)
-    )
     return files.select(
         relative_path(F.col("path"), root).alias("rel_path"),
         "length",

@@ -15,7 +15,7 @@ def read_reports(spark: SparkSession, folder: str) -> DataFrame:
     Files of other names are passed over unread; a report that does not parse
     is an error.
     """
-    files = spark.read.option("wholetext", "true").text(folder)
+    files = spark.read.text(folder, wholetext=True)
     stamp = F.regexp_extract("_metadata.file_name", r"\A.+-([0-9]+)\.json\z", 1).try_cast("bigint")
     report = F.from_json("value", REPORT, {"mode": "FAILFAST"})
     return (
