@@ -20,6 +20,11 @@ def local_dir_for(dataset: Column) -> Column:
     return F.when(dataset == WORKS, F.lit(RAW_WORKS)).otherwise(dataset)
 
 
+def dataset_in(folder: Column) -> Column:
+    """Dataset whose downloads a folder holds: the other way round, null for made works."""
+    return F.when(folder == RAW_WORKS, F.lit(WORKS)).when(folder != WORKS, folder)
+
+
 def manifest_url_to_local(url: Column) -> Column:
     """Path below the corpus root for a manifest URL, null without the marker."""
     start = F.instr(url, URL_MARKER)

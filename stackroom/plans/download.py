@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stackroom.functions.paths import local_dir_for, manifest_url_to_local
+from stackroom.functions.paths import dataset_in, local_dir_for, manifest_url_to_local
 from stackroom.functions.runs import whole_gib, with_headroom
 from stackroom.plans.outcome import Outcome, dataset_summary, failure_rows
 from stackroom.session import checkpointed
@@ -95,11 +95,12 @@ def extra_failures(files: DataFrame, inventory: DataFrame, root: str = "") -> Da
     expected = files.withColumn("rel_path", manifest_url_to_local(F.col("url"))).where(
         F.col("rel_path").isNotNull()
     )
-    folders = expected.select("dataset", local_dir_for(F.col("dataset")).alias("folder")).distinct()
-    local = inventory.select("rel_path", F.substring_index("rel_path", "/", 1).alias("folder"))
-    # A few folders against all files: broadcast is left to Spark's own size check.
-    extra = local.join(folders, "folder").join(
-        expected.select("dataset", "rel_path"), ["dataset", "rel_path"], "left_anti"
+    folder = F.substring_index("rel_path", "/", 1)
+    local = inventory.select("rel_path", dataset_in(folder).alias("dataset"))
+    # Paths are unique, so the large join has no heavy key; what remains is then
+    # held against the few datasets.
+    extra = local.join(expected.select("dataset", "rel_path"), ["dataset", "rel_path"], "left_anti").join(
+        expected.select("dataset").distinct(), "dataset", "left_semi"
     )
     return failure_rows(
         extra,

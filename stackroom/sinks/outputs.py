@@ -11,15 +11,29 @@ def write_parquet(rows: DataFrame, path: str, overwrite: bool = False) -> None:
     rows.write.mode(mode).option("compression", "snappy").parquet(path)
 
 
+OPEN_PARTITIONS = 8
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
+
 def replace_partitions(rows: DataFrame, path: str, column: str) -> None:
-    """Write the partitions present in ``rows`` and leave the others as they are."""
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .partitionBy(column)
-        .parquet(path)
-    )
+    """Write the partitions present in ``rows`` and leave the others as they are.
+
+    A task reads whole files, so it meets few partitions: with that many files open
+    at a time Spark need not sort its rows by partition first.
+    """
+    conf = rows.sparkSession.conf
+    before = conf.get(_WRITERS)
+    conf.set(_WRITERS, str(OPEN_PARTITIONS))
+    try:
+        (
+            rows.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("compression", "snappy")
+            .partitionBy(column)
+            .parquet(path)
+        )
+    finally:
+        conf.set(_WRITERS, before)
 
 
 def write_csv_if_any(rows: DataFrame, path: str) -> bool:

@@ -352,6 +352,10 @@ _SNAPSHOT = f"""SELECT command, path AS report_path, started_at_unix, finished_a
    coalesce(duration_seconds, CAST(greatest(1706572800 - started_at_unix, 0) AS DOUBLE)) AS runtime_seconds,
    {_TOTAL_NAMES}"""
 
+_TOUCHED = """
+touched AS (SELECT 'user_' || user_id AS usr, max(epoch_us(ts) // 1000000) AS last_touch FROM events
+            WHERE event_type = 'purchase' GROUP BY 1)"""
+
 SQL = {
     "report_latest": f"""
         WITH {_REPORTS} SELECT command, path, stamp, {_TOTAL_NAMES} FROM totals
@@ -417,12 +421,16 @@ SQL = {
           SELECT dataset, line, CAST(row_number() OVER (PARTITION BY dataset ORDER BY at_us DESC, event_id DESC) AS INTEGER)
                  AS from_end FROM lines) WHERE from_end <= 2""",
     "pick_active_run": f"""
-        WITH {_REPORTS} {_SNAPSHOT} FROM totals WHERE finished_at_unix IS NULL ORDER BY stamp DESC, path LIMIT 1""",
+        WITH {_REPORTS}, {_TOUCHED},
+        open_runs AS (SELECT count(*) AS n FROM totals WHERE finished_at_unix IS NULL)
+        {_SNAPSHOT} FROM totals, open_runs
+        WHERE finished_at_unix IS NULL
+           OR (n = 0 AND command = 'index' AND usr IN (SELECT usr FROM touched WHERE 1706572800 - last_touch <= 300))
+        ORDER BY stamp DESC, path LIMIT 1""",
     "pick_recent_run": f"""
         WITH {_REPORTS}, finished AS (
           SELECT * REPLACE (coalesce(finished_at_unix, started_at_unix) AS finished_at_unix) FROM totals),
-        touched AS (SELECT 'user_' || user_id AS usr, max(epoch_us(ts) // 1000000) AS last_touch FROM events
-                    WHERE event_type = 'purchase' GROUP BY 1)
+        {_TOUCHED}
         {_SNAPSHOT} FROM finished WHERE command = 'index'
           AND usr IN (SELECT usr FROM touched WHERE 1706572800 - last_touch <= 300)
         ORDER BY stamp DESC, path LIMIT 1""",
