@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -54,8 +52,11 @@ def command_flow_rank(command: Column) -> Column:
 
 def parse_counter(line: Column, field: str) -> Column:
     """Unsigned number after the first ``field=``, null when it is not one."""
-    token = F.regexp_extract(line, rf"(?U){re.escape(field)}=\s*(\S+)", 1)
-    return F.when(token.rlike(r"\A\+?[0-9]+\z"), token.try_cast("bigint"))
+    key = f"{field}="
+    start = F.instr(line, key)
+    rest = F.substring(line, start + len(key), F.length(line))
+    digits = F.regexp_extract(rest, r"(?U)\A\s*\+?([0-9]+)(?!\S)", 1)
+    return F.when((start > 0) & (digits != ""), digits.try_cast("bigint"))
 
 
 def format_duration(seconds: Column) -> Column:

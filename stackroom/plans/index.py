@@ -47,27 +47,30 @@ def in_id_order(index: DataFrame) -> DataFrame:
     return index.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
-def indexable_datasets(spark: SparkSession, parquet_dir: str) -> list[str]:
-    names = [row["dataset"] for row in datasets_in(file_inventory(spark, parquet_dir)).collect()]
-    if not names:
-        raise FileNotFoundError(f"no parquet datasets found under {parquet_dir}")
-    return names
+def files_per_dataset(spark: SparkSession, parquet_dir: str, dataset: str = "all") -> dict[str, int]:
+    """Dataset names, sorted, with their number of files, from one listing."""
+    folder = "" if dataset == "all" else dataset
+    inventory = file_inventory(spark, parquet_dir, folder)
+    files = inventory.select(F.substring_index("rel_path", "/", 1).alias("dataset"))
+    counted = files.groupBy("dataset").count()
+    if dataset == "all":
+        counted = counted.join(datasets_in(inventory), "dataset", "left_semi")
+    found = {row["dataset"]: row["count"] for row in counted.collect()}
+    if not found:
+        raise FileNotFoundError(f"no parquet files found under {parquet_dir}/{folder}")
+    return dict(sorted(found.items()))
 
 
 def run_index(
     spark: SparkSession, parquet_dir: str, dataset: str = "all", overwrite: bool = False
 ) -> Outcome:
     """Write ``<dataset>_id_idx.parquet``; an index that exists is left unless ``overwrite``."""
-    names = indexable_datasets(spark, parquet_dir) if dataset == "all" else [dataset]
     counts, failed = [], []
-    for name in names:
+    for name, n_files in files_per_dataset(spark, parquet_dir, dataset).items():
         target = index_path(parquet_dir, name)
         if not overwrite and path_exists(spark, target):
             counts.append({"dataset": name, "skipped": 1})
             continue
-        n_files = file_inventory(spark, parquet_dir, name).count()
-        if n_files == 0:
-            raise FileNotFoundError(f"no parquet files found under {parquet_dir}/{name}")
         count = {"dataset": name, "items_scanned": n_files, "succeeded": n_files}
         try:
             rows = index_rows(read_corpus(spark, f"{parquet_dir}/{name}", merge_schema=False), parquet_dir)
@@ -185,7 +188,7 @@ def _verify_one(spark: SparkSession, parquet_dir: str, dataset: str) -> DataFram
 
 
 def run_verify_index(spark: SparkSession, parquet_dir: str, dataset: str = "all") -> Outcome:
-    names = indexable_datasets(spark, parquet_dir) if dataset == "all" else [dataset]
+    names = list(files_per_dataset(spark, parquet_dir)) if dataset == "all" else [dataset]
     counts, found = [], []
     for name in names:
         failures = _verify_one(spark, parquet_dir, name)
