@@ -17,6 +17,7 @@ from stackroom.plans.download import (
 from stackroom.plans.enrich import row_parity, stale
 from stackroom.plans.index import count_mismatch, dangling_files
 from stackroom.schemas import MANIFEST
+from stackroom.session import checkpointed
 from stackroom.sources.corpus import (
     decoded_row_counts,
     distinct_strings,
@@ -98,13 +99,20 @@ def _local(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.unionByName(returned)
 
 
+def _checked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Manifest entities, their files, and the local files. As in the job, their lineage
+    is cut: the checks read them several times."""
+    entities = manifest_entities(_manifest(spark, sf_dir))
+    files = checkpointed(manifest_files(entities))
+    return entities, files, checkpointed(_local(spark, sf_dir))
+
+
 _FAILURE = ("dataset", "phase", "rel_path", "source_path", "error_message", "suggested_recovery")
 
 
 def _verify(with_rows: bool, check_extra: bool):
     def query(spark, sf_dir):
-        files = manifest_files(manifest_entities(_manifest(spark, sf_dir)))
-        local = _local(spark, sf_dir)
+        _, files, local = _checked(spark, sf_dir)
         counts = local.select("rel_path", "n_rows") if with_rows else None
         return verify_files(files, local, counts, check_extra).select(*_FAILURE)
 
@@ -117,14 +125,12 @@ def manifest_flatten(spark, sf_dir):
 
 
 def manifest_extra(spark, sf_dir):
-    files = manifest_files(manifest_entities(_manifest(spark, sf_dir)))
-    return extra_failures(files, _local(spark, sf_dir)).select("dataset", "phase", "rel_path", "error_message")
+    _, files, local = _checked(spark, sf_dir)
+    return extra_failures(files, local).select("dataset", "phase", "rel_path", "error_message")
 
 
 def manifest_summary(spark, sf_dir):
-    entities = manifest_entities(_manifest(spark, sf_dir))
-    files = manifest_files(entities)
-    local = _local(spark, sf_dir)
+    entities, files, local = _checked(spark, sf_dir)
     failures = verify_files(files, local, local.select("rel_path", "n_rows"), check_extra=True)
     return summarize_files(entities, files, failures)
 

@@ -30,7 +30,7 @@ from stackroom.plans.reports import (
     with_totals,
 )
 from stackroom.schemas import REPORT
-from workload.tables import micros, seconds, table
+from workload.tables import derived, micros, seconds, table
 
 RUNTIME = 86_400.0
 
@@ -178,12 +178,13 @@ def _logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when((kind == "error") & (value > 100), F.lit("all files already indexed"))
         .otherwise(F.concat(F.lit("note source_files=n/a ok="), k))
     )
-    return table(spark, sf_dir, "events").withColumn("k", _k()).select(
+    lines = table(spark, sf_dir, "events").withColumn("k", _k()).select(
         _user().alias("dataset"),
         F.concat(_user(), F.lit("/index/index.log")).alias("file"),
         F.struct(micros("ts").alias("at"), "event_id").alias("position"),
         F.concat(seconds("ts").cast("string"), F.lit(" [index] "), body).alias("value"),
     )
+    return derived(lines)
 
 
 def _status(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,6 +23,12 @@ def full_id(letter: str, number: Column) -> Column:
     return F.concat(F.lit(SCHEME.prefix + letter), number.cast("string"))
 
 
+def derived(rows: DataFrame) -> DataFrame:
+    """The same rows, each derived once: filters on generated columns read them, where
+    Catalyst would copy a long derivation into every filter above it."""
+    return rows.select(F.inline(F.array(F.struct("*"))))
+
+
 def micros(stamp: str) -> Column:
     """Microseconds since 1970, whatever the session time zone."""
     return F.expr(f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', {stamp})")
