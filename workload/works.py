@@ -26,33 +26,31 @@ def inverted_map(text: Column) -> Column:
         F.transform(_words(text), lambda w, i: F.struct(w.alias("word"), i.cast("bigint").alias("pos")))
     )
 
-    def word_at(words: Column, i: Column) -> Column:
-        return F.get(words, i)["word"]
-
-    def grouped(words: Column) -> Column:
+    def grouped(words: Column, positions: Column) -> Column:
         n = F.size(words)
         starts = F.filter(
             F.sequence(F.lit(0), n - 1),
-            lambda i: (i == 0) | (word_at(words, i) != word_at(words, i - 1)),
+            lambda i: (i == 0) | (F.get(words, i) != F.get(words, i - 1)),
         )
 
         def entries(firsts: Column) -> Column:
-            return F.transform(
-                firsts,
-                lambda first, k: F.struct(
-                    word_at(words, first),
-                    F.transform(
-                        F.slice(words, first + 1, F.coalesce(F.get(firsts, k + 1), n) - first),
-                        lambda w: w["pos"],
-                    ),
-                ),
+            ends = F.concat(F.slice(firsts, F.lit(2), n), F.array(n))
+            of_word = F.zip_with(
+                firsts, ends, lambda first, end: F.slice(positions, first + 1, end - first)
             )
+            return F.map_from_arrays(F.array_distinct(words), of_word)
 
-        return F.when(n > 0, F.map_from_entries(_bind(starts, entries))).otherwise(
+        return F.when(n > 0, _bind(starts, entries)).otherwise(
             F.create_map().cast("map<string,array<bigint>>")
         )
 
-    return _bind(located, grouped)
+    return _bind(
+        located,
+        lambda pairs: _bind(
+            pairs["word"],
+            lambda words: _bind(pairs["pos"], lambda positions: grouped(words, positions)),
+        ),
+    )
 
 
 def _entry_per_word(text: Column) -> Column:
