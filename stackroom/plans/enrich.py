@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stackroom.functions.abstracts import abstract_from_json
 from stackroom.functions.citations import citation
 from stackroom.functions.paths import RAW_WORKS, WORKS, scanned_file
-from stackroom.plans.outcome import Outcome, dataset_summary, failure_rows
+from stackroom.plans.outcome import Outcome, dataset_summary, failure_rows, failures_of
 from stackroom.session import checkpointed
 from stackroom.sinks.outputs import replace_partitions
 from stackroom.sources.corpus import file_inventory, file_row_counts, read_corpus
@@ -71,9 +71,10 @@ def row_parity(source: DataFrame, output: DataFrame, key: str) -> DataFrame:
     )
 
 
-def _rows_per_partition(spark: SparkSession, root: str) -> DataFrame:
+def _rows_per_partition(spark: SparkSession, root: str, folders: list[str]) -> DataFrame:
     key = partition_of(F.col("rel_path")).alias(PARTITION)
-    return file_row_counts(spark, root).groupBy(key).agg(F.sum("n_rows").alias("n_rows"))
+    counts = file_row_counts(spark, root, *folders)
+    return counts.groupBy(key).agg(F.sum("n_rows").alias("n_rows"))
 
 
 def run_enrich(spark: SparkSession, parquet_dir: str, overwrite: bool = False) -> Outcome:
@@ -95,17 +96,28 @@ def run_enrich(spark: SparkSession, parquet_dir: str, overwrite: bool = False) -
     todo = checkpointed(todo)
     # One name per partition folder: as many as the listing the driver holds anyway.
     names = [row[PARTITION] for row in todo.collect()]
-    if names:
-        whole = "" in names
-        folders = [source_dir] if whole else [f"{source_dir}/{PARTITION}={n}" for n in names]
-        raw = read_corpus(spark, *folders)
-        rows = enrich(raw).withColumn(PARTITION, partition_of(scanned_file(source_dir)))
-        if whole:
-            rows = rows.where(F.col(PARTITION).isin(names))
-        replace_partitions(rows, output_dir, PARTITION)
-    counts = row_parity(
-        _rows_per_partition(spark, source_dir), _rows_per_partition(spark, output_dir), PARTITION
+    scanned = by_partition.join(todo.withColumn("redone", F.lit(True)), PARTITION, "left").select(
+        F.lit(WORKS).alias("dataset"), F.col("redone").isNull().alias("skipped")
     )
+    if not names:
+        none = failures_of(spark, [])
+        return Outcome(checkpointed(dataset_summary(scanned, none)), none)
+    # Files outside any partition folder lie at the root, so the root is read then.
+    folders = [] if "" in names else [f"{PARTITION}={name}" for name in names]
+    raw = read_corpus(spark, *[f"{source_dir}/{folder}" for folder in folders or [""]])
+    rows = enrich(raw).withColumn(PARTITION, partition_of(scanned_file(source_dir)))
+    if not folders:
+        rows = rows.where(F.col(PARTITION).isin(names))
+    replace_partitions(rows, output_dir, PARTITION)
+    source_rows = _rows_per_partition(spark, source_dir, folders)
+    # A partition without rows has no output folder.
+    made = file_inventory(spark, output_dir).select(partition_of(F.col("rel_path")).alias(PARTITION))
+    made = [row[PARTITION] for row in made.distinct().join(todo, PARTITION, "left_semi").collect()]
+    output_rows = source_rows.limit(0)
+    if made:
+        folders = [] if "" in made else [f"{PARTITION}={name}" for name in made]
+        output_rows = _rows_per_partition(spark, output_dir, folders)
+    counts = row_parity(source_rows, output_rows, PARTITION)
     unequal = counts.join(todo, PARTITION, "left_semi").where("source_rows <> output_rows")
     failures = failure_rows(
         # One failure per source file of a partition that lost rows.
@@ -121,7 +133,4 @@ def run_enrich(spark: SparkSession, parquet_dir: str, overwrite: bool = False) -
         suggested_recovery="rerun enrich",
     )
     failures = checkpointed(failures)
-    scanned = by_partition.join(todo.withColumn("redone", F.lit(True)), PARTITION, "left").select(
-        F.lit(WORKS).alias("dataset"), F.col("redone").isNull().alias("skipped")
-    )
     return Outcome(checkpointed(dataset_summary(scanned, failures)), failures)

@@ -70,13 +70,18 @@ def _counted(rows: DataFrame, root: str, *extra: Column) -> DataFrame:
     return per_file.withColumn("rel_path", relative_path(path, root)).drop("uri")
 
 
-def file_row_counts(spark: SparkSession, root: str, folder: str = "") -> DataFrame:
-    """Rows per file from the footers: the scan asks for no column.
+def _below(root: str, folders: tuple[str, ...]) -> list[str]:
+    return [f"{root.rstrip('/')}/{folder}" for folder in folders] or [root]
+
+
+def file_row_counts(spark: SparkSession, root: str, *folders: str) -> DataFrame:
+    """Rows per file (of the whole root or some folders of it) from the footers: the scan
+    asks for no column.
 
     A file without rows, or one whose footer cannot be read, has no line here.
     """
-    where = f"{root.rstrip('/')}/{folder}" if folder else root
-    rows = _parquet(spark).option("ignoreCorruptFiles", "true").schema("id string").parquet(where)
+    files = _parquet(spark).option("ignoreCorruptFiles", "true").schema("id string")
+    rows = files.parquet(*_below(root, folders))
     return _counted(rows, root).select("rel_path", "n_rows")
 
 
@@ -90,19 +95,18 @@ def _has_map(kind: T.DataType) -> bool:
     return False
 
 
-def decoded_row_counts(spark: SparkSession, root: str, folder: str = "") -> DataFrame:
+def decoded_row_counts(spark: SparkSession, root: str, *folders: str) -> DataFrame:
     """Rows per file after decoding every column, so damaged pages show.
 
     ``content_hash`` is what forces the decoding: use it downstream (or keep it),
     else Spark prunes the columns and counts from the footers. A damaged file has
     a short count or no line.
     """
-    where = f"{root.rstrip('/')}/{folder}" if folder else root
     rows = (
         _parquet(spark)
         .option("ignoreCorruptFiles", "true")
         .option("mergeSchema", "true")
-        .parquet(where)
+        .parquet(*_below(root, folders))
     )
     # Maps cannot be hashed; their JSON text can.
     columns = [

@@ -167,6 +167,23 @@ def test_enrich_without_partition_folder(spark, tmp_path):
     assert corpus.read_corpus(spark, f"{tmp_path}/works").count() == 2
 
 
+def test_enrich_of_a_partition_without_rows(spark, tmp_path):
+    raw_works(f"{tmp_path}/works_aws/updated_date=2020-01-01/p.parquet", ["W1"])
+    assert counts(run_enrich(spark, str(tmp_path))) == {"works": (1, 1, 0, 0)}
+    raw_works(f"{tmp_path}/works_aws/updated_date=2020-01-02/p.parquet", [])
+    assert counts(run_enrich(spark, str(tmp_path))) == {"works": (2, 1, 0, 1)}
+
+
+def test_enrich_reports_lost_rows(spark, tmp_path, monkeypatch):
+    from stackroom.plans import enrich as job
+
+    raw_works(f"{tmp_path}/works_aws/updated_date=2020-01-01/p.parquet", ["W1", "W2"])
+    monkeypatch.setattr(job, "enrich", lambda raw: enrich(raw).where(~F.col("id").endswith("W2")))
+    lossy = run_enrich(spark, str(tmp_path))
+    assert phases(lossy) == {"enrich_rowcount": 1} and counts(lossy) == {"works": (1, 0, 1, 0)}
+    assert lossy.failures.first()["error_message"] == "rowcount mismatch src=2 enriched=1"
+
+
 def test_stale(spark):
     source = spark.createDataFrame([("a", 5), ("b", 5), ("c", 5), ("d", 5), ("e", 5)], "rel_path string, modified int")
     output = spark.createDataFrame([("a", 4), ("b", 5), ("c", 6), ("e", None)], "rel_path string, modified int")
