@@ -117,8 +117,8 @@ def raw_works(path, ids):
     names = [[{"author": {"display_name": f"N{i}"}}] for i in ids]
     return put(
         path,
-        id=[f"{URL}{i}" for i in ids],
-        abstract_inverted_index=['{"Hello":[0],"world":[1]}'] * len(ids),
+        id=pa.array([f"{URL}{i}" for i in ids], pa.string()),
+        abstract_inverted_index=pa.array(['{"Hello":[0],"world":[1]}'] * len(ids), pa.string()),
         authorships=pa.array(names, AUTHORS),
         publication_year=pa.array([2020] * len(ids), pa.int32()),
     )
