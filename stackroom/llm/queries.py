@@ -6,10 +6,11 @@ the digest columns of its result.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stackroom.llm import cuckoo, line_rules
+from stackroom.llm import bpe, cuckoo, line_rules, packing, sharding, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,9 +80,41 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM measured
 """
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_groups(table(spark, sf_dir, "documents"))
+    digits = F.lower(F.lpad(F.hex(F.col("fp")[0]), 16, "0")).alias("fingerprint")
+    return groups.select("doc_id", digits, "component_id")
+
+
+def op5_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = sharding.sharded(table(spark, sf_dir, "documents"))
+    grown = F.lit(None).cast("int").alias("grown_shard")
+    return shards.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", grown)
+
+
+def op6_forced_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = bpe.decoded(bpe.encoded(table(spark, sf_dir, "documents"), path), path)
+    return rows.select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op10_online_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.packed(table(spark, sf_dir, "documents"), path, with_ids=False).drop("ids")
+
+
 QUERIES = {
     "op1_cuckoo_dedup": op1_cuckoo_dedup,
     "op3_line_rules": op3_line_rules,
+    "op4_simhash": op4_simhash,
+    "op5_histogram_shards": op5_histogram_shards,
+    "op6_forced_bpe": op6_forced_bpe,
+    "op10_online_packing": op10_online_packing,
 }
 
 SQL = {
