@@ -10,7 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stackroom.llm import bpe, cuckoo, line_rules, packing, sharding, simhash
+from stackroom.llm import bpe, cuckoo, licenses, line_rules, packing, sharding, simhash, url_filter, warc
+from stackroom.llm.common import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,6 +104,22 @@ def op6_forced_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    records = warc.read_archives(spark, path)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = url_filter.trained(url_filter.labelled_urls(spark))
+    return url_filter.judged(table(spark, sf_dir, "pages"), model)
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(table(spark, sf_dir, "documents"))
+
+
 def op10_online_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.packed(table(spark, sf_dir, "documents"), path, with_ids=False).drop("ids")
@@ -114,6 +131,9 @@ QUERIES = {
     "op4_simhash": op4_simhash,
     "op5_histogram_shards": op5_histogram_shards,
     "op6_forced_bpe": op6_forced_bpe,
+    "op7_warc": op7_warc,
+    "op8_url_filter": op8_url_filter,
+    "op9_license_scan": op9_license_scan,
     "op10_online_packing": op10_online_packing,
 }
 
