@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stackroom.llm import bpe, cuckoo, licenses, line_rules, packing, sharding, simhash, url_filter, warc
+from stackroom.llm import bpe, cuckoo, licenses, line_rules, packing, sharding, simhash, suffix_index, url_filter, warc
 from stackroom.llm.common import scratch_path
 
 
@@ -35,6 +35,11 @@ FROM d WINDOW g AS (PARTITION BY text_sha256)
 """
 
 
+def op2_suffix_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = suffix_index.without_repeats(table(spark, sf_dir, "documents"))
+    return rest.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.judged(table(spark, sf_dir, "documents")).drop("clean_text")
 
@@ -127,6 +132,7 @@ def op10_online_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_cuckoo_dedup": op1_cuckoo_dedup,
+    "op2_suffix_index": op2_suffix_index,
     "op3_line_rules": op3_line_rules,
     "op4_simhash": op4_simhash,
     "op5_histogram_shards": op5_histogram_shards,
