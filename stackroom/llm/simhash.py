@@ -70,7 +70,7 @@ def similar(n_rows: int, similarity: float = 0.8, recall: float = 0.9, shingle:
     """
     differing = np.arccos(2 * similarity / (1 + similarity)) / np.pi
     width = min(32, max(16, int(n_rows).bit_length()))
-    met = (1 - differing) ** width + width * differing * (1 - differing) ** (width - 1)
+    met = (1 - differing) ** width + width * differing * (1 - differing) ** (width - 1)  # at most one bit differs
     n_segments = int(np.ceil(np.log(1 - recall) / np.log(1 - met)))
     n_words = -(-n_segments // (64 // width))
     return Scheme(shingle, n_words, width, n_segments, int(np.ceil(64 * n_words * differing)))
@@ -136,56 +136,61 @@ def _keys(scheme: Scheme) -> list[Column]:
     ]
 
 
-def _distance(a: str, b: str, n_words: int) -> Column:
-    words = [F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k])) for k in range(n_words)]
-    return reduce(lambda x, y: x + y, words)
+def _bits(n_words: int, mark: str = "") -> list[Column]:
+    return [F.col("fp")[k].alias(f"w{k}{mark}") for k in range(n_words)]
+
+
+def _near(scheme: Scheme) -> Column:
+    words = [F.bit_count(F.col(f"w{k}").bitwiseXOR(F.col(f"w{k}_b"))) for k in range(scheme.n_words)]
+    return reduce(lambda x, y: x + y, words) <= scheme.max_distance
 
 
 def links(nodes: DataFrame, scheme: Scheme) -> DataFrame:
-    """``a, b``: enough links between ``nodes`` (``node, fp``) for their components."""
-    near = _distance("fp", "fp_b", scheme.n_words) <= scheme.max_distance
-    tables = nodes.select("node", "fp", F.explode(F.array(*_keys(scheme))).alias("key"))
-    flips = F.array(F.lit(0).cast("bigint"), *[F.lit(1 << bit).cast("bigint") for bit in range(scheme.width)])
-    probes = tables.select("node", "fp", "key", F.explode(flips).alias("flip")).select(
-        "node", "fp", F.col("key").bitwiseXOR(F.col("flip")).alias("key"), (F.col("flip") == 0).alias("own")
-    )
-    heavy = kept_table(
-        tables.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("leader")).where(F.col("n") > BUCKET), "heavy"
-    )
-    members = tables.join(heavy, "key", "left_anti")
-    members = members.select("key", F.col("node").alias("node_b"), F.col("fp").alias("fp_b"))
-    found = probes.join(members, "key").where((F.col("node") < F.col("node_b")) & near)
-    found = found.select(F.col("node").alias("a"), F.col("node_b").alias("b"))
+    """``a, b``: enough links between ``nodes`` (``node, fp``) for their components.
+
+    Of two segments that differ in one bit, one has the bit set: it is enough that a probe
+    clears the set bits of its segment in turn, which is half of the ball.
+    """
+    keyed = nodes.select("node", *_bits(scheme.n_words), F.explode(F.array(*_keys(scheme))).alias("key"))
+    tables = keyed.select("key", F.col("node").alias("node_b"), *[F.col(f"w{k}").alias(f"w{k}_b") for k in range(scheme.n_words)])
+    flips = [F.lit(1 << bit).cast("bigint") for bit in range(scheme.width)]
+    cleared = [F.when(F.col("key").bitwiseAND(f) != 0, F.col("key").bitwiseXOR(f)) for f in flips]
+    probes = keyed.withColumn("key", F.explode(F.array_compact(F.array(F.col("key"), *cleared))))
+    heavy = tables.groupBy("key").agg(F.count("*").alias("n"), F.min("node_b").alias("leader")).where(F.col("n") > BUCKET)
+    heavy = kept_table(heavy, "heavy")
+    found = probes.join(tables.join(heavy, "key", "left_anti"), "key").where((F.col("node") != F.col("node_b")) & _near(scheme))
+    found = found.select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b"))
     if heavy.isEmpty():
         return found
     crowd = kept_table(probes.join(heavy.select("key", "leader"), "key"), "crowd")
     if scheme.max_distance <= 2 and scheme.n_words == 1:
         return found.unionByName(_through_points(crowd))
-    return found.unionByName(_through_leaders(crowd, nodes, near))
+    return found.unionByName(_through_leaders(crowd, nodes, scheme))
 
 
 def _through_points(crowd: DataFrame) -> DataFrame:
-    flips = F.array(F.lit(0).cast("bigint"), *[F.lit(1 << b if b < 63 else -(1 << 63)).cast("bigint") for b in range(64)])
-    word = F.col("fp")[0]
-    points = crowd.groupBy("node").agg(F.first("fp").alias("fp"))
-    points = points.select("node", word.alias("word"), F.explode(flips).alias("flip"))
-    points = points.select("node", F.col("word").bitwiseXOR(F.col("flip")).alias("point"))
+    flips = [F.lit(1 << bit if bit < 63 else -(1 << 63)).cast("bigint") for bit in range(64)]
+    points = crowd.groupBy("node").agg(F.first("w0").alias("w0"))
+    ball = F.array(F.col("w0"), *[F.col("w0").bitwiseXOR(f) for f in flips])
+    points = points.select("node", F.explode(ball).alias("point"))
     stars = points.groupBy("point").agg(F.min("node").alias("a"), F.collect_set("node").alias("others"))
     stars = stars.where(F.size("others") > 1)
     return stars.select("a", F.explode("others").alias("b")).where("a < b")
 
 
-def _through_leaders(crowd: DataFrame, nodes: DataFrame, near: Column) -> DataFrame:
+def _through_leaders(crowd: DataFrame, nodes: DataFrame, scheme: Scheme) -> DataFrame:
+    words = [f"w{k}" for k in range(scheme.n_words)]
     leaders = crowd.select("leader").distinct().join(nodes.withColumnRenamed("node", "leader"), "leader")
-    leaders = leaders.select("leader", F.col("fp").alias("fp_b"))
-    judged = kept_table(crowd.join(leaders, "leader").select("key", "node", "fp", "own", "leader", near.alias("near")), "judged")
-    to_leader = judged.where("near and node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
-    rest = judged.where("not near").select("key", "node", "fp")
-    every = judged.select("key", F.col("node").alias("node_b"), F.col("fp").alias("fp_b"))
-    among = rest.join(every, "key").where((F.col("node") != F.col("node_b")) & near)
-    return to_leader.unionByName(
-        among.select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b")).distinct()
-    )
+    leaders = leaders.select("leader", *_bits(scheme.n_words, "_b"))
+    judged = crowd.join(leaders, "leader").select("key", "node", *words, "leader", _near(scheme).alias("near"))
+    judged = kept_table(judged, "judged")
+    to_leader = judged.where("near and node != leader")
+    to_leader = to_leader.select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b"))
+    rest = judged.where("not near").select("key", "node", *words)
+    every = judged.select("key", F.col("node").alias("node_b"), *[F.col(w).alias(f"{w}_b") for w in words])
+    among = rest.join(every, "key").where((F.col("node") != F.col("node_b")) & _near(scheme))
+    among = among.select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b"))
+    return to_leader.unionByName(among.distinct())
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -32,6 +32,7 @@ from collections.abc import Iterator
 from heapq import merge
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -353,3 +354,21 @@ def without_repeats(
     spans = repeated_intervals(rows, length).withColumnsRenamed({"k1": "w1", "k2": "w2"})
     joined = rows.join(spans, _same_text(), "left").select("doc_id", "text", "spans")
     return joined.mapInArrow(_cut_rows, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+
+
+def with_texts_cut(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with the remaining text in place of the text; characters cut in part go too."""
+
+    @F.pandas_udf("string")
+    def rest(texts: pd.Series, spans: pd.Series) -> pd.Series:
+        return pd.Series([cut(t, s if s is None else list(s))[0].decode("utf-8", "ignore") for t, s in zip(texts, spans)])
+
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")
+    rows = docs.select(F.struct("*").alias("row"), F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), text.alias("text"))
+    rows = rows.select("row", "doc_id", "text", *text_key(F.col("text")))
+    spans = repeated_intervals(rows.select("doc_id", "text", "k1", "k2"), length).withColumnsRenamed({"k1": "w1", "k2": "w2"})
+    joined = rows.join(spans, _same_text(), "left")
+    left = F.when(F.col("spans").isNull(), F.col("row")[text_col]).otherwise(rest("text", "spans"))
+    return joined.select("row", left.alias("left")).select(
+        *[F.col("left").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns]
+    )
