@@ -29,6 +29,7 @@ FEATURES = 1 << 14
 GRAMS = (3, 4)
 MAX_LABELLED = 10_000
 THRESHOLD = 0.5
+REGULARISATION = 0.0005
 BLOCK_WEIGHT = 3.0  # the labelled table has more names to allow
 
 #: Rules (host, path, verdict) of the query.
@@ -52,6 +53,7 @@ ALLOWED_WORDS = (
 ).split()
 #: Common syllables; names made of them mean nothing and are allowed.
 SYLLABLES = "an be con da der ed el en er es ge ha he in is la le men ne no on or pa ra re sa sh sta te th the thing ti tion to ver wa".split()
+FRAMES = 3  # URLs of each name
 
 
 def labelled_rows() -> list[tuple[str, float]]:
@@ -61,7 +63,7 @@ def labelled_rows() -> list[tuple[str, float]]:
     made = [a + b + c for k, a in enumerate(SYLLABLES) for b, c in zip(SYLLABLES[k % 5 :: 5], SYLLABLES[::-5])]
     for label, words, more in ((1.0, BLOCKED_WORDS, []), (0.0, ALLOWED_WORDS, made)):
         names = words + [f"{a}-{b}" for a, b in zip(words, words[7:] + words[:7])] + more
-        for k, name in enumerate(names):
+        for k, name in enumerate(names * FRAMES):
             subdomain = ("", "www.", "m.", "blog.")[k % 4]
             language = ("en", "fr", "de", "es")[k // 4 % 4]
             ending = ("", ".html", "/", "?page=2", "#top")[k % 5]
@@ -110,7 +112,7 @@ def trained(labelled: DataFrame) -> PipelineModel:
     rows = labelled.limit(MAX_LABELLED).select(host(F.col("url")).alias("host"), path(F.col("url")).alias("path"), "label")
     rows = rows.withColumn("weight", F.when(F.col("label") == 1.0, BLOCK_WEIGHT).otherwise(1.0))
     counts = HashingTF(inputCol="grams", outputCol="features", numFeatures=FEATURES, binary=True)
-    model = LogisticRegression(maxIter=50, regParam=0.002, threshold=THRESHOLD, weightCol="weight")
+    model = LogisticRegression(maxIter=50, regParam=REGULARISATION, threshold=THRESHOLD, weightCol="weight")
     return Pipeline(stages=[counts, model]).fit(with_grams(rows))
 
 
