@@ -43,7 +43,7 @@ from stackroom.llm.common import kept_table, partitions
 LENGTH = 400
 GRAM = 32
 SEGMENT = 1 << 23
-HOT_ZONES = 256
+HOT_ZONES = 32
 BATCH = 512
 ROWS_OUT = 4096
 
@@ -167,7 +167,8 @@ def _schema(spec: str) -> pa.Schema:
 OCCURRENCES = "k1 bigint, k2 bigint, gram bigint, z1 bigint, z2 bigint, lo int, hi int, at int"
 FETCHED = "gram bigint, hot boolean, n bigint, k1 bigint, k2 bigint, z1 bigint, z2 bigint, lo int, at int, content binary"
 INTERVALS = "k1 bigint, k2 bigint, lo int, hi int"
-WINDOWS = "h1 bigint, h2 bigint, n bigint, k1 bigint, k2 bigint, z1 bigint, z2 bigint, lo int"
+COUNTED = "h1 bigint, h2 bigint, n bigint"
+PLACED = "h1 bigint, h2 bigint, k1 bigint, k2 bigint, z1 bigint, z2 bigint, lo int"
 
 
 def _halves(digests: list[bytes]) -> np.ndarray:
@@ -259,17 +260,20 @@ def _matched(length: int):
     return run
 
 
-def _windows(length: int):
+def _windows(length: int, spec: str):
+    """A row for each window of a zone: its hash, and what ``spec`` asks of the zone."""
+    names = [f.split()[0] for f in spec.split(", ")]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [f.split()[0] for f in WINDOWS.split(", ")]
         for batch in batches:
             for row in batch.to_pylist():
                 content = memoryview(row["content"])
                 count = len(content) - length + 1
                 pair = _halves([xxhash.xxh3_128_digest(content[s : s + length]) for s in range(count)])
-                same = [pa.array(np.full(count, row[c], np.int64)) for c in ("n", "k1", "k2", "z1", "z2")]
-                lo = pa.array(np.arange(row["lo"], row["lo"] + count, dtype=np.int32))
-                columns = [pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy()), *same, lo]
+                columns = [pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy())]
+                columns += [pa.array(np.full(count, row[c], np.int64)) for c in names[2:] if c != "lo"]
+                if "lo" in names:
+                    columns.append(pa.array(np.arange(row["lo"], row["lo"] + count, dtype=np.int32)))
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
@@ -305,11 +309,11 @@ def repeated_intervals(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     dealt = fetched.where("not hot").repartition(partitions(spark), "gram")
     found = found.unionByName(dealt.mapInArrow(_matched(length), INTERVALS))
     hot = fetched.where("hot").select("n", "k1", "k2", "z1", "z2", "lo", "content")
-    windows = hot.mapInArrow(_regrouped(_windows(length)), WINDOWS)
-    ends = [f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("z1", "z2")]
-    twice = windows.groupBy("h1", "h2").agg(F.max("n").alias("most"), *ends)
-    twice = twice.where("most > 1 or min_z1 != max_z1 or min_z2 != max_z2").select("h1", "h2")
-    again = windows.where("n = 1").join(twice, ["h1", "h2"], "left_semi").groupBy("k1", "k2", "z1", "z2")
+    # The windows of one zone differ, and a zone that a repeated row brings twice has n > 1.
+    counted = hot.select("n", "content").mapInArrow(_regrouped(_windows(length, COUNTED)), COUNTED)
+    twice = counted.groupBy("h1", "h2").agg(F.sum("n").alias("n")).where("n > 1").select("h1", "h2")
+    placed = hot.where("n = 1").drop("n").mapInArrow(_regrouped(_windows(length, PLACED)), PLACED)
+    again = placed.join(twice, ["h1", "h2"], "left_semi").groupBy("k1", "k2", "z1", "z2")
     again = again.agg(F.min("lo").alias("lo"), (F.max("lo") + length).alias("hi"))
     found = found.unionByName(again.select("k1", "k2", "lo", "hi"))
     spans = found.groupBy("k1", "k2").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("spans"))
