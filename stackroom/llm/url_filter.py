@@ -30,7 +30,7 @@ GRAMS = (3, 4)
 MAX_LABELLED = 10_000
 THRESHOLD = 0.5
 REGULARISATION = 0.0005
-BLOCK_WEIGHT = 3.0  # the labelled table has more names to allow
+BLOCK_WEIGHT = 2.0  # the labelled table has more names to allow
 
 #: Rules (host, path, verdict) of the query.
 RULES = (
@@ -67,7 +67,7 @@ def labelled_rows() -> list[tuple[str, float]]:
             subdomain = ("", "www.", "m.", "blog.")[k % 4]
             language = ("en", "fr", "de", "es")[k // 4 % 4]
             ending = ("", ".html", "/", "?page=2", "#top")[k % 5]
-            rows.append((f"https://{subdomain}{name}.example.{('com', 'org', 'net')[k % 3]}/{language}/{17 * k}{ending}", label))
+            rows.append((f"https://{subdomain}{name}.example.{('com', 'org', 'net')[k % 3]}/{language}/{17 * k % 97}{ending}", label))
     return rows
 
 
@@ -87,14 +87,13 @@ def _after_scheme(url: Column) -> Column:
 def grams(text: Column, mark: str) -> Column:
     """Character n-grams of the text between its end marks; one cut into characters."""
     characters = F.split(F.concat(F.lit("^"), text, F.lit("$")), "")
-    sized = []
-    for n in GRAMS:
+
+    def of_size(n: int) -> Column:
         starts = F.when(F.size(characters) >= n, F.sequence(F.lit(1), F.size(characters) - n + 1))
         starts = F.coalesce(starts, F.array().cast("array<int>"))
-        sized.append(
-            F.transform(starts, lambda i, n=n: F.concat(F.lit(mark), F.array_join(F.slice(characters, i, F.lit(n)), "")))
-        )
-    return F.concat(*sized)
+        return F.transform(starts, lambda at: F.concat(F.lit(mark), F.array_join(F.slice(characters, at, F.lit(n)), "")))
+
+    return F.concat(*[of_size(n) for n in GRAMS])
 
 
 def with_grams(rows: DataFrame) -> DataFrame:
