@@ -58,7 +58,3 @@ def scanned_file(root: str) -> Column:
     uri = F.col("_metadata.file_path")
     decoded = F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
     return relative_path(F.when(uri.contains("%"), decoded).otherwise(uri), root)
-
-
-def parent_folder(rel_path: Column) -> Column:
-    return F.regexp_extract(rel_path, r"\A(.*)/[^/]*\z", 1)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,8 +12,15 @@ from stackroom.functions.citations import citation
 from stackroom.functions.paths import RAW_WORKS, WORKS, scanned_file
 from stackroom.plans.outcome import Outcome, dataset_summary, failure_rows, failures_of
 from stackroom.session import checkpointed
-from stackroom.sinks.outputs import replace_partitions
-from stackroom.sources.corpus import file_inventory, file_row_counts, read_corpus
+from stackroom.sinks.outputs import STAGED_KEY, publish_partition, remove, stage_partitions
+from stackroom.sources.corpus import (
+    LISTING_TASKS,
+    decoded_row_counts,
+    file_inventory,
+    file_row_counts,
+    path_exists,
+    read_corpus,
+)
 
 PARTITION = "updated_date"
 _NO_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -71,20 +80,36 @@ def row_parity(source: DataFrame, output: DataFrame, key: str) -> DataFrame:
     )
 
 
-def _rows_per_partition(spark: SparkSession, root: str, folders: list[str]) -> DataFrame:
+def _per_partition(counts: DataFrame) -> DataFrame:
     key = partition_of(F.col("rel_path")).alias(PARTITION)
-    counts = file_row_counts(spark, root, *folders)
     return counts.groupBy(key).agg(F.sum("n_rows").alias("n_rows"))
 
 
+def _unreadable(spark: SparkSession, root: str, files: DataFrame, counts: DataFrame) -> dict[str, str]:
+    """Errors of files that have no rows because they cannot be read.
+
+    A footer that cannot be read and a file without rows look alike in the counts, so the
+    few files without a count are opened one by one.
+    """
+    errors = {}
+    for row in files.join(counts, "rel_path", "left_anti").select("rel_path").collect():
+        try:
+            read_corpus(spark, f"{root}/{row['rel_path']}").isEmpty()
+        except Exception as error:  # any reason makes it a failure row
+            errors[row["rel_path"]] = str(error)
+    return errors
+
+
 def run_enrich(spark: SparkSession, parquet_dir: str, overwrite: bool = False) -> Outcome:
     """Enrich raw works below ``parquet_dir``, partition by partition.
 
-    No shuffle: each task writes the rows of the files it read. A partition is
-    rebuilt whole when one of its files is newer than its output.
+    No shuffle: each task writes the rows of the files it read, to a staging folder whose
+    key is no column of the data. A partition is rebuilt whole when one of its files is
+    newer than its output, and published when it has as many rows as its source; else what
+    was there before stays, and the next run takes it up again.
     """
     source_dir, output_dir = f"{parquet_dir}/{RAW_WORKS}", f"{parquet_dir}/{WORKS}"
-    source = checkpointed(file_inventory(spark, source_dir))
+    source = checkpointed(file_inventory(spark, source_dir).coalesce(LISTING_TASKS))
     if source.isEmpty():
         raise FileNotFoundError(f"no parquet files under {source_dir} (run download first)")
     by_partition = source.withColumn(PARTITION, partition_of(F.col("rel_path")))
@@ -104,33 +129,68 @@ def run_enrich(spark: SparkSession, parquet_dir: str, overwrite: bool = False) -
         return Outcome(checkpointed(dataset_summary(scanned, none)), none)
     # Files outside any partition folder lie at the root, so the root is read then.
     folders = [] if "" in names else [f"{PARTITION}={name}" for name in names]
-    raw = read_corpus(spark, *[f"{source_dir}/{folder}" for folder in folders or [""]])
-    rows = enrich(raw).withColumn(PARTITION, partition_of(scanned_file(source_dir)))
-    if not folders:
-        rows = rows.where(F.col(PARTITION).isin(names))
-    replace_partitions(rows, output_dir, PARTITION)
-    source_rows = _rows_per_partition(spark, source_dir, folders)
-    # A partition without rows has no output folder.
-    made = file_inventory(spark, output_dir).select(partition_of(F.col("rel_path")).alias(PARTITION))
-    made = [row[PARTITION] for row in made.distinct().join(todo, PARTITION, "left_semi").collect()]
-    output_rows = source_rows.limit(0)
-    if made:
-        folders = [] if "" in made else [f"{PARTITION}={name}" for name in made]
-        output_rows = _rows_per_partition(spark, output_dir, folders)
-    counts = row_parity(source_rows, output_rows, PARTITION)
-    unequal = counts.join(todo, PARTITION, "left_semi").where("source_rows <> output_rows")
-    failures = failure_rows(
-        # One failure per source file of a partition that lost rows.
-        by_partition.join(unequal, PARTITION),
+    counts = checkpointed(file_row_counts(spark, source_dir, *folders))
+    files = by_partition.join(todo, PARTITION, "left_semi")
+    broken = _unreadable(spark, source_dir, files, counts)
+    staged = f"{output_dir}/_staged-{uuid.uuid4().hex}"
+    try:
+        if not counts.isEmpty():
+            raw = read_corpus(spark, *[f"{source_dir}/{folder}" for folder in folders or [""]], skip_damaged=True)
+            value = partition_of(scanned_file(source_dir))
+            stage_partitions(enrich(raw).where(value.isin(names)), staged, value)
+        made = file_row_counts(spark, staged) if path_exists(spark, staged) else counts.limit(0)
+        key = F.regexp_replace("rel_path", rf"(\A|/){STAGED_KEY}=", f"$1{PARTITION}=")
+        both = row_parity(_per_partition(counts), _per_partition(made.withColumn("rel_path", key)), PARTITION)
+        both = checkpointed(both.join(todo, PARTITION, "left_semi"))
+        unequal = both.where("source_rows <> output_rows")
+        short = _cut_short(spark, source_dir, unequal, counts)
+        held = {row[PARTITION] for row in unequal.select(PARTITION).collect()}
+        held |= {row[PARTITION] for row in files.where(F.col("rel_path").isin(list(broken))).select(PARTITION).collect()}
+        for row in both.where("output_rows > 0").select(PARTITION).collect():
+            if row[PARTITION] not in held:
+                publish_partition(spark, staged, output_dir, PARTITION, row[PARTITION])
+    finally:
+        remove(spark, staged)
+    damaged = spark.createDataFrame([*broken.items(), *short.items()], "rel_path string, error string")
+    place = F.concat(F.lit(f"{source_dir}/"), F.col("rel_path"))
+    target = F.concat(F.lit(f"{output_dir}/{PARTITION}="), F.col(PARTITION))
+    of_files = failure_rows(
+        files.join(damaged, "rel_path"),
+        dataset=WORKS,
+        phase="enrich",
+        rel_path=F.col("rel_path"),
+        source_path=place,
+        output_path=target,
+        error_message=F.col("error"),
+        suggested_recovery="fetch the file again, then run enrich",
+    )
+    with_damage = files.join(damaged, "rel_path", "left_semi").select(PARTITION).distinct()
+    of_partitions = failure_rows(
+        # One failure per source file of a partition that lost rows for no reason a file gives.
+        files.join(unequal.join(with_damage, PARTITION, "left_anti"), PARTITION),
         dataset=WORKS,
         phase="enrich_rowcount",
         rel_path=F.col("rel_path"),
-        source_path=F.concat(F.lit(f"{source_dir}/"), F.col("rel_path")),
-        output_path=F.concat(F.lit(f"{output_dir}/{PARTITION}="), F.col(PARTITION)),
-        error_message=F.format_string(
-            "rowcount mismatch src=%d enriched=%d", "source_rows", "output_rows"
-        ),
-        suggested_recovery="rerun enrich",
+        source_path=place,
+        output_path=target,
+        error_message=F.format_string("%d rows in the source, %d enriched", "source_rows", "output_rows"),
+        suggested_recovery="run enrich again",
+    )
+    failures = checkpointed(of_files.unionByName(of_partitions))
+    kept_back = files.where(F.col(PARTITION).isin(list(held))).select(F.lit(WORKS).alias("dataset"))
+    return Outcome(checkpointed(dataset_summary(scanned, kept_back)), failures)
+
+
+def _cut_short(spark: SparkSession, root: str, unequal: DataFrame, counts: DataFrame) -> dict[str, str]:
+    """Files of unequal partitions that end before the rows their footers promise."""
+    names = [row[PARTITION] for row in unequal.select(PARTITION).collect()]
+    if not names:
+        return {}
+    folders = [] if "" in names else [f"{PARTITION}={name}" for name in names]
+    decoded = decoded_row_counts(spark, root, *folders).withColumnRenamed("n_rows", "n_decoded")
+    promised = counts.where(partition_of(F.col("rel_path")).isin(names))
+    short = promised.join(decoded, "rel_path", "left").where(
+        F.col("n_decoded").isNull() | (F.col("n_decoded") < F.col("n_rows")) | F.col("content_hash").isNull()
     )
-    failures = checkpointed(failures)
-    return Outcome(checkpointed(dataset_summary(scanned, failures)), failures)
+    found = short.select("rel_path", "n_rows", F.coalesce("n_decoded", F.lit(0)).alias("n_decoded")).collect()
+    return {r["rel_path"]: f"{r['n_decoded']} of {r['n_rows']} rows can be read" for r in found}

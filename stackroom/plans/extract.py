@@ -16,18 +16,17 @@ from stackroom.functions.ids import (
     short_form,
     unquoted,
 )
-from stackroom.functions.paths import scanned_file
-from stackroom.operators.keyed import fits_broadcast, semi_join
+from stackroom.operators.keyed import BROADCAST_BYTES, fits_broadcast, semi_join
 from stackroom.plans.index import index_path
 from stackroom.plans.outcome import Outcome, failures_of, summary_of
 from stackroom.session import checkpointed
-from stackroom.sinks.outputs import output_path, write_csv_if_any, write_parquet
-from stackroom.sources.corpus import path_exists, read_corpus
+from stackroom.sinks.outputs import is_complete, output_path, write_csv_if_any, write_parquet
+from stackroom.sources.corpus import read_corpus
 from stackroom.sources.idlist import read_id_list
 
-# Beyond these the plan changes, not the result: the whole index or dataset is read.
+# Beyond this the plan changes, not the result: the whole index is read.
 MAX_BLOCKS = 1_000
-MAX_FILES = 10_000
+SALTS = 8
 
 
 @dataclass(frozen=True)
@@ -51,6 +50,7 @@ def split_requests(raw: DataFrame, scheme: IdScheme, only: str = "all") -> Reque
         .withColumn("normalized", short_form(F.col("text"), scheme))
         .select("raw", F.inline(F.array(routed)))
     )
+    # The two reasons.
     reason = F.when(F.col("dataset").isNull(), "unmapped id format/prefix")
     if only != "all":
         reason = reason.when(F.col("dataset") != only, f"filtered by --dataset={only}")
@@ -64,7 +64,13 @@ def split_requests(raw: DataFrame, scheme: IdScheme, only: str = "all") -> Reque
 
 
 def in_requested_blocks(index: DataFrame, requested: DataFrame) -> DataFrame:
-    """Skip index row groups by ``id_block`` when the requests touch few blocks."""
+    """Skip index row groups by ``id_block`` when the requests touch few blocks.
+
+    The index was built by ``run_index`` with the same ``id_block``, which
+    ``run_verify_index`` checks; an index without that column is read whole.
+    """
+    if "id_block" not in index.columns:
+        return index
     blocks = requested.select(id_block(F.col("id")).alias("b")).distinct().limit(MAX_BLOCKS + 1)
     touched = [row["b"] for row in blocks.collect()]
     if len(touched) > MAX_BLOCKS:
@@ -73,16 +79,24 @@ def in_requested_blocks(index: DataFrame, requested: DataFrame) -> DataFrame:
     return index.where(keep | F.col("id_block").isNull() if None in touched else keep)
 
 
-def lookup(index: DataFrame, requested: DataFrame) -> DataFrame:
+def lookup(index: DataFrame, requested: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """id, parquet_file, n_rows for the requested ids the index holds.
 
-    Counted per (id, file), so an id that very many rows share is a few rows when
-    it is joined. Catalyst moves a broadcast semi-join below the count.
+    Within the bound the requests are broadcast and the index does not move until it is
+    counted. Beyond it the index shuffles once, on the id and one of ``SALTS`` slices of
+    its files, and unrequested ids are dropped before anything is counted; so a heavy id
+    is split, and its rows are combined per file before they move again.
     """
-    per_file = index.groupBy("id", "parquet_file").agg(F.count(F.lit(1)).alias("n_rows"))
     keys = requested.select("id").distinct()
-    keys = F.broadcast(keys) if fits_broadcast(keys) else keys
-    return per_file.join(keys, "id", "left_semi")
+    rows = index.select("id", "parquet_file")
+    if fits_broadcast(keys, max_bytes):
+        # Catalyst moves the semi-join below the count.
+        found = rows.join(F.broadcast(keys), "id", "left_semi")
+    else:
+        rows = rows.withColumn("_salt", F.pmod(F.xxhash64("parquet_file"), F.lit(SALTS)))
+        keys = keys.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+        found = rows.join(keys.hint("merge"), ["id", "_salt"], "left_semi")
+    return found.groupBy("id", "parquet_file").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def matched_ids(hits: DataFrame) -> DataFrame:
@@ -110,17 +124,14 @@ def matching_rows(rows: DataFrame, matched: DataFrame) -> DataFrame:
     return semi_join(rows, matched, "id")
 
 
-def _rows_of(spark: SparkSession, parquet_dir: str, dataset: str, hits: DataFrame) -> DataFrame:
-    """Rows of the files the hits name."""
-    named = hits.select("parquet_file").distinct()
-    files = [row["parquet_file"] for row in named.limit(MAX_FILES + 1).collect()]
-    if len(files) <= MAX_FILES:
-        return read_corpus(spark, *[f"{parquet_dir}/{f}" for f in files])
-    rows = read_corpus(spark, f"{parquet_dir}/{dataset}")
-    in_files = rows.withColumn("_file", scanned_file(parquet_dir))
-    return in_files.join(
-        named.withColumnRenamed("parquet_file", "_file"), "_file", "left_semi"
-    ).drop("_file")
+def _rows_of(spark: SparkSession, parquet_dir: str, hits: DataFrame) -> DataFrame:
+    """Rows of the files the hits name; a file that is gone is an error.
+
+    The driver collects the names. They are no more than the listing of the dataset that
+    any scan of it makes the driver hold.
+    """
+    files = [row["parquet_file"] for row in hits.select("parquet_file").distinct().collect()]
+    return read_corpus(spark, *[f"{parquet_dir}/{f}" for f in sorted(files)])
 
 
 @dataclass(frozen=True)
@@ -155,7 +166,7 @@ def run_extract(
         target = index_path(parquet_dir, name)
         count = {"dataset": name, "items_scanned": wanted[name]}
         counts.append(count)
-        if not path_exists(spark, target):
+        if not is_complete(spark, target):
             count["failed"] = wanted[name]
             failed.append(
                 {
@@ -191,7 +202,7 @@ def run_extract(
             continue
         path = output_path(output, name)
         try:
-            rows = matching_rows(_rows_of(spark, parquet_dir, name, hits), matched)
+            rows = matching_rows(_rows_of(spark, parquet_dir, hits), matched)
             write_parquet(rows, path, overwrite=True)
             count["succeeded"], outputs[name] = n_matched, path
         except Exception as error:  # go on with the next dataset

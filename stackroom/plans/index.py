@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,13 +12,12 @@ from stackroom.functions.ids import id_block
 from stackroom.plans.outcome import Outcome, failure_rows, failures_of, summary_of
 from stackroom.schemas import ID_INDEX
 from stackroom.session import checkpointed
-from stackroom.sinks.outputs import write_parquet
+from stackroom.sinks.outputs import is_complete, write_parquet
 from stackroom.sources.corpus import (
     INDEX_SUFFIX,
     datasets_in,
     distinct_strings,
     file_inventory,
-    path_exists,
     read_corpus,
     with_file_position,
 )
@@ -68,13 +68,13 @@ def run_index(
     counts, failed = [], []
     for name, n_files in files_per_dataset(spark, parquet_dir, dataset).items():
         target = index_path(parquet_dir, name)
-        if not overwrite and path_exists(spark, target):
+        if not overwrite and is_complete(spark, target):
             counts.append({"dataset": name, "skipped": 1})
             continue
         count = {"dataset": name, "items_scanned": n_files, "succeeded": n_files}
         try:
             rows = index_rows(read_corpus(spark, f"{parquet_dir}/{name}", merge_schema=False), parquet_dir)
-            write_parquet(in_id_order(rows), target, overwrite)
+            write_parquet(in_id_order(rows), target, overwrite=True)  # or over what a killed run left
         except Exception as error:  # the next dataset is still to be indexed
             count |= {"succeeded": 0, "failed": n_files}
             failed.append(
@@ -141,13 +141,26 @@ def path_failures(
     )
 
 
+def block_failures(index: DataFrame, dataset: str, target: str) -> DataFrame:
+    """One failure when lookups by block would miss ids: blocks that are not those of the ids."""
+    wrong = index.where(~F.col("id_block").eqNullSafe(id_block(F.col("id")))).agg(F.count(F.lit(1)).alias("n"))
+    return failure_rows(
+        wrong.where("n > 0"),
+        dataset=dataset,
+        phase="verify_index_block",
+        source_path=target,
+        error_message=F.format_string("%d rows with the wrong id_block", "n"),
+        suggested_recovery=_REBUILD,
+    )
+
+
 def _verify_one(spark: SparkSession, parquet_dir: str, dataset: str) -> DataFrame:
     """The checks in order; each runs only while none before it failed."""
     target, corpus_dir = index_path(parquet_dir, dataset), f"{parquet_dir}/{dataset}"
     entry = {"dataset": dataset, "source_path": target}
     found = []
     index = None
-    if not path_exists(spark, target):
+    if not is_complete(spark, target):
         found.append(
             entry
             | {
@@ -157,9 +170,21 @@ def _verify_one(spark: SparkSession, parquet_dir: str, dataset: str) -> DataFram
             }
         )
     else:
-        index = spark.read.parquet(target)
+        try:
+            index = spark.read.parquet(target)
+            columns = index.columns
+        except AnalysisException as error:
+            columns = []
+            found.append(
+                entry
+                | {
+                    "phase": "verify_index_schema",
+                    "error_message": str(error),
+                    "suggested_recovery": _REBUILD,
+                }
+            )
         for name in ID_INDEX.fieldNames():
-            if name not in index.columns:
+            if columns and name not in columns:
                 found.append(
                     entry
                     | {
@@ -184,7 +209,8 @@ def _verify_one(spark: SparkSession, parquet_dir: str, dataset: str) -> DataFram
     counted = checkpointed(count_failures(index, corpus, dataset, target, corpus_dir))
     if not counted.isEmpty():
         return counted
-    return checkpointed(path_failures(index, inventory, dataset, target, parquet_dir))
+    paths = path_failures(index, inventory, dataset, target, parquet_dir)
+    return checkpointed(paths.unionByName(block_failures(index, dataset, target)))
 
 
 def run_verify_index(spark: SparkSession, parquet_dir: str, dataset: str = "all") -> Outcome:

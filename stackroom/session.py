@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -15,6 +13,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.maxConcurrentOutputFileWriters", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .getOrCreate()
@@ -24,16 +23,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` with a reliable checkpoint.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a
-    local session without that setting gets a temporary one.
+    The folder is the one the cluster names in ``spark.checkpoint.dir``, else one in the
+    warehouse, which executors share as well. What is written there goes when the
+    application ends.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-            folder = tempfile.mkdtemp(prefix="stackroom-checkpoint-")
-        context.setCheckpointDir(folder)
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{warehouse}/_checkpoints")
+        folder = spark._jvm.org.apache.hadoop.fs.Path(context.getCheckpointDir())
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return df.checkpoint(eager=True)

@@ -2,38 +2,72 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_parquet(rows: DataFrame, path: str, overwrite: bool = False) -> None:
-    mode = "overwrite" if overwrite else "errorifexists"
-    rows.write.mode(mode).option("compression", "snappy").parquet(path)
+def _located(spark: SparkSession, path: str):
+    """The path and its file system, as Spark itself finds them."""
+    located = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return located, located.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-OPEN_PARTITIONS = 8
-_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` came to its end: its committer has left ``_SUCCESS``."""
+    mark, files = _located(spark, f"{path}/_SUCCESS")
+    return files.exists(mark)
 
 
-def replace_partitions(rows: DataFrame, path: str, column: str) -> None:
-    """Write the partitions present in ``rows`` and leave the others as they are.
+def remove(spark: SparkSession, path: str) -> None:
+    gone, files = _located(spark, path)
+    files.delete(gone, True)
 
-    A task reads whole files, so it meets few partitions: with that many files open
-    at a time Spark need not sort its rows by partition first.
-    """
-    conf = rows.sparkSession.conf
-    before = conf.get(_WRITERS)
-    conf.set(_WRITERS, str(OPEN_PARTITIONS))
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Put ``source`` in the place of ``target``, which may exist."""
+    old, files = _located(spark, target)
+    files.delete(old, True)
+    files.mkdirs(old.getParent())
+    if not files.rename(_located(spark, source)[0], old):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def write_parquet(rows: DataFrame, path: str, overwrite: bool = False) -> None:
+    """Write ``path`` as a whole. What an overwrite replaces stays until the new rows are
+    written beside it."""
+    spark = rows.sparkSession
+    if not overwrite:
+        rows.write.option("compression", "snappy").parquet(path)
+        return
+    folder, _, name = path.rpartition("/")
+    beside = f"{folder}/_new-{uuid.uuid4().hex}-{name}"
     try:
-        (
-            rows.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .option("compression", "snappy")
-            .partitionBy(column)
-            .parquet(path)
-        )
+        rows.write.option("compression", "snappy").parquet(beside)
+        move(spark, beside, path)
     finally:
-        conf.set(_WRITERS, before)
+        remove(spark, beside)
+
+
+#: The key that partitions are staged by: no column of the data, so none is lost.
+STAGED_KEY = "_staged_partition"
+
+
+def stage_partitions(rows: DataFrame, path: str, value: Column) -> None:
+    """Write ``rows`` below ``path`` in one folder per ``value``, all columns in the files.
+
+    A task reads whole files, so it meets few partitions: with
+    ``spark.sql.maxConcurrentOutputFileWriters`` set, it need not sort its rows first.
+    """
+    staged = rows.withColumn(STAGED_KEY, F.when(value != "", value))
+    staged.write.option("compression", "snappy").partitionBy(STAGED_KEY).parquet(path)
+
+
+def publish_partition(spark: SparkSession, staged: str, path: str, column: str, value: str) -> None:
+    """Move one staged partition to its place in ``path``, as folder ``column=value``."""
+    folder = value or "__HIVE_DEFAULT_PARTITION__"
+    move(spark, f"{staged}/{STAGED_KEY}={folder}", f"{path}/{column}={folder}")
 
 
 def write_csv_if_any(rows: DataFrame, path: str) -> bool:

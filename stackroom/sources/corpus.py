@@ -11,6 +11,9 @@ from stackroom.functions.paths import RAW_SUFFIX, relative_path, scanned_file
 
 INDEX_SUFFIX = "_id_idx.parquet"
 
+#: A listing is narrow: so many tasks read it, however many files it names.
+LISTING_TASKS = 32
+
 _INVENTORY = "rel_path string, length bigint, modified timestamp"
 
 
@@ -35,13 +38,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return _listing(spark, path) is not None
 
 
-def read_corpus(spark: SparkSession, *paths: str, merge_schema: bool = True) -> DataFrame:
+def read_corpus(
+    spark: SparkSession, *paths: str, merge_schema: bool = True, skip_damaged: bool = False
+) -> DataFrame:
     """All rows of the parquet files below the given paths.
 
     With ``merge_schema`` every footer is read (by Spark, in parallel), so a
     column that only some files have is kept; without it one file decides.
+    ``skip_damaged`` leaves out what cannot be read of a file; the caller counts rows.
     """
-    return _parquet(spark).option("mergeSchema", str(merge_schema).lower()).parquet(*paths)
+    reader = _parquet(spark).option("mergeSchema", str(merge_schema).lower())
+    return reader.option("ignoreCorruptFiles", str(skip_damaged).lower()).parquet(*paths)
 
 
 def file_inventory(spark: SparkSession, root: str, folder: str = "") -> DataFrame:

@@ -9,6 +9,10 @@ from stackroom.functions.paths import relative_path
 from stackroom.schemas import REPORT
 
 
+#: Folders beside those of the datasets.
+NO_DATASETS = ("archived", "reports", "download")
+
+
 def read_reports(spark: SparkSession, folder: str) -> DataFrame:
     """Reports named ``<command>-<number>.json`` with ``path`` and ``file_stamp``.
 
@@ -49,8 +53,9 @@ def read_logs(spark: SparkSession, root: str, command: str) -> DataFrame:
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
-    return lines.select(
-        F.substring_index(file, "/", 1).alias("dataset"),
+    dataset = F.substring_index(file, "/", 1)
+    return lines.where(~dataset.isin(*NO_DATASETS)).select(
+        dataset.alias("dataset"),
         file.alias("file"),
         position.alias("position"),
         "value",

@@ -181,7 +181,40 @@ def test_enrich_reports_lost_rows(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(job, "enrich", lambda raw: enrich(raw).where(~F.col("id").endswith("W2")))
     lossy = run_enrich(spark, str(tmp_path))
     assert phases(lossy) == {"enrich_rowcount": 1} and counts(lossy) == {"works": (1, 0, 1, 0)}
-    assert lossy.failures.first()["error_message"] == "rowcount mismatch src=2 enriched=1"
+    assert lossy.failures.first()["error_message"] == "2 rows in the source, 1 enriched"
+    assert not Path(f"{tmp_path}/works/updated_date=2020-01-01").exists()
+    monkeypatch.setattr(job, "enrich", enrich)
+    assert counts(run_enrich(spark, str(tmp_path))) == {"works": (1, 1, 0, 0)}
+    assert spark.read.parquet(f"{tmp_path}/works").count() == 2
+
+
+def test_enrich_keeps_a_column_named_like_the_partition(spark, tmp_path):
+    day = f"{tmp_path}/works_aws/updated_date=2020-01-02/p.parquet"
+    put(day, id=["W1"], abstract_inverted_index=['{"a":[0]}'], updated_date=["2020-01-01T10:11:12"])
+    for _ in range(2):
+        run_enrich(spark, str(tmp_path))
+        rows = corpus.read_corpus(spark, f"{tmp_path}/works")
+        assert [tuple(r) for r in rows.select("id", "updated_date", "abstract").collect()] == [("W1", "2020-01-01T10:11:12", "a")]
+        os.utime(day, (time.time() + 60, time.time() + 60))
+    assert not list(Path(f"{tmp_path}/works").glob("_staged*"))
+
+
+def test_enrich_with_damaged_files(spark, tmp_path):
+    """A damaged footer and a damaged page are a failure each; the other partitions are done."""
+    days = [raw_works(f"{tmp_path}/works_aws/updated_date=2020-01-0{k}/p.parquet", [f"W{k}0", f"W{k}1"]) for k in range(1, 5)]
+    raw_works(f"{tmp_path}/works_aws/updated_date=2020-01-04/empty.parquet", [])
+    whole = Path(days[0]).read_bytes()
+    Path(days[0]).write_bytes(whole[:-20])
+    page = bytearray(Path(days[1]).read_bytes())
+    page[4:60] = bytes(56)
+    Path(days[1]).write_bytes(bytes(page))
+    outcome = run_enrich(spark, str(tmp_path))
+    failed = {(r["phase"], r["rel_path"]) for r in outcome.failures.collect()}
+    assert failed == {("enrich", "updated_date=2020-01-01/p.parquet"), ("enrich", "updated_date=2020-01-02/p.parquet")}
+    assert sorted(r["id"] for r in spark.read.parquet(f"{tmp_path}/works").collect()) == [f"{URL}W{n}" for n in (30, 31, 40, 41)]
+    Path(days[0]).write_bytes(whole)
+    assert phases(run_enrich(spark, str(tmp_path))) == {"enrich": 1}
+    assert spark.read.parquet(f"{tmp_path}/works").count() == 6
 
 
 def test_stale(spark):
@@ -259,6 +292,23 @@ def test_verify_index_missing_or_incomplete(spark, tmp_path):
     assert phases(run_verify_index(spark, str(tmp_path))) == {"verify_index_schema": 3}
 
 
+def test_killed_index_write(spark, tmp_path):
+    """An index without its success mark is none; a failed overwrite leaves the old one."""
+    root = str(tmp_path)
+    put(f"{root}/works/a.parquet", id=[f"{URL}W1"])
+    put(f"{root}/authors/a.parquet", id=[f"{URL}A1"])
+    os.makedirs(f"{index_path(root, 'works')}/_temporary/0")
+    assert phases(run_verify_index(spark, root)) == {"verify_index_exists": 2}
+    assert counts(run_index(spark, root)) == {"authors": (1, 1, 0, 0), "works": (1, 1, 0, 0)}
+    assert not phases(run_verify_index(spark, root))
+    Path(f"{root}/works/a.parquet").write_bytes(b"PAR1 damaged")
+    assert phases(run_index(spark, root, "works", overwrite=True)) == {"index_stage1": 1}
+    assert spark.read.parquet(index_path(root, "works")).count() == 1
+    wrong = spark.read.parquet(index_path(root, "authors")).withColumn("id_block", F.lit(7)).toPandas()
+    spark.createDataFrame(wrong).write.mode("overwrite").parquet(index_path(root, "authors"))
+    assert phases(run_verify_index(spark, root, "authors")) == {"verify_index_block": 1}
+
+
 # --- extract -----------------------------------------------------------------
 
 
@@ -293,21 +343,29 @@ def test_extract_one_dataset(spark, scheme, indexed, tmp_path):
     assert done.missing.count() == 0
 
 
-def test_extract_many_files_and_blocks(spark, scheme, indexed, tmp_path, monkeypatch):
-    """Beyond its limits the job reads more, with the same result."""
+@pytest.mark.parametrize("large", [False, True])
+def test_extract_is_the_same_beyond_its_bounds(spark, scheme, indexed, tmp_path, monkeypatch, large):
+    """Schema drift and a missing file give the same columns, rows and failures either way."""
     from stackroom.operators import keyed
     from stackroom.plans import extract
 
     root, _ = indexed
+    put(f"{root}/works/updated_date=2020-01-03/c.parquet", id=[f"{URL}W1000000003"], extra=["e"])
+    run_index(spark, root, "works", overwrite=True)
     (tmp_path / "ids.csv").write_text("id\nW1000000001\nW1000000002\ndomains/2\n")
-    monkeypatch.setattr(extract, "MAX_FILES", 0)
-    monkeypatch.setattr(extract, "MAX_BLOCKS", 0)
-    monkeypatch.setattr(extract, "fits_broadcast", lambda keys: False)
-    monkeypatch.setattr(keyed, "fits_broadcast", lambda keys, size: False)
+    if large:
+        monkeypatch.setattr(extract, "MAX_BLOCKS", 0)
+        monkeypatch.setattr(extract, "fits_broadcast", lambda keys, size: False)
+        monkeypatch.setattr(keyed, "fits_broadcast", lambda keys, size: False)
     done = run_extract(spark, root, f"{tmp_path}/ids.csv", f"{tmp_path}/out/sel.parquet", scheme)
     rows = spark.read.parquet(done.outputs["works"])
+    assert rows.columns == ["id", "title"]
     assert sorted(r["title"] for r in rows.collect()) == ["Again", "Alpha", "Beta"]
     assert counts(done.outcome)["works"] == (2, 2, 0, 0)
+    (tmp_path / "more.csv").write_text("id\nW1000000001\nW1000000003\n")
+    os.remove(f"{root}/works/updated_date=2020-01-03/c.parquet")
+    gone = run_extract(spark, root, f"{tmp_path}/more.csv", f"{tmp_path}/out/gone.parquet", scheme)
+    assert phases(gone.outcome) == {"extract_write_output": 1} and counts(gone.outcome)["works"] == (2, 0, 2, 0)
 
 
 def test_output_path():
