@@ -29,7 +29,7 @@ from tokenizers import Tokenizer
 
 from stackroom.llm.common import process_cache
 
-REMEMBERED = 600_000
+REMEMBERED = 150_000
 LONGEST_REMEMBERED = 64
 ROWS_OUT = 128
 

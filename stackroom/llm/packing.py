@@ -38,9 +38,9 @@ LENGTH = 2048
 OPEN = 16
 TASKS_MERGED = 64
 ROWS_AT_ONCE = 128
-ROWS_OUT = 4096
+ROWS_OUT = 1024
 
-REMEMBERED = 600_000
+REMEMBERED = 150_000
 LONGEST_REMEMBERED = 64
 
 #: Code points below this one: Latin letters whose lower case is among them, and nothing that combines.
@@ -264,6 +264,7 @@ def packed(
         rows += packer.rest()
         if rows:
             yield out(rows)
+        pa.default_memory_pool().release_unused()  # the worker stays for later tasks
 
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")
     rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), text)
