@@ -72,9 +72,11 @@ def format_duration(seconds: Column) -> Column:
     )
 
 
-def started_local(unix_seconds: Column) -> Column:
-    """Start time in the session time zone."""
-    return F.from_unixtime(unix_seconds, "yyyy-MM-dd HH:mm:ss")
+def started_local(unix_seconds: Column, zone: str | None = None) -> Column:
+    """Start time in a zone, the session's unless one is given."""
+    utc = F.timestamp_add("SECOND", unix_seconds, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    there = F.convert_timezone(F.lit("UTC"), F.lit(zone) if zone else F.current_timezone(), utc)
+    return F.substring(there.cast("string"), 1, 19)
 
 
 def with_headroom(size: Column, tenths: int) -> Column:

@@ -58,8 +58,8 @@ def select_reports(reports: DataFrame, command: str | None = None, latest: bool
     return latest_per_command(chosen) if latest else chosen
 
 
-def report_summary(reports: DataFrame) -> DataFrame:
-    """One line per report."""
+def report_summary(reports: DataFrame, zone: str | None = None) -> DataFrame:
+    """One line per report; times are in ``zone``, or the session's."""
     return reports.select(
         "command",
         command_flow_rank(F.col("command")).alias("flow_rank"),
@@ -67,7 +67,7 @@ def report_summary(reports: DataFrame) -> DataFrame:
         "totals_failed",
         "totals_succeeded",
         "totals_skipped",
-        started_local(F.col("started_at_unix")).alias("started_local"),
+        started_local(F.col("started_at_unix"), zone).alias("started_local"),
         F.coalesce(format_duration(F.col("duration_seconds")), F.lit("-")).alias("runtime"),
         "path",
     )

@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stackroom.functions.ids import canonical_id, dataset_of, id_block, normalize_id
+from stackroom.operators.keyed import semi_join
 from stackroom.plans.extract import (
     extract_summary,
+    in_requested_blocks,
     lookup,
     matched_ids,
     matching_rows,
@@ -172,6 +174,26 @@ def extract_counts(spark, sf_dir):
     return extract_summary(accepted, matched_ids(hits))
 
 
+def lookup_beyond_bound(spark, sf_dir):
+    """The lookup as it runs when the requests are too large to broadcast."""
+    accepted = split_requests(_requests(spark, sf_dir), SCHEME).accepted
+    hits = lookup(_index(spark, sf_dir), accepted, max_bytes=0)
+    return hits.groupBy("parquet_file").agg(F.sum("n_rows").alias("n"))
+
+
+def extract_beyond_bound(spark, sf_dir):
+    """Row extraction with both sides shuffled and every id that is there twice salted."""
+    _, hits = _hits(spark, sf_dir)
+    return semi_join(_corpora(spark, sf_dir)["works"], matched_ids(hits), "id", max_bytes=0, hot_rows=2)
+
+
+def lookup_in_blocks(spark, sf_dir):
+    """Sources found in an index that is filtered by the blocks of the requests."""
+    accepted = split_requests(_requests(spark, sf_dir), SCHEME).accepted.where(F.col("dataset") == "sources")
+    index = _index(spark, sf_dir).withColumn("id_block", id_block(F.col("id")))
+    return lookup(in_requested_blocks(index, accepted), accepted)
+
+
 QUERIES = {
     "id_block": id_blocks,
     "id_normalize": id_normalize,
@@ -187,6 +209,9 @@ QUERIES = {
     "extract_unknown": extract_unknown,
     "extract_filtered": extract_filtered,
     "extract_summary": extract_counts,
+    "lookup_beyond_bound": lookup_beyond_bound,
+    "extract_beyond_bound": extract_beyond_bound,
+    "lookup_in_blocks": lookup_in_blocks,
 }
 
 _BLOCK = """
@@ -268,6 +293,13 @@ SQL = {
     "lookup_files": f"""
         WITH {_REQUESTS} SELECT parquet_file, count(*) AS n FROM idx
         WHERE id IN (SELECT id FROM accepted) GROUP BY parquet_file""",
+    "lookup_beyond_bound": f"""
+        WITH {_REQUESTS} SELECT parquet_file, count(*) AS n FROM idx
+        WHERE id IN (SELECT id FROM accepted) GROUP BY parquet_file""",
+    "lookup_in_blocks": f"""
+        WITH {_REQUESTS} SELECT id, parquet_file, count(*) AS n_rows FROM idx
+        WHERE id IN (SELECT id FROM accepted WHERE dataset = 'sources') GROUP BY id, parquet_file""",
+    "extract_beyond_bound": _requested("works"),
     "extract_rows": _requested("works"),
     "extract_rows_authors": _requested("authors"),
     "extract_rows_sources": _requested("sources"),

@@ -14,7 +14,7 @@ from stackroom.plans.download import (
     summarize_files,
     verify_files,
 )
-from stackroom.plans.enrich import row_parity, stale
+from stackroom.plans.enrich import row_parity, stale, stale_partitions
 from stackroom.plans.index import count_mismatch, dangling_files
 from stackroom.schemas import MANIFEST
 from stackroom.session import checkpointed
@@ -205,6 +205,20 @@ def stale_outputs(spark, sf_dir):
     return stale(source, output)
 
 
+def stale_days(spark, sf_dir):
+    """Days to rebuild: a file per user and day, the newest change against the oldest purchase."""
+    events = table(spark, sf_dir, "events")
+    user = F.concat(F.lit("/user="), F.col("user_id").cast("string"), F.lit(".parquet"))
+    path = F.concat(F.lit("updated_date="), _day("ts"), user).alias("rel_path")
+    bought = F.col("event_type") == "purchase"
+    last = F.max(seconds("ts")).alias("modified")
+    return stale_partitions(events.where(~bought).groupBy(path).agg(last), events.where(bought).groupBy(path).agg(last))
+
+
+def manifest_one_dataset(spark, sf_dir):
+    return manifest_files(manifest_entities(_manifest(spark, sf_dir), "works"))
+
+
 QUERIES = {
     "file_counts": file_counts,
     "file_counts_decoded": file_counts_decoded,
@@ -221,6 +235,8 @@ QUERIES = {
     "index_path_check": index_path_check,
     "row_parity": enrich_parity,
     "stale_outputs": stale_outputs,
+    "stale_partitions": stale_days,
+    "manifest_one_dataset": manifest_one_dataset,
 }
 
 _ORDER_FILES = """
@@ -314,6 +330,15 @@ SQL = {
              o AS (SELECT strftime(l_shipdate, '%Y-%m-%d') AS updated_date, count(*) AS n FROM lineitem GROUP BY 1)
         SELECT updated_date, coalesce(s.n, 0) AS source_rows, coalesce(o.n, 0) AS output_rows
         FROM s FULL JOIN o USING (updated_date)""",
+    "manifest_one_dataset": f"""
+        WITH {_FILES} SELECT dataset, url, content_length, record_count FROM files WHERE dataset = 'works'""",
+    "stale_partitions": """
+        WITH e AS (SELECT strftime(ts, '%Y-%m-%d') AS updated_date, user_id, event_type <> 'purchase' AS changed,
+                          max(epoch_us(ts) // 1000000) AS s FROM events GROUP BY ALL),
+             src AS (SELECT updated_date, max(s) AS modified FROM e WHERE changed GROUP BY 1),
+             made AS (SELECT updated_date, min(s) AS made FROM e WHERE NOT changed GROUP BY 1)
+        SELECT updated_date, modified FROM src LEFT JOIN made USING (updated_date)
+        WHERE made IS NULL OR made < modified""",
     "stale_outputs": """
         WITH e AS (SELECT 'user=' || user_id || '/part.parquet' AS rel_path, event_type, value,
                           epoch_us(ts) // 1000000 AS s FROM events),

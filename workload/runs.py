@@ -128,8 +128,7 @@ def report_totals(spark, sf_dir):
 
 def report_order(spark, sf_dir):
     """Reports in listing order."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return report_summary(in_report_order(_reports(spark, sf_dir)))
+    return report_summary(in_report_order(_reports(spark, sf_dir)), "UTC")
 
 
 def report_lines(spark, sf_dir):

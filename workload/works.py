@@ -137,6 +137,16 @@ def enrich_works(spark, sf_dir):
     return enrich(_works(spark, sf_dir)).select("id", "publication_year", "abstract", "citation")
 
 
+def enrich_abstract_only(spark, sf_dir):
+    """Works without authors get an abstract and no citation."""
+    return enrich(_works(spark, sf_dir).drop("authorships")).select("id", "publication_year", "abstract")
+
+
+def enrich_citation_only(spark, sf_dir):
+    """Works without an inverted index get a citation and no abstract."""
+    return enrich(_works(spark, sf_dir).drop("abstract_inverted_index")).select("id", "publication_year", "citation")
+
+
 QUERIES = {
     "abstract_roundtrip": abstract_roundtrip,
     "abstract_native_map": abstract_native_map,
@@ -146,6 +156,8 @@ QUERIES = {
     "citation": citations,
     "author_names": author_names,
     "enrich_works": enrich_works,
+    "enrich_abstract_only": enrich_abstract_only,
+    "enrich_citation_only": enrich_citation_only,
 }
 
 _JOINED = "array_to_string(list_filter(string_split(text, ' '), lambda w: w <> ''), ' ')"
@@ -182,6 +194,8 @@ SQL = {
         FROM documents""",
     "citation": f"WITH {_AUTHORS} SELECT id, {_CITATION} AS citation FROM works",
     "author_names": f"WITH {_AUTHORS} SELECT id, names[1] AS first_author, names[2] AS second_author FROM works",
+    "enrich_abstract_only": f"WITH {_AUTHORS} SELECT id, publication_year, {_JOINED} AS abstract FROM works",
+    "enrich_citation_only": f"WITH {_AUTHORS} SELECT id, publication_year, {_CITATION} AS citation FROM works",
     "enrich_works": f"""
         WITH {_AUTHORS}
         SELECT id, publication_year, {_JOINED} AS abstract, {_CITATION} AS citation FROM works""",
