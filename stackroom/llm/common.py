@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 import types
 import uuid
 
@@ -15,14 +14,10 @@ SPACES = r"[\x20\x09-\x0D]+"
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a local session without it gets its own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="stackroom-llm-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder.rstrip("/")
+    """The folder named by ``spark.checkpoint.dir``, else one in the warehouse: both are
+    shared by the driver and the executors."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
