@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stackroom.functions.paths import dataset_in, local_dir_for, manifest_url_to_local
+from stackroom.functions.paths import dataset_in, manifest_url_to_local
 from stackroom.functions.runs import whole_gib, with_headroom
 from stackroom.plans.outcome import Outcome, dataset_summary, failure_rows
 from stackroom.session import checkpointed
-from stackroom.sources.corpus import decoded_row_counts, file_inventory, file_row_counts
+from stackroom.sources.corpus import LISTING_TASKS, decoded_row_counts, file_inventory, file_row_counts
 from stackroom.sources.manifest import manifest_entities, manifest_files, read_manifest
 
 DOWNLOAD_TENTHS = 11
@@ -155,7 +155,7 @@ def run_verify_download(
     if entities.isEmpty():
         raise ValueError(f"dataset '{dataset}' not found in manifest")
     files = checkpointed(manifest_files(entities))
-    inventory = checkpointed(file_inventory(spark, parquet_dir))
+    inventory = checkpointed(file_inventory(spark, parquet_dir).coalesce(LISTING_TASKS))
     counts = None
     if mode != "quick" and not inventory.isEmpty():
         counts = _row_counts(spark, parquet_dir, files, inventory, mode == "full")
@@ -166,15 +166,19 @@ def run_verify_download(
 
 def _row_counts(
     spark: SparkSession, parquet_dir: str, files: DataFrame, inventory: DataFrame, full: bool
-) -> DataFrame:
-    """Counts for the manifest's dataset folders, each read with its own schema."""
-    folder = local_dir_for(F.col("dataset")).alias("folder")
-    wanted = files.select(folder).distinct()
-    present = inventory.select(F.substring_index("rel_path", "/", 1).alias("folder")).distinct()
-    folders = [row["folder"] for row in wanted.join(present, "folder", "left_semi").collect()]
+) -> DataFrame | None:
+    """Counts of the files that passed presence and size, each folder with its own schema.
+
+    The driver collects the names, as any scan of the files makes it hold them.
+    """
+    wanted = files.select(manifest_url_to_local(F.col("url")).alias("rel_path"), "content_length")
+    sound = wanted.join(inventory, "rel_path").where("length = content_length").select("rel_path").distinct()
+    paths: dict[str, list[str]] = {}
+    for row in sound.orderBy("rel_path").collect():
+        paths.setdefault(row["rel_path"].partition("/")[0], []).append(row["rel_path"])
     read = decoded_row_counts if full else file_row_counts
     counts = None
-    for name in sorted(folders):
-        one = read(spark, parquet_dir, name)
+    for names in paths.values():
+        one = read(spark, parquet_dir, *names)
         counts = one if counts is None else counts.unionByName(one)
     return counts

@@ -85,12 +85,25 @@ def output_path(base: str, dataset: str) -> str:
     return f"{folder}{slash}{stem or 'extract'}_{dataset}.parquet"
 
 
-def append_report(report: DataFrame, failures: DataFrame, folder: str, nonce: int) -> None:
-    """Append one run to the report table and its failures to the failure table.
+def append_report(report: DataFrame, failures: DataFrame, folder: str, nonce: int) -> str:
+    """Write one run's report to ``folder`` as ``<command>-<nonce>.json``, as ``read_reports``
+    reads it, and its failures to the table ``<folder>-failures``.
 
-    The failures stay rows of their own, as a run may have very many.
+    A run may have very many failures, so they stay rows of their own; the report holds the
+    first of each dataset and phase, by which it can be found.
     """
-    report.write.mode("append").parquet(f"{folder}/reports")
-    failures.withColumn("report_nonce", F.lit(nonce).cast("bigint")).write.mode("append").parquet(
-        f"{folder}/failures"
-    )
+    spark = report.sparkSession
+    rows = failures.withColumn("report_nonce", F.lit(nonce).cast("bigint"))
+    rows.write.mode("append").parquet(f"{folder}-failures")
+    whole = F.struct(*failures.columns)
+    firsts = failures.groupBy("dataset", "phase").agg(F.min_by(whole, F.coalesce("rel_path", F.lit(""))).alias("one"))
+    shown = firsts.agg(F.array_sort(F.collect_list("one")).alias("failures"))
+    full = report.drop("failures").join(shown)  # one row each
+    row = full.select("command", F.to_json(F.struct(*report.columns)).alias("text")).first()
+    path, files = _located(spark, f"{folder}/{row['command']}-{nonce}.json")
+    out = files.create(path)
+    try:
+        out.write(bytearray(row["text"].encode()))
+    finally:
+        out.close()
+    return path.toString()

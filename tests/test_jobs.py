@@ -15,9 +15,10 @@ from stackroom.plans.download import plan_download, run_verify_download
 from stackroom.plans.enrich import enrich, run_enrich, stale
 from stackroom.plans.extract import run_extract
 from stackroom.plans.index import index_path, run_index, run_verify_index
-from stackroom.plans.reports import new_report, run_steps
+from stackroom.plans.reports import latest_per_command, new_report, prunable_reports, run_steps
 from stackroom.sinks.outputs import append_report, output_path
 from stackroom.sources import corpus
+from stackroom.sources.runs import read_reports
 from stackroom.sources.idlist import read_id_list
 from stackroom.sources.manifest import manifest_entities, manifest_files, read_manifest
 
@@ -451,6 +452,13 @@ def test_full_mode_finds_a_damaged_page(spark, mirrored):
     assert phases(verify(spark, mirrored, mode="full")) == {"validate_parquet_rowcount": 1}
 
 
+def test_full_mode_leaves_extra_files_alone(spark, mirrored):
+    """A file that the manifest does not list is not decoded, whatever is in it."""
+    root, _, _ = mirrored
+    (root / "works_aws/updated_date=2020-01-01/extra.parquet").write_bytes(b"PAR1 nothing")
+    assert not phases(verify(spark, mirrored, mode="full"))
+
+
 def test_damaged_footer_is_a_failure_row(spark, mirrored):
     root, _, _ = mirrored
     path = root / "works_aws/updated_date=2020-01-01/p.parquet"
@@ -486,10 +494,25 @@ def test_steps_and_report(spark, indexed, tmp_path):
     root, outcome = indexed
     report = new_report(outcome, "index", {"root_dir": root}, 1_700_000_000_500, 1_700_000_003_000)
     append_report(report, outcome.failures, f"{tmp_path}/meta", 1_700_000_000_500)
-    row = spark.read.parquet(f"{tmp_path}/meta/reports").first()
+    row = read_reports(spark, f"{tmp_path}/meta").first()
     assert (row["totals_items_scanned"], row["totals_succeeded"], row["duration_seconds"]) == (3, 3, 3.0)
     assert row["args"] == {"root_dir": root} and len(row["datasets"]) == 2
 
+    later = new_report(outcome, "index", {}, 1_700_000_100_000, 1_700_000_101_000)
+    append_report(later, outcome.failures, f"{tmp_path}/meta", 1_700_000_100_000)
+    os.remove(f"{root}/works/updated_date=2020-01-02/b.parquet")
+    bad = run_verify_index(spark, root)
+    append_report(new_report(bad, "verify_index", {}, 1_700_000_200_000, 1_700_000_201_000), bad.failures, f"{tmp_path}/meta", 1_700_000_200_000)
+    reports = read_reports(spark, f"{tmp_path}/meta")
+    assert {(r["command"], r["file_stamp"]) for r in latest_per_command(reports).collect()} == {
+        ("index", 1_700_000_100_000), ("verify_index", 1_700_000_200_000),
+    }
+    assert [r["file_stamp"] for r in prunable_reports(reports, 1, "index").collect()] == [1_700_000_000_500]
+    found = reports.where("command = 'verify_index'").first()
+    assert {f["phase"] for f in found["failures"]} == {"verify_index_count"} and found["totals_failed"] == 1
+    assert spark.read.parquet(f"{tmp_path}/meta-failures").count() == 1
+    put(f"{root}/works/updated_date=2020-01-02/b.parquet", id=[f"{URL}W1000000002", f"{URL}W1000000001"], title=["Beta", "Again"])
+
     def broken():
         raise RuntimeError("no index")
 
