@@ -53,6 +53,7 @@ class Scheme:
     width: int = 32  # bits of a segment, probed with a ball of radius 1
     n_segments: int = 2
     max_distance: int = 2
+    similarity: float | None = None  # least Jaccard similarity of the shingle sets of a link
 
     def segments(self) -> list[tuple[int, int]]:
         """(word, first bit) of each segment; segments do not cross words."""
@@ -66,14 +67,18 @@ def similar(n_rows: int, similarity: float = 0.8, recall: float = 0.9, shingle:
     Sets of similarity ``s`` have a cosine of ``2 s / (1 + s)``, which fixes the share of
     differing bits. A segment is about as wide as the number of rows has bits, so a bucket
     holds about one row by chance at any size; so many segments are taken that a pair at the
-    given similarity is met with the wanted probability.
+    given similarity is met with the wanted probability. The distance allows for two standard
+    deviations more than the mean, so that few such pairs are beyond it; pairs that are less
+    similar and yet within it go when the shingle sets themselves are compared.
     """
     differing = np.arccos(2 * similarity / (1 + similarity)) / np.pi
     width = min(32, max(16, int(n_rows).bit_length()))
     met = (1 - differing) ** width + width * differing * (1 - differing) ** (width - 1)  # at most one bit differs
     n_segments = int(np.ceil(np.log(1 - recall) / np.log(1 - met)))
     n_words = -(-n_segments // (64 // width))
-    return Scheme(shingle, n_words, width, n_segments, int(np.ceil(64 * n_words * differing)))
+    bits = 64 * n_words
+    most = bits * differing + 2 * np.sqrt(bits * differing * (1 - differing))
+    return Scheme(shingle, n_words, width, n_segments, int(np.ceil(most)), similarity)
 
 
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
@@ -218,6 +223,46 @@ def components(edges: DataFrame) -> DataFrame:
         )
 
 
+def _shingle_sets(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):  # one at a time: a set is as large as its text
+                hashes = [*shingle_hashes(batch.column(1)[row].as_py(), shingle)]
+                unique = np.unique(np.concatenate(hashes)) if hashes else np.zeros(0, np.uint64)
+                found = pa.array([unique.tobytes()], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, 1), found], names=["node", "shingles"])
+
+    return run
+
+
+def _alike(least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("in_a"), batch.column("in_b")):
+                sets = [np.frombuffer(v.as_py(), np.uint64) for v in (x, y)]
+                both = len(np.intersect1d(*sets, assume_unique=True))
+                keep.append(both >= least * (len(sets[0]) + len(sets[1]) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def similar_links(pairs: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
+    """The ``pairs`` whose shingle sets are as similar as the scheme asks.
+
+    Sets are made only of texts (``node, text``) that a pair names, and pairs are as many as
+    links: crowded buckets have given stars.
+    """
+    pairs = kept_table(pairs.distinct(), "pairs")
+    named = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = texts.join(named, "node", "left_semi").mapInArrow(_shingle_sets(scheme.shingle), "node bigint, shingles binary")
+    sets = kept_table(sets, "shingles")
+    joined = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("in_a")), "a")
+    joined = joined.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("in_b")), "b")
+    return joined.mapInArrow(_alike(scheme.similarity), "a bigint, b bigint")
+
+
 def near_groups(
     docs: DataFrame, scheme: Scheme = Scheme(), id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -225,6 +270,11 @@ def near_groups(
     rows = kept_table(fingerprints(docs, scheme, id_col, text_col), "fingerprints")
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("node"))
     nodes = kept_table(nodes, "nodes")
-    linked = components(links(nodes.where("node is not null"), scheme))
+    pairs = links(nodes.where("node is not null"), scheme)
+    if scheme.similarity is not None:
+        text = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")
+        texts = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("node"), text.alias("text"))
+        pairs = similar_links(pairs, texts, scheme)
+    linked = components(pairs)
     named = nodes.join(linked, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     return rows.join(kept_table(named, "named"), "fp").select("doc_id", "fp", "component_id")

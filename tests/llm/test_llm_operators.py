@@ -181,6 +181,26 @@ def test_links_with_heavy_buckets(spark, monkeypatch, n_words, width, most):
     assert {k: got.get(k, k) for k in nodes} == want and len(set(want.values())) < len(want)
 
 
+def test_similar_pairs(spark):
+    """Of pairs at a Jaccard similarity of 0.8 or more nearly all are found, and no others."""
+    texts = {}
+    for k in range(120):
+        texts[2 * k] = fixtures.prose(300, 5000 + k)
+        texts[2 * k + 1] = fixtures.edited(texts[2 * k], 25 + k)
+
+    def shingles(text):
+        words = text.lower().split()
+        return {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
+
+    sets = {k: shingles(t) for k, t in texts.items()}
+    want = {k for k in range(120) if len(sets[2 * k] & sets[2 * k + 1]) >= 0.8 * len(sets[2 * k] | sets[2 * k + 1])}
+    docs = fixtures.table(spark, list(texts.items()))
+    found = {r.doc_id: r.component_id for r in simhash.near_groups(docs, simhash.similar(len(texts))).collect()}
+    got = {k for k in range(120) if found[2 * k + 1] == 2 * k}
+    assert got <= want and len(got) >= 0.9 * len(want) and 20 < len(want) < 120
+    assert all(found[2 * k] == 2 * k for k in range(120))
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(50)], "a bigint, b bigint")
     assert {r.component for r in simhash.components(edges).collect()} == {0}
