@@ -36,7 +36,7 @@ SPELLINGS = (
     ("gplv3", "gpl version 3"),
 )
 COPYRIGHT_LINE = r"^[^a-z0-9©(]*(copyright|\(c\)|©)[^a-z]"
-PUNCTUATION = r"[\x00-\x2F\x3A-\x60\x7B-\x7F‘’“”–—…©®™ ]+"
+PUNCTUATION = r"[\x00-\x2F\x3A-\x60\x7B-\x7F‘’“”–—…©®™" + "\u00a0]+"
 
 _MIT_GRANT = (
     "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "

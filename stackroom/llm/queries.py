@@ -125,6 +125,34 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scanned(table(spark, sf_dir, "documents"))
 
 
+def _sql_lines(text: str) -> str:
+    joined = f"array_to_string(list_filter(string_split(lower({text}), chr(10)), lambda l: NOT regexp_matches(l, '{licenses.COPYRIGHT_LINE}')), chr(1))"
+    for old, new in licenses.SPELLINGS:
+        joined = f"replace({joined}, '{old}', '{new}')"
+    punctuation = licenses.PUNCTUATION.replace(r"\x00", r"\x02")
+    return f"list_transform(string_split(regexp_replace({joined}, '{punctuation}', ' ', 'g'), chr(1)), lambda l: trim(l, ' '))"
+
+
+_WORDED = "list_filter(ls, lambda l: l <> '')"
+_KNOWN = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in licenses.KNOWN)
+
+OP9_SQL = f"""
+WITH known AS (
+  SELECT sha256(array_to_string({_WORDED}, ' ')) AS digest, min(license_id) AS license_id
+  FROM (SELECT license_id, {_sql_lines("text")} AS ls FROM (VALUES {_KNOWN}) AS v(license_id, text)) GROUP BY 1
+),
+d AS (SELECT row_number() OVER () AS r, doc_id, {_sql_lines("coalesce(text, '')")} AS ls FROM documents),
+u AS (SELECT r, doc_id, {_WORDED} AS ls, sha256(array_to_string({_WORDED}, ' ')) AS text_digest FROM d),
+each AS (SELECT r, sha256(line) AS digest FROM (SELECT r, unnest(ls) AS line FROM u) UNION ALL SELECT r, text_digest FROM u),
+hits AS (
+  SELECT r, list_sort(list(DISTINCT license_id)) AS ids FROM each JOIN known USING (digest)
+  WHERE digest <> sha256('') GROUP BY r
+)
+SELECT doc_id, text_digest, license_id, coalesce(array_to_string(ids, ','), '') AS notices, coalesce(len(ids), 0) AS n_notices
+FROM u LEFT JOIN hits USING (r) LEFT JOIN known ON digest = text_digest AND text_digest <> sha256('')
+"""
+
+
 def op10_online_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.packed(table(spark, sf_dir, "documents"), path, with_ids=False).drop("ids")
@@ -146,4 +174,5 @@ QUERIES = {
 SQL = {
     "op1_cuckoo_dedup": OP1_SQL,
     "op3_line_rules": OP3_SQL,
+    "op9_license_scan": OP9_SQL,
 }

@@ -53,6 +53,12 @@ def test_line_rules(docs):
     assert not texts[13].kept and not texts[14].kept and texts[1].kept and texts[7].kept
 
 
+def test_license_scan_of_odd_rows(docs):
+    got = licenses.scanned(docs)
+    names, want = by_sql(docs, queries.OP9_SQL)
+    assert names == got.columns and ordered(got.collect()) == want
+
+
 def test_license_scan(spark):
     grant = licenses._MIT_GRANT
     rows = [
