@@ -62,7 +62,7 @@ def _entry_per_word(text: Column) -> Column:
     return F.concat(F.lit("{"), F.array_join(bare, ","), F.lit("}"))
 
 
-def _works(spark: SparkSession, sf_dir: str) -> DataFrame:
+def derived_works(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as works. Authors are the first words of the lines, null where the
     word ends a sentence; Spanish works have no author list, German ones no year."""
     name = F.transform(F.split("text", "\n"), lambda line: F.substring_index(line, " ", 1))
@@ -119,12 +119,12 @@ def inverted_index_entries(spark, sf_dir):
 
 
 def citations(spark, sf_dir):
-    works = _works(spark, sf_dir)
+    works = derived_works(spark, sf_dir)
     return works.select("id", citation(F.col("authorships"), F.col("publication_year")).alias("citation"))
 
 
 def author_names(spark, sf_dir):
-    works = _works(spark, sf_dir)
+    works = derived_works(spark, sf_dir)
     authors = F.col("authorships")
     return works.select(
         "id",
@@ -134,17 +134,17 @@ def author_names(spark, sf_dir):
 
 
 def enrich_works(spark, sf_dir):
-    return enrich(_works(spark, sf_dir)).select("id", "publication_year", "abstract", "citation")
+    return enrich(derived_works(spark, sf_dir)).select("id", "publication_year", "abstract", "citation")
 
 
 def enrich_abstract_only(spark, sf_dir):
     """Works without authors get an abstract and no citation."""
-    return enrich(_works(spark, sf_dir).drop("authorships")).select("id", "publication_year", "abstract")
+    return enrich(derived_works(spark, sf_dir).drop("authorships")).select("id", "publication_year", "abstract")
 
 
 def enrich_citation_only(spark, sf_dir):
     """Works without an inverted index get a citation and no abstract."""
-    return enrich(_works(spark, sf_dir).drop("abstract_inverted_index")).select("id", "publication_year", "citation")
+    return enrich(derived_works(spark, sf_dir).drop("abstract_inverted_index")).select("id", "publication_year", "citation")
 
 
 QUERIES = {
