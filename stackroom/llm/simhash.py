@@ -13,7 +13,10 @@ way that loses no link:
   fingerprint; two share a point if and only if they are at distance 2 or less, and a point
   holds 65 fingerprints at most;
 - beyond, all that meet in the bucket are compared with its smallest member. Those linked to
-  it are one component already; the others are compared with all.
+  it are one component already; the others are compared with all. Where a link also needs
+  similar shingle sets, "linked" means verified: stars are verified, further members become
+  centres (the most linked one, and the smallest outside the bucket's largest component) while
+  that shrinks the rest, and what is then left outside is compared with all.
 
 Copies share a fingerprint and are one node, named by their smallest id. Components come from
 label propagation with pointer jumping over tables in the shared folder.
@@ -150,8 +153,9 @@ def _near(scheme: Scheme) -> Column:
     return reduce(lambda x, y: x + y, words) <= scheme.max_distance
 
 
-def links(nodes: DataFrame, scheme: Scheme) -> DataFrame:
-    """``a, b``: enough links between ``nodes`` (``node, fp``) for their components.
+def _buckets(nodes: DataFrame, scheme: Scheme) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """The pairs ``a, b`` that meet in small buckets, the crowded ones (``key, n, leader``), and
+    who meets there (None if nobody does).
 
     Of two segments that differ in one bit, one has the bit set: it is enough that a probe
     clears the set bits of its segment in turn, which is half of the ball.
@@ -164,10 +168,21 @@ def links(nodes: DataFrame, scheme: Scheme) -> DataFrame:
     heavy = tables.groupBy("key").agg(F.count("*").alias("n"), F.min("node_b").alias("leader")).where(F.col("n") > BUCKET)
     heavy = kept_table(heavy, "heavy")
     found = probes.join(tables.join(heavy, "key", "left_anti"), "key").where((F.col("node") != F.col("node_b")) & _near(scheme))
-    found = found.select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b"))
+    found = _ordered(found)
     if heavy.isEmpty():
+        return found, heavy, None
+    return found, heavy, kept_table(probes.join(heavy.select("key", "leader"), "key"), "crowd")
+
+
+def _ordered(met: DataFrame) -> DataFrame:
+    return met.select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b"))
+
+
+def links(nodes: DataFrame, scheme: Scheme) -> DataFrame:
+    """``a, b``: enough links by distance between ``nodes`` (``node, fp``) for their components."""
+    found, _, crowd = _buckets(nodes, scheme)
+    if crowd is None:
         return found
-    crowd = kept_table(probes.join(heavy.select("key", "leader"), "key"), "crowd")
     if scheme.max_distance <= 2 and scheme.n_words == 1:
         return found.unionByName(_through_points(crowd))
     return found.unionByName(_through_leaders(crowd, nodes, scheme))
@@ -251,8 +266,7 @@ def _alike(least: float):
 def similar_links(pairs: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
     """The ``pairs`` whose shingle sets are as similar as the scheme asks.
 
-    Sets are made only of texts (``node, text``) that a pair names, and pairs are as many as
-    links: crowded buckets have given stars.
+    Sets are made only of texts (``node, text``) that a pair names.
     """
     pairs = kept_table(pairs.distinct(), "pairs")
     named = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -263,6 +277,59 @@ def similar_links(pairs: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFra
     return joined.mapInArrow(_alike(scheme.similarity), "a bigint, b bigint")
 
 
+def alike_links(nodes: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
+    """``a, b``: enough verified links between ``nodes`` for the components of all pairs that
+    meet, are near, and have shingle sets as similar as the scheme asks.
+
+    A pair is left out only if verified links join its ends already. Crowded buckets give stars
+    round by round, for as long as a round takes a quarter of the rest into the largest
+    components; then the rest is compared with all.
+    """
+    found, heavy, crowd = _buckets(nodes, scheme)
+    if crowd is None:
+        return similar_links(found, texts, scheme)
+    crowd = crowd.drop("leader")
+    words = [F.col(f"w{k}").alias(f"w{k}_b") for k in range(scheme.n_words)]
+    members, leaders, before = crowd.withColumn("label", F.col("node")), heavy.select("key", "leader"), None
+    good = tried = used = None
+    while True:
+        used = leaders if used is None else used.unionByName(leaders)
+        centres = members.join(leaders, "key").where("node = leader")
+        centres = centres.select("key", F.col("node").alias("node_b"), F.col("label").alias("label_b"), *words)
+        met = members.join(centres, "key").where((F.col("label") != F.col("label_b")) & _near(scheme))
+        pairs = _ordered(met).distinct()
+        pairs = kept_table(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "star-pairs")
+        alike = kept_table(similar_links(pairs, texts, scheme), "alike")
+        good = alike if good is None else good.unionByName(alike)
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        labels = kept_table(components(good), "components")
+        named = labels.withColumnRenamed("component", "label")
+        members = kept_table(
+            crowd.join(named, "node", "left").withColumn("label", F.coalesce("label", "node")), "members"
+        )
+        largest = members.groupBy("key", "label").agg(F.count("*").alias("n"))
+        largest = largest.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("main"))
+        rest = kept_table(members.join(largest, "key").where("label != main").drop("main"), "rest")
+        left = rest.count()
+        if not left or (before is not None and 4 * left > 3 * before):
+            break
+        before = left
+        degrees = good.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
+        fresh = members.join(rest.select("key").distinct(), "key", "left_semi")
+        fresh = fresh.join(used.withColumnRenamed("leader", "node"), ["key", "node"], "left_anti")
+        most = fresh.join(degrees, "node").groupBy("key").agg(F.max_by("node", F.struct("degree", "node")).alias("leader"))
+        least = rest.join(used.withColumnRenamed("leader", "node"), ["key", "node"], "left_anti")
+        least = least.groupBy("key").agg(F.min("node").alias("leader"))
+        leaders = kept_table(most.unionByName(least).distinct(), "leaders")
+    every = members.select("key", F.col("node").alias("node_b"), F.col("label").alias("label_b"), *words)
+    among = rest.join(every, "key").where((F.col("label") != F.col("label_b")) & _near(scheme))
+    last = found.unionByName(_ordered(among)).distinct().join(tried, ["a", "b"], "left_anti")
+    for end in ("a", "b"):
+        last = last.join(labels.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}")), end, "left")
+    last = last.where("coalesce(of_a, a) != coalesce(of_b, b)").select("a", "b")
+    return good.unionByName(similar_links(last, texts, scheme))
+
+
 def near_groups(
     docs: DataFrame, scheme: Scheme = Scheme(), id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -270,11 +337,12 @@ def near_groups(
     rows = kept_table(fingerprints(docs, scheme, id_col, text_col), "fingerprints")
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("node"))
     nodes = kept_table(nodes, "nodes")
-    pairs = links(nodes.where("node is not null"), scheme)
-    if scheme.similarity is not None:
+    if scheme.similarity is None:
+        pairs = links(nodes.where("node is not null"), scheme)
+    else:
         text = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")
         texts = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("node"), text.alias("text"))
-        pairs = similar_links(pairs, texts, scheme)
+        pairs = alike_links(nodes.where("node is not null"), texts, scheme)
     linked = components(pairs)
     named = nodes.join(linked, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     return rows.join(kept_table(named, "named"), "fp").select("doc_id", "fp", "component_id")

@@ -207,6 +207,27 @@ def test_similar_pairs(spark):
     assert all(found[2 * k] == 2 * k for k in range(120))
 
 
+@pytest.mark.parametrize("bucket", [3, 64])
+def test_similar_pairs_in_crowded_buckets(spark, monkeypatch, bucket):
+    """Edits of one text, alike to it but not to each other, are one component however many
+    meet in a bucket, and whichever has the smallest id."""
+    monkeypatch.setattr(simhash, "BUCKET", bucket)
+    text, rng = fixtures.prose(300, 77), np.random.default_rng(3)
+    rows = [(500, text)]
+    for k in range(40):
+        words = text.split(" ")
+        for at in rng.choice(np.arange(5, len(words) - 5), 5, replace=False):
+            words[at] = f"edit{k}x{at}"
+        rows.append((k, " ".join(words)))
+    # Low segments of 8 bits, so that all meet, and every distance: only the sets decide.
+    scheme = simhash.Scheme(5, 1, 8, 8, 64, 0.8)
+    found = simhash.near_groups(fixtures.table(spark, rows), scheme).collect()
+    sets = {i: {tuple(t.lower().split()[k : k + 5]) for k in range(len(t.split()) - 4)} for i, t in rows}
+    alike = [i for i in range(40) if len(sets[i] & sets[500]) >= 0.8 * len(sets[i] | sets[500])]
+    assert len(alike) > 30 and sum(len(sets[a] & sets[0]) >= 0.8 * len(sets[a] | sets[0]) for a in alike) < 20
+    assert {r.component_id for r in found if r.doc_id in {*alike, 500}} == {min(alike)}
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(50)], "a bigint, b bigint")
     assert {r.component for r in simhash.components(edges).collect()} == {0}
