@@ -18,13 +18,15 @@ way that loses no link:
   centres (the most linked one, and the smallest outside the bucket's largest component) while
   that shrinks the rest, and what is then left outside is compared with all.
 
-Copies share a fingerprint and are one node, named by their smallest id. Components come from
-label propagation with pointer jumping over tables in the shared folder.
+Texts with one fingerprint are one node or, where links need similar shingle sets, texts with one
+shingle set (by 128-bit hash): an equal fingerprint then makes a candidate only. Nodes have
+numbers of their own, for ids may be null or repeat; a component is named by its smallest id.
+Components come from label propagation with pointer jumping over tables in the shared folder.
 
 Results for odd input: null and empty texts, and those of white space only, have fingerprint
 zero and are linked to each other like any others; texts of fewer words than a shingle are one
-shingle; rows that repeat an id share its node; a row with a null id has the component of the
-other rows with its fingerprint, or null if there is none; an empty table gives an empty table.
+shingle; rows that repeat an id are nodes by their texts; a row with a null id links others like
+any row, and its component is null if no row of it has an id; an empty table gives an empty table.
 Long texts are hashed in slices, so a task holds one text and its words at a time.
 """
 
@@ -41,6 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stackroom.llm.common import kept_table
+from stackroom.llm.suffix_index import text_key
 
 SEED = 42
 BUCKET = 64
@@ -106,6 +109,12 @@ def shingle_hashes(text: bytes, shingle: int) -> Iterator[np.ndarray]:
         yield np.array([xxhash.xxh64_intdigest(b" ".join(t), SEED) for t in tuples], np.uint64)
 
 
+def shingle_set(text: bytes, shingle: int) -> np.ndarray:
+    """The distinct shingle hashes of the whole text, in order."""
+    hashes = [*shingle_hashes(text, shingle)]
+    return np.unique(np.concatenate(hashes)) if hashes else np.zeros(0, np.uint64)
+
+
 def fingerprint(text: bytes, shingle: int, n_words: int = 1) -> list[int]:
     """Signed 64-bit words; a bit is set if more than half of the shingle hashes have it."""
     counts, total = np.zeros((n_words, 8, 8), np.int64), 0
@@ -242,9 +251,7 @@ def _shingle_sets(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):  # one at a time: a set is as large as its text
-                hashes = [*shingle_hashes(batch.column(1)[row].as_py(), shingle)]
-                unique = np.unique(np.concatenate(hashes)) if hashes else np.zeros(0, np.uint64)
-                found = pa.array([unique.tobytes()], pa.binary())
+                found = pa.array([shingle_set(batch.column(1)[row].as_py(), shingle).tobytes()], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, 1), found], names=["node", "shingles"])
 
     return run
@@ -270,7 +277,7 @@ def similar_links(pairs: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFra
     """
     pairs = kept_table(pairs.distinct(), "pairs")
     named = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = texts.join(named, "node", "left_semi").mapInArrow(_shingle_sets(scheme.shingle), "node bigint, shingles binary")
+    sets = texts.join(named, "node", "left_semi").select("node", "text").mapInArrow(_shingle_sets(scheme.shingle), "node bigint, shingles binary")
     sets = kept_table(sets, "shingles")
     joined = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("in_a")), "a")
     joined = joined.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("in_b")), "b")
@@ -330,19 +337,61 @@ def alike_links(nodes: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame
     return good.unionByName(similar_links(last, texts, scheme))
 
 
+def _set_rows(scheme: Scheme):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps, sets = [], []
+            for text in batch.column(3):  # one at a time: a set is as large as its text
+                text = text.as_py()
+                fps.append(fingerprint(text, scheme.shingle, scheme.n_words))
+                sets.append(xxhash.xxh3_128_digest(shingle_set(text, scheme.shingle).tobytes()))
+            columns = [*batch.columns[:3], pa.array(fps, pa.list_(pa.int64())), pa.array(sets, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "k1", "k2", "fp", "shingles"])
+
+    return run
+
+
+def _keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, k1, k2, text`` (binary); the text's key tells rows that repeat an id apart."""
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")
+    rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), text.alias("text"))
+    return rows.select("doc_id", *text_key(F.col("text")), "text")
+
+
+def _components_of(rows: DataFrame, same: str, joined) -> DataFrame:
+    """``rows`` with the ``component_id`` of those that are equal in ``same`` or linked by
+    ``joined(nodes)``."""
+    firsts = [F.first(c).alias(c) for c in rows.columns if c == "fp" and c != same]
+    if "k1" in rows.columns:  # the row whose text stands for the node
+        firsts.append(F.min(F.struct("k1", "k2", "doc_id")).alias("of"))
+    nodes = rows.groupBy(same).agg(F.min("doc_id").alias("least_id"), *firsts)
+    nodes = kept_table(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    linked = components(joined(nodes))
+    named = nodes.join(linked, "node", "left").select(same, "least_id", F.coalesce("component", "node").alias("component"))
+    named = kept_table(named, "named")
+    ids = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    return rows.join(kept_table(named.join(ids, "component").select(same, "component", "component_id"), "named"), same)
+
+
+def similar_groups(docs: DataFrame, scheme: Scheme, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, k1, k2, fp, component, component_id`` for every row: groups by verified links."""
+    texts = _keyed_texts(docs, id_col, text_col)
+    kinds = "doc_id bigint, k1 bigint, k2 bigint, fp array<bigint>, shingles binary"
+    rows = kept_table(texts.mapInArrow(_set_rows(scheme), kinds), "fingerprints")
+
+    def joined(nodes: DataFrame) -> DataFrame:
+        of = nodes.select("node", F.col("of.k1").alias("of1"), F.col("of.k2").alias("of2"), F.col("of.doc_id").alias("of_id"))
+        same = (F.col("k1") == F.col("of1")) & (F.col("k2") == F.col("of2")) & F.col("doc_id").eqNullSafe(F.col("of_id"))
+        return alike_links(nodes.select("node", "fp"), texts.join(of, same).select("node", "text"), scheme)
+
+    return _components_of(rows, "shingles", joined).drop("shingles")
+
+
 def near_groups(
     docs: DataFrame, scheme: Scheme = Scheme(), id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``doc_id, fp, component_id`` for every row of ``docs``."""
+    if scheme.similarity is not None:
+        return similar_groups(docs, scheme, id_col, text_col).select("doc_id", "fp", "component_id")
     rows = kept_table(fingerprints(docs, scheme, id_col, text_col), "fingerprints")
-    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("node"))
-    nodes = kept_table(nodes, "nodes")
-    if scheme.similarity is None:
-        pairs = links(nodes.where("node is not null"), scheme)
-    else:
-        text = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")
-        texts = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("node"), text.alias("text"))
-        pairs = alike_links(nodes.where("node is not null"), texts, scheme)
-    linked = components(pairs)
-    named = nodes.join(linked, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return rows.join(kept_table(named, "named"), "fp").select("doc_id", "fp", "component_id")
+    return _components_of(rows, "fp", lambda nodes: links(nodes, scheme)).select("doc_id", "fp", "component_id")

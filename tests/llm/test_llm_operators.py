@@ -228,6 +228,21 @@ def test_similar_pairs_in_crowded_buckets(spark, monkeypatch, bucket):
     assert {r.component_id for r in found if r.doc_id in {*alike, 500}} == {min(alike)}
 
 
+def test_equal_fingerprints_are_no_link(spark):
+    """Unrelated texts whose fingerprints are equal stay apart; texts with equal sets are one."""
+    run = "zz " * 40
+    rows = [(k, run * 4 + fixtures.prose(60, 900 + k)) for k in range(6)]
+    rows += [(10, fixtures.prose(80, 950)), (11, fixtures.prose(80, 950).upper()), (None, "  " + fixtures.prose(80, 950))]
+    docs = fixtures.table(spark, rows)
+    scheme = simhash.Scheme(5, 1, 8, 8, 64, 0.8)
+    constant = lambda text, *_: [7]
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(simhash, "fingerprint", constant)
+        found = simhash.near_groups(docs, scheme).collect()
+    assert len({tuple(r.fp) for r in found}) == 1
+    assert ordered((r.doc_id, r.component_id) for r in found) == ordered([*((k, k) for k in range(6)), (10, 10), (11, 10), (None, 10)])
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(50)], "a bigint, b bigint")
     assert {r.component for r in simhash.components(edges).collect()} == {0}
