@@ -27,12 +27,13 @@ Results for odd input: null and empty texts, and those of white space only, have
 zero and are linked to each other like any others; texts of fewer words than a shingle are one
 shingle; rows that repeat an id are nodes by their texts; a row with a null id links others like
 any row, and its component is null if no row of it has an id; an empty table gives an empty table.
-Long texts are hashed in slices, so a task holds one text and its words at a time.
+Long texts are hashed in slices, so a task holds one text and its words at a time. Repeated
+shingles count in a fingerprint, but not where links are defined on shingle sets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -115,10 +116,10 @@ def shingle_set(text: bytes, shingle: int) -> np.ndarray:
     return np.unique(np.concatenate(hashes)) if hashes else np.zeros(0, np.uint64)
 
 
-def fingerprint(text: bytes, shingle: int, n_words: int = 1) -> list[int]:
-    """Signed 64-bit words; a bit is set if more than half of the shingle hashes have it."""
+def _majority(parts: Iterable[np.ndarray], n_words: int) -> list[int]:
+    """Signed 64-bit words; a bit is set if more than half of the hashes have it."""
     counts, total = np.zeros((n_words, 8, 8), np.int64), 0
-    for hashes in shingle_hashes(text, shingle):
+    for hashes in parts:
         total += len(hashes)
         for k in range(n_words):
             if k:  # further words come from the same hashes, mixed again
@@ -130,6 +131,16 @@ def fingerprint(text: bytes, shingle: int, n_words: int = 1) -> list[int]:
     return np.packbits(bits, axis=1, bitorder="little").view("<i8").ravel().tolist()
 
 
+def fingerprint(text: bytes, shingle: int, n_words: int = 1) -> list[int]:
+    """The fingerprint of the shingles, repeats included."""
+    return _majority(shingle_hashes(text, shingle), n_words)
+
+
+def set_fingerprint(distinct: np.ndarray, n_words: int) -> list[int]:
+    """The fingerprint of a shingle set: how often a shingle is repeated does not count."""
+    return _majority((distinct[at : at + SLICE] for at in range(0, len(distinct), SLICE)), n_words)
+
+
 def fingerprints(docs: DataFrame, scheme: Scheme, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, fp`` for every row; ``fp`` is an array of 64-bit words."""
 
@@ -342,9 +353,9 @@ def _set_rows(scheme: Scheme):
         for batch in batches:
             fps, sets = [], []
             for text in batch.column(3):  # one at a time: a set is as large as its text
-                text = text.as_py()
-                fps.append(fingerprint(text, scheme.shingle, scheme.n_words))
-                sets.append(xxhash.xxh3_128_digest(shingle_set(text, scheme.shingle).tobytes()))
+                distinct = shingle_set(text.as_py(), scheme.shingle)
+                fps.append(set_fingerprint(distinct, scheme.n_words))
+                sets.append(xxhash.xxh3_128_digest(distinct.tobytes()))
             columns = [*batch.columns[:3], pa.array(fps, pa.list_(pa.int64())), pa.array(sets, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "k1", "k2", "fp", "shingles"])
 

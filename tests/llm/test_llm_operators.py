@@ -237,12 +237,23 @@ def test_equal_fingerprints_are_no_link(spark):
     scheme = simhash.Scheme(5, 1, 8, 8, 64, 0.8)
     constant = lambda text, *_: [7]
     with pytest.MonkeyPatch.context() as patch:
-        patch.setattr(simhash, "fingerprint", constant)
+        patch.setattr(simhash, "set_fingerprint", constant)
         found = simhash.near_groups(docs, scheme).collect()
     assert len({tuple(r.fp) for r in found}) == 1
     assert ordered((r.doc_id, r.component_id) for r in found) == ordered([*((k, k) for k in range(6)), (10, 10), (11, 10), (None, 10)])
 
 
+def test_repeats_do_not_move_similar_texts_apart(spark):
+    """A passage repeated seven more times leaves the shingle set nearly as it was."""
+    rows = []
+    for k in range(20):
+        text = fixtures.prose(420, 3000 + k)
+        passage = " ".join(text.split()[100:120])
+        rows += [(2 * k, text), (2 * k + 1, text + (" " + passage) * 7)]
+    found = simhash.near_groups(fixtures.table(spark, rows), simhash.similar(len(rows))).collect()
+    assert {r.doc_id: r.component_id for r in found} == {k: k - k % 2 for k in range(40)}
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(50)], "a bigint, b bigint")
     assert {r.component for r in simhash.components(edges).collect()} == {0}
