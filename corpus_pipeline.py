@@ -48,12 +48,18 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by fingerprints of five-word shingles (similarity 0.8 or more) the
-    one with the smallest id stays."""
+    one with the smallest id stays; rows that repeat an id are told apart by their texts."""
     scheme = simhash.similar(docs.count(), similarity=0.8, shingle=5)
-    groups = simhash.near_groups(docs, scheme)
-    gone = groups.where("doc_id is not null and doc_id != component_id").select(F.col("doc_id").alias("_id")).distinct()
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("_id"))
-    rows = rows.join(kept_table(gone, "near-copies"), "_id", "left_anti")
+    groups = simhash.similar_groups(docs, scheme)
+    rank = F.struct("doc_id", "k1", "k2")
+    named = groups.where("doc_id is not null")
+    first = kept_table(named.groupBy("component").agg(F.min(rank).alias("first")), "firsts")
+    gone = named.join(first, "component").where(rank != F.col("first"))
+    gone = gone.select(F.col("doc_id").alias("_id"), F.col("k1").alias("_k1"), F.col("k2").alias("_k2")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    k1, k2 = suffix_index.text_key(F.col("text").cast("binary"))
+    rows = rows.select("row", F.col("doc_id").cast("bigint").alias("_id"), k1.alias("_k1"), k2.alias("_k2"))
+    rows = rows.join(kept_table(gone, "near-copies"), ["_id", "_k1", "_k2"], "left_anti")
     return rows.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 

@@ -74,6 +74,14 @@ def test_near_dedup(stages):
     assert {r.doc_id for r in after} == set(sets) - {b for _, b in near}
 
 
+def test_near_dedup_of_rows_that_repeat_an_id(spark):
+    """A near copy goes, and a clean text under the same id stays."""
+    text = fixtures.prose(300, 31)
+    rows = [(1, text), (2, fixtures.edited(text, 150)), (2, fixtures.prose(300, 32)), (3, fixtures.prose(300, 33))]
+    after = corpus_pipeline.near_dedup(spark, fixtures.table(spark, rows), "").collect()
+    assert texts(after) == sorted([rows[0], rows[2], rows[3]], key=str)
+
+
 def test_repeated_passages(stages):
     before, after = stages["repeated passages"]
     want = []
