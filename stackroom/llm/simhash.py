@@ -68,13 +68,13 @@ class Scheme:
         return [(i // per_word, self.width * (i % per_word)) for i in range(self.n_segments)]
 
 
-def similar(n_rows: int, similarity: float = 0.8, recall: float = 0.9, shingle: int = 5) -> Scheme:
+def similar(n_rows: int, similarity: float = 0.8, recall: float = 0.99, shingle: int = 5) -> Scheme:
     """A scheme for shingle sets of a given Jaccard similarity.
 
     Sets of similarity ``s`` have a cosine of ``2 s / (1 + s)``, which fixes the share of
     differing bits. A segment is about as wide as the number of rows has bits, so a bucket
     holds about one row by chance at any size; so many segments are taken that a pair at the
-    given similarity is met with the wanted probability. The distance allows for two standard
+    given similarity is met with the wanted probability. The distance allows for three standard
     deviations more than the mean, so that few such pairs are beyond it; pairs that are less
     similar and yet within it go when the shingle sets themselves are compared.
     """
@@ -84,7 +84,7 @@ def similar(n_rows: int, similarity: float = 0.8, recall: float = 0.9, shingle:
     n_segments = int(np.ceil(np.log(1 - recall) / np.log(1 - met)))
     n_words = -(-n_segments // (64 // width))
     bits = 64 * n_words
-    most = bits * differing + 2 * np.sqrt(bits * differing * (1 - differing))
+    most = bits * differing + 3 * np.sqrt(bits * differing * (1 - differing))
     return Scheme(shingle, n_words, width, n_segments, int(np.ceil(most)), similarity)
 
 
