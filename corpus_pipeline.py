@@ -64,9 +64,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 400 bytes or more that occur elsewhere are cut out; documents of which no
-    word is left go."""
-    cut = suffix_index.with_texts_cut(docs).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    """Passages of over 50 words, or of 400 bytes or more (which may hold fewer words, or be
+    written without spaces), that occur elsewhere are cut out; documents of which no word is left
+    go."""
+    cut = suffix_index.with_texts_cut(docs, by_words=True).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     rows = cut.select(F.struct("*").alias("row"))
     return rows.select(*_replaced(docs, F.col("row")["text"]))
 

@@ -19,6 +19,9 @@ zones of a text hold each of its windows once, and a text has about one per 185
    hash, which combines before the shuffle and is dealt out evenly.
 4. Intervals meet their texts, and bytes are cut out.
 
+The same runs on words: a text is then the 64-bit hashes of its words, eight bytes each, and the
+length that of ``WORDS`` words. Spans are rounded inward to whole words.
+
 Texts are known by the first 120 bits of their SHA-256, so copies are indexed once, and rows
 that repeat an id, or have none, do no harm. Results for odd input: a null text is empty; a
 text shorter than ``LENGTH`` loses nothing; an empty table gives an empty table. Texts are
@@ -27,6 +30,7 @@ read whole, very long ones in overlapping segments of ``SEGMENT`` bytes.
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from heapq import merge
@@ -41,6 +45,7 @@ from pyspark.sql import functions as F
 from stackroom.llm.common import kept_table, partitions
 
 LENGTH = 400
+WORDS = 51
 GRAM = 32
 SEGMENT = 1 << 23
 HOT_ZONES = 32
@@ -175,13 +180,29 @@ def _halves(digests: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
 
 
-def _occurrences(length: int):
+def word_codes(text: bytes) -> bytes:
+    """Eight bytes for each word (ASCII white space parts them)."""
+    return np.array([xxhash.xxh64_intdigest(w) for w in text.split()], "<u8").tobytes()
+
+
+def word_spans(text: bytes, spans: list[dict]) -> list[dict]:
+    """The spans of ``word_codes(text)`` as spans of ``text``, rounded inward to words."""
+    places = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", text)]
+    found = []
+    for span in spans:
+        first, end = -(-span["lo"] // 8), span["hi"] // 8
+        if end - first >= WORDS:
+            found.append({"lo": places[first][0], "hi": places[end - 1][1]})
+    return found
+
+
+def _occurrences(length: int, encode=None):
     names = [f.split()[0] for f in OCCURRENCES.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k1, k2, text in zip(*(batch.column(c) for c in ("k1", "k2", "text"))):
-                text = text.as_py()
+                text = encode(text.as_py()) if encode else text.as_py()
                 if len(text) < length:
                     continue
                 for gram, lo, hi, at in zones(text, length):
@@ -212,14 +233,14 @@ def _regrouped(run):
     return grouped
 
 
-def _fetch(length: int):
+def _fetch(length: int, encode=None):
     schema = _schema(FETCHED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for wanted, text in zip(*(batch.column(c) for c in ("wanted", "text"))):
-                text = text.as_py()
+                text = encode(text.as_py()) if encode else text.as_py()
                 for z in wanted.as_py():
                     content = text[z["lo"] : z["hi"] + length]
                     rows.append(
@@ -286,11 +307,12 @@ def text_key(text: Column) -> list[Column]:
     return [half.alias(name) for half, name in zip(halves, ("k1", "k2"))]
 
 
-def repeated_intervals(rows: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeated_intervals(rows: DataFrame, length: int = LENGTH, encode=None) -> DataFrame:
     """``k1, k2, spans``: the repeated byte intervals of each text that has any; they may
-    overlap. ``rows`` are ``doc_id, k1, k2, text`` (binary)."""
+    overlap. ``rows`` are ``doc_id, k1, k2, text`` (binary). With ``encode``, lengths and
+    intervals are those of the encoded texts."""
     spark = rows.sparkSession
-    occurrences = kept_table(rows.select("k1", "k2", "text").mapInArrow(_regrouped(_occurrences(length)), OCCURRENCES), "zones")
+    occurrences = kept_table(rows.select("k1", "k2", "text").mapInArrow(_regrouped(_occurrences(length, encode)), OCCURRENCES), "zones")
     first = [F.first(c).alias(c) for c in ("k1", "k2", "gram", "lo", "hi", "at")]
     met = kept_table(occurrences.groupBy("z1", "z2").agg(F.count("*").alias("n"), *first), "distinct-zones")
     grams = met.groupBy("gram").agg(F.count("*").alias("n_zones")).where("n_zones > 1")
@@ -301,7 +323,7 @@ def repeated_intervals(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     copies = rows.groupBy("k1", "k2").agg(F.min("doc_id").alias("one"))  # copies are fetched once
     wanted = kept_table(wanted.join(copies, ["k1", "k2"]), "wanted")
     held = rows.join(wanted.withColumnsRenamed({"k1": "w1", "k2": "w2"}), _same_text() & F.col("doc_id").eqNullSafe(F.col("one")))
-    fetched = kept_table(held.select("wanted", "text").mapInArrow(_fetch(length), FETCHED), "contents")
+    fetched = kept_table(held.select("wanted", "text").mapInArrow(_fetch(length, encode), FETCHED), "contents")
 
     whole = met.where("n > 1").select("z1", "z2")
     found = occurrences.join(whole, ["z1", "z2"], "left_semi")
@@ -360,19 +382,36 @@ def without_repeats(
     return joined.mapInArrow(_cut_rows, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
 
 
-def with_texts_cut(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the remaining text in place of the text; characters cut in part go too."""
+def with_texts_cut(
+    docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", by_words: bool = False
+) -> DataFrame:
+    """``docs`` with the remaining text in place of the text; characters cut in part go too.
+
+    ``by_words``: passages of ``WORDS`` words that occur elsewhere, whatever their bytes and the
+    white space between them, are cut as well."""
 
     @F.pandas_udf("string")
-    def rest(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([cut(t, s if s is None else list(s))[0].decode("utf-8", "ignore") for t, s in zip(texts, spans)])
+    def rest(texts: pd.Series, spans: pd.Series, in_words: pd.Series) -> pd.Series:
+        found = []
+        for text, byte_spans, code_spans in zip(texts, spans, in_words):
+            every = [] if byte_spans is None else list(byte_spans)
+            if code_spans is not None:
+                every = sorted([*every, *word_spans(text, list(code_spans))], key=lambda x: (x["lo"], x["hi"]))
+            found.append(cut(text, every)[0].decode("utf-8", "ignore"))
+        return pd.Series(found)
 
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")
     rows = docs.select(F.struct("*").alias("row"), F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), text.alias("text"))
     rows = rows.select("row", "doc_id", "text", *text_key(F.col("text")))
-    spans = repeated_intervals(rows.select("doc_id", "text", "k1", "k2"), length).withColumnsRenamed({"k1": "w1", "k2": "w2"})
+    keyed = rows.select("doc_id", "text", "k1", "k2")
+    spans = repeated_intervals(keyed, length).withColumn("in_words", F.lit(None).cast("array<struct<lo:int,hi:int>>"))
+    if by_words:
+        in_words = repeated_intervals(keyed, 8 * WORDS, word_codes).withColumnRenamed("spans", "in_words")
+        spans = kept_table(spans.drop("in_words").join(in_words, ["k1", "k2"], "full_outer"), "all-spans")
+    spans = spans.withColumnsRenamed({"k1": "w1", "k2": "w2"})
     joined = rows.join(spans, _same_text(), "left")
-    left = F.when(F.col("spans").isNull(), F.col("row")[text_col]).otherwise(rest("text", "spans"))
+    whole = F.col("spans").isNull() & F.col("in_words").isNull()
+    left = F.when(whole, F.col("row")[text_col]).otherwise(rest("text", "spans", "in_words"))
     return joined.select("row", left.alias("left")).select(
         *[F.col("left").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns]
     )

@@ -93,6 +93,25 @@ def test_repeated_passages(stages):
     assert any(a.text != b.text for a in after for b in before if a.doc_id == b.doc_id)
 
 
+def test_passages_of_over_50_words(spark):
+    """51 short words go, however they are spaced; 50 stay; long texts without spaces go by bytes."""
+    own = lambda n, mark: " ".join(f"{mark}{k}" for k in range(n))
+    short, fifty, solid = own(51, "p"), own(50, "q"), "".join(chr(0x4E00 + k) for k in range(200))
+    rows = []
+    for k in range(2):
+        space = "  \n" if k else " "
+        rows.append((k, f"{own(60, f'a{k}x')} {space.join(short.split())} {own(60, f'b{k}x')}"))
+        rows.append((10 + k, f"{own(60, f'c{k}x')} {fifty} {own(60, f'd{k}x')}"))
+        rows.append((20 + k, f"{own(9, f'e{k}x')} {solid} {own(9, f'f{k}x')}"))
+    assert len(short) < suffix_index.LENGTH <= len(solid.encode())
+    after = {r.doc_id: r.text.split() for r in corpus_pipeline.repeated_passages(spark, fixtures.table(spark, rows), "").collect()}
+    for i, text in rows:
+        if i < 20:
+            assert after[i] == [w for w in text.split() if w not in short.split()]
+        else:
+            assert not set(solid) & set("".join(after[i]))
+
+
 def test_packing(stages):
     before, after = stages["packing"]
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
