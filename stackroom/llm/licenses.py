@@ -15,6 +15,7 @@ gives an empty table. Work is linear in the text.
 from __future__ import annotations
 
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,11 +32,17 @@ SPELLINGS = (
     ("organisation", "organization"),
     ("https:", "http:"),
     ("&", " and "),
-    ("copyright owner", "copyright holder"),
+    ("owner", "holder"),  # one word, so that a line end between "copyright" and it does not count
     ("v2.0", "version 2.0"),
     ("gplv3", "gpl version 3"),
 )
-COPYRIGHT_LINE = r"^[^a-z0-9©(]*(copyright|\(c\)|©)[^a-z]"
+#: "Copyright" with (c), a year or its place, or a form that only holders have; a wrapped line of a
+#: licence may begin with the word, or with item (c).
+COPYRIGHT_LINE = (
+    r"^[^a-z0-9©(]*(copyright([^a-z0-9(©]*(\(c\)|©|[0-9]{4}|yyyy|year)"
+    r"|[^a-z](.*[^a-z](inc|llc|ltd|gmbh|corp|corporation|all rights reserved)[^a-z0-9]*$|[^@]*@))"
+    r"|\(c\)[^a-z0-9(]*([0-9]{4}|copyright)|©)"
+)
 PUNCTUATION = r"[\x00-\x2F\x3A-\x60\x7B-\x7F‘’“”–—…©®™" + "\u00a0]+"
 
 _MIT_GRANT = (
@@ -61,8 +68,49 @@ _ISC_TERMS = (
     "PERFORMANCE OF THIS SOFTWARE."
 )
 
+_BSD_2 = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met:\n\n"
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+    "disclaimer.\n\n"
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+    "disclaimer in the documentation and/or other materials provided with the distribution.\n\n"
+)
+_BSD_3 = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission.\n\n"
+)
+_BSD_END = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT {} OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, "
+    "EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF "
+    "USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, "
+    "STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN "
+    "IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_TERMS_END = "END OF TERMS AND CONDITIONS"
+
+
+def _whole_texts() -> list[tuple[str, str]]:
+    """Whole licences, with and without the title of BSD ones and what follows the terms of others."""
+    found = []
+    for license_id, title, terms in (("BSD-2-Clause", "BSD 2-Clause", _BSD_2), ("BSD-3-Clause", "BSD 3-Clause", _BSD_2 + _BSD_3)):
+        for holder in ("HOLDER", "HOLDERS"):
+            text = terms + _BSD_END.format(holder)
+            found += [(license_id, text), (license_id, f"{title} License\n\n{text}")]
+    for path in sorted(Path(__file__).with_name("license_texts").glob("*.txt")):
+        text = path.read_text("utf-8")
+        found.append((path.stem, text))
+        if _TERMS_END in text:
+            terms = text[: text.index(_TERMS_END)]
+            found += [(path.stem, terms), (path.stem, terms + _TERMS_END)]
+    return found
+
+
 #: Known licences and notices (licence, text).
 KNOWN = (
+    *_whole_texts(),
     ("MIT", f"MIT License\n\n{_MIT_GRANT}"),
     ("MIT", _MIT_GRANT),
     ("MIT", "Released under the MIT License."),

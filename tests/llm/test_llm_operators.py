@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -59,6 +60,25 @@ def test_license_scan_of_odd_rows(docs):
     assert names == got.columns and ordered(got.collect()) == want
 
 
+def test_license_scan_of_rewrapped_whole_texts(spark):
+    """Paragraphs wrapped at any width are the same licence."""
+    rows, want = [], {}
+    for name, text in dict((n, t) for n, t in reversed(licenses.KNOWN) if len(t) > 900).items():
+        for width in (0, 20, 40, 61, 79):
+            paragraphs = re.split(r"\n\s*\n", text)
+            if width:  # copyright lines themselves stay lines
+                fill = textwrap.TextWrapper(width, break_on_hyphens=False, break_long_words=False).fill
+                paragraphs = [p if re.search(r"(?i)copyright (\(c\)|\[yyyy)", p) else fill(p) for p in paragraphs]
+            want[len(rows)] = name
+            rows.append((len(rows), "Copyright 2020 Some Body\n\n" + "\n\n".join(paragraphs)))
+    grant = licenses._MIT_GRANT
+    want[len(rows)] = "MIT"
+    rows.append((len(rows), grant.replace("COPYRIGHT HOLDERS BE", "\nCOPYRIGHT\nOWNERS BE")))
+    got = {r.doc_id: r.license_id for r in licenses.scanned(fixtures.table(spark, rows)).collect()}
+    assert {k: got[k] for k in want if got[k] != want[k]} == {}
+    assert {"BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "MPL-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "CC0-1.0", "Unlicense"} < set(want.values())
+
+
 def test_license_scan(spark):
     grant = licenses._MIT_GRANT
     rows = [
