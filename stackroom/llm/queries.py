@@ -10,7 +10,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stackroom.llm import bpe, cuckoo, licenses, line_rules, packing, sharding, simhash, suffix_index, url_filter, warc
+from stackroom.llm import (
+    bpe,
+    conversations,
+    cover_anchors,
+    cuckoo,
+    divergence,
+    licenses,
+    line_rules,
+    packing,
+    sharding,
+    simhash,
+    suffix_index,
+    url_filter,
+    warc,
+)
 from stackroom.llm.common import scratch_path
 
 
@@ -157,6 +171,169 @@ def op10_online_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.packed(table(spark, sf_dir, "documents"), path, with_ids=False).drop("ids")
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repaired(table(spark, sf_dir, "conversations")).drop("n_repaired")
+
+
+# The checksum, bit by bit over the bytes of the key, which are digits, minus, colon and space.
+_SQL_CRC32 = """list_reduce([4294967295::BIGINT] || list_transform(string_split(key, ''), lambda c: ord(c)::BIGINT),
+    lambda crc, byte: list_reduce([xor(crc, byte)] || [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+      lambda v, skip: xor(v // 2, (v % 2) * 3988292384)))"""
+
+OP11_SQL = rf"""
+WITH RECURSIVE named AS (
+  SELECT coalesce(conv_id::VARCHAR, ' ') AS conv, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key
+  FROM conversations
+),
+kinds AS (SELECT conv, turn, role, text, xor({_SQL_CRC32}, 4294967295) % 20 AS kind FROM named),
+hit AS (
+  SELECT conv, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM kinds
+),
+placed AS (
+  SELECT conv, turn, role, text, row_number() OVER o AS i, left(role, 1) AS initial,
+         lag(left(role, 1)) OVER o AS before,
+         right(regexp_replace(text, '[\x20\x09-\x0D]+$', ''), 1) AS last_char,
+         row_number() OVER (PARTITION BY conv, role, text ORDER BY turn NULLS FIRST) AS seen
+  FROM hit
+  WINDOW o AS (PARTITION BY conv ORDER BY turn NULLS FIRST, sha256(strlen(role)::VARCHAR || ':' || role || text))
+),
+faults AS (
+  SELECT *, CASE WHEN last_char = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+                 WHEN last_char NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'fine' END AS fault
+  FROM placed
+),
+counts AS (
+  SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM faults GROUP BY conv
+),
+-- States: 0 nothing given, 1 system, 2 user, 3 assistant.
+inserted(x, y, n) AS (VALUES (0, 0, 0), (1, 1, 0), (2, 2, 0), (3, 3, 0), (0, 2, 1), (1, 2, 1), (3, 2, 1), (2, 3, 1), (0, 3, 2), (1, 3, 2)),
+edits(letter, x, y, needs, price) AS (VALUES
+  ('D', 0, 0, NULL, 2), ('D', 1, 1, NULL, 2), ('D', 2, 2, NULL, 2), ('D', 3, 3, NULL, 2),
+  ('R', 0, 2, '*', 1), ('R', 1, 2, '*', 1), ('R', 3, 2, '*', 1), ('R', 2, 3, '*', 1),
+  ('K', 0, 1, 's', 0), ('K', 0, 2, 'u', 0), ('K', 1, 2, 'u', 0), ('K', 3, 2, 'u', 0), ('K', 2, 3, 'a', 0)),
+moves AS (
+  SELECT repeat('I', n) || letter AS letters, inserted.x, edits.y, needs, price + 5 * n AS price
+  FROM inserted JOIN edits ON edits.x = inserted.y
+),
+lattice(conv, i, state, best) AS (
+  SELECT conv, 0::BIGINT, 0, {{'cost': 0::BIGINT, 'audit': ''}} FROM counts
+  UNION ALL
+  SELECT conv, f.i, m.y, min({{'cost': l.best.cost + price + CASE WHEN needs IS NOT NULL AND fault = 'truncated' THEN 5 ELSE 0 END,
+                              'audit': l.best.audit || letters}})
+  FROM lattice l JOIN faults f USING (conv) JOIN moves m ON m.x = l.state
+  WHERE f.i = l.i + 1 AND (needs IS NULL OR (fault IN ('fine', 'truncated') AND needs IN ('*', initial)))
+  GROUP BY conv, f.i, m.y
+),
+audits AS (
+  SELECT conv, min({{'cost': best.cost + 5 * more, 'audit': best.audit || repeat('I', more)}}) AS best
+  FROM lattice JOIN counts c USING (conv) JOIN (VALUES (0, 0), (1, 2), (2, 1), (3, 0)) AS tail(state, more) USING (state)
+  WHERE lattice.i = c.n GROUP BY conv
+),
+letters AS (SELECT conv, unnest(string_split(best.audit, '')) AS letter, generate_subscripts(string_split(best.audit, ''), 1) AS k FROM audits),
+steps AS (
+  SELECT conv, k, letter, count(*) FILTER (letter <> 'I') OVER (PARTITION BY conv ORDER BY k) AS i FROM letters WHERE letter <> ''
+),
+given AS (
+  SELECT conv, k, letter, text, role, i, CASE WHEN letter = 'K' AND role[1] = 's' THEN 0 ELSE 1 END AS spoken
+  FROM steps LEFT JOIN faults USING (conv, i) WHERE letter <> 'D'
+),
+repaired AS (
+  SELECT conv, sha256(string_agg(CASE WHEN letter = 'K' THEN role WHEN nth % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' ||
+                                 CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY k)) AS hash
+  FROM (SELECT *, sum(spoken) OVER (PARTITION BY conv ORDER BY k) AS nth FROM given) GROUP BY conv
+)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0) AS cost,
+       coalesce(best.audit, '') AS audit, coalesce(hash, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, coalesce(conv_id::VARCHAR, ' ') AS conv FROM conversations) o
+LEFT JOIN counts USING (conv) LEFT JOIN audits USING (conv) LEFT JOIN repaired USING (conv)
+"""
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audited(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+),
+said AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+),
+kept AS (SELECT lang, term FROM said GROUP BY ALL HAVING count(DISTINCT r) >= {divergence.MIN_DOCS}),
+uses AS (SELECT lang, source, term, count(*) AS n FROM said SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+totals AS (
+  SELECT lang, source, coalesce(sum(n), 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN uses USING (lang, source) GROUP BY ALL
+),
+p AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n, 1 + ({divergence.UNIT}::HUGEINT * (coalesce(n, 0) + 2)) // (total + 2 * v)::HUGEINT AS p
+  FROM totals JOIN kept USING (lang) JOIN sizes USING (lang) LEFT JOIN uses USING (lang, source, term)
+),
+q AS (
+  SELECT lang, term, 1 + ({divergence.UNIT}::HUGEINT * (sum(n) + 2)::HUGEINT) // (sum(sum(n)) OVER (PARTITION BY lang) + 2 * any_value(v))::HUGEINT AS q
+  FROM uses JOIN sizes USING (lang) GROUP BY lang, term
+),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM totals a JOIN totals b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source
+),
+terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value
+  FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+) WHERE part = 'pair' OR rank <= {divergence.TOP}
+"""
+
+
+def op13_cover_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = cover_anchors.without_repeats(table(spark, sf_dir, "documents"))
+    sha = F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    return rest.select("doc_id", "n_words", "n_removed", sha, F.col("kept").alias("text"))
+
+
+OP13_SQL = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws
+  FROM documents
+),
+w AS (
+  SELECT r, doc_id, i, md5(array_to_string(ws[i:i + {cover_anchors.LENGTH - 1}], ' ')) AS h
+  FROM (SELECT r, doc_id, ws, unnest(generate_series(1, len(ws) - {cover_anchors.LENGTH - 1})) AS i FROM d)
+),
+taken AS (
+  SELECT r, i FROM (SELECT r, i, doc_id, min(doc_id) OVER (PARTITION BY h) AS least FROM w)
+  WHERE least < doc_id OR (doc_id IS NULL AND least IS NOT NULL)
+),
+gone AS (SELECT DISTINCT r, i + unnest(generate_series(0, {cover_anchors.LENGTH - 1})) AS i FROM taken),
+each AS (SELECT r, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM d),
+rest AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text FROM each ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed,
+       sha256(coalesce(rest.text, '')) AS kept_sha256, coalesce(rest.text, '') AS text
+FROM d LEFT JOIN rest USING (r)
+"""
+
 
 QUERIES = {
     "op1_cuckoo_dedup": op1_cuckoo_dedup,
@@ -169,10 +346,16 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_license_scan": op9_license_scan,
     "op10_online_packing": op10_online_packing,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_cover_anchors": op13_cover_anchors,
 }
 
 SQL = {
     "op1_cuckoo_dedup": OP1_SQL,
     "op3_line_rules": OP3_SQL,
     "op9_license_scan": OP9_SQL,
+    "op11_conversation_repair": OP11_SQL,
+    "op12_source_divergence": OP12_SQL,
+    "op13_cover_anchors": OP13_SQL,
 }
