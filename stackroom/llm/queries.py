@@ -194,12 +194,12 @@ hit AS (
   FROM kinds
 ),
 placed AS (
-  SELECT conv, turn, role, text, row_number() OVER o AS i, left(role, 1) AS initial,
+  SELECT conv, turn, role, text, copy, row_number() OVER o AS i, left(role, 1) AS initial,
          lag(left(role, 1)) OVER o AS before,
          right(regexp_replace(text, '[\x20\x09-\x0D]+$', ''), 1) AS last_char,
-         row_number() OVER (PARTITION BY conv, role, text ORDER BY turn NULLS FIRST) AS seen
+         row_number() OVER (PARTITION BY conv, role, text ORDER BY turn NULLS FIRST, copy) AS seen
   FROM hit
-  WINDOW o AS (PARTITION BY conv ORDER BY turn NULLS FIRST, sha256(strlen(role)::VARCHAR || ':' || role || text))
+  WINDOW o AS (PARTITION BY conv ORDER BY turn NULLS FIRST, sha256(strlen(role)::VARCHAR || ':' || role || text), copy)
 ),
 faults AS (
   SELECT *, CASE WHEN last_char = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate'
