@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from stackroom.llm.common import process_cache
+from stackroom.llm.common import Remembered, process_cache
 
 REMEMBERED = 150_000
 LONGEST_REMEMBERED = 64
@@ -64,7 +64,7 @@ class Codec:
         self.cuts = self._cut_table(inside)
         self.simple = re.compile(rb" ?(?:[!-~]|[\xc3-\xdf][\x80-\xbf])+")
         self.line_end = np.frombuffer(self.tokenizer_ids("\n"), np.uint32)[0]
-        self.ids: dict[bytes, bytes] = {}
+        self.ids = Remembered(REMEMBERED)
 
     def tokenizer_ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
@@ -111,11 +111,9 @@ class Codec:
 
     def encode_all(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.ids) > REMEMBERED:
-            self.ids.clear()
         parts = [self.at_special.split(t) for t in texts]
         cut = [[self.fragments(p) for p in text[::2]] for text in parts]
-        unknown = set().union(*(f for text in cut for f in text)).difference(self.ids)
+        unknown = self.ids.known_of(set().union(*(f for text in cut for f in text)))
         long = self._learn(list(unknown)) if unknown else {}
         known = self.ids if not long else ChainMap(long, self.ids)
         out = []
@@ -155,6 +153,7 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
                 part = batch.slice(at, ROWS_OUT)
                 ids = pa.array(encode_all(part.column(1).to_pylist()), pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column(0), ids], names=["doc_id", "ids"])
+        codec(path).ids.forget()  # the worker may idle or serve other stages from here on
 
     rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), _whole_text(text_col).alias("text"))
     return rows.mapInArrow(run, "doc_id bigint, ids binary")

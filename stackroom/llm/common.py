@@ -61,3 +61,29 @@ def words(text: Column) -> Column:
 def process_cache() -> dict:
     """A dict that lives as long as the Python worker, over all its tasks."""
     return sys.modules.setdefault("_stackroom_llm_cache", types.ModuleType("_stackroom_llm_cache")).__dict__
+
+
+class Remembered(dict):
+    """A memory of bounded size in two generations.
+
+    When the young one is full it becomes the old one, and what is asked for again moves
+    back; so what is frequent stays, however much is seen once.
+    """
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.old = most // 2, {}
+
+    def known_of(self, wanted: set) -> set:
+        """Make what is remembered of ``wanted`` ready to be read, and return the rest."""
+        if len(self) > self.most:
+            self.old = dict(self)
+            self.clear()
+        missing = wanted.difference(self)
+        again = missing.intersection(self.old)
+        self.update(zip(again, map(self.old.__getitem__, again)))
+        return missing - again
+
+    def forget(self) -> None:
+        self.clear()
+        self.old = {}

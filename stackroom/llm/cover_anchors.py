@@ -176,7 +176,9 @@ def repeats(rows: DataFrame, length: int = LENGTH) -> DataFrame:
 
     met = read.select("row", "c1", F.posexplode("anchors").alias("k", "anchor"))
     shared = met.groupBy("anchor").agg(F.min("c1").alias("one"), F.max("c1").alias("other")).where("one != other")
-    found = met.select("row", "k", "anchor").join(shared.select("anchor"), "anchor")
+    # Kept apart from the aggregation, both sides of a join are dealt anew and a hot key can be split.
+    shared = kept_table(shared.select("anchor"), "shared")
+    found = met.select("row", "k", "anchor").join(shared, "anchor")
     found = found.groupBy("row").agg(F.collect_list("k").alias("shared"))
     wanted = read.select("row", "doc_id", "k1", "k2").join(classes.select("row"), "row").join(found, "row")
     wanted = kept_table(wanted, "shared-anchors")
@@ -184,7 +186,8 @@ def repeats(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     held = rows.join(wanted, _same_row(rows, wanted)).select(wanted["doc_id"], wanted["row"], "text", "shared")
     windows = kept_table(held.mapInArrow(_windows(length), _WINDOWS), "windows")
     smallest = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("n"))
-    taken = windows.join(smallest.where("n > 1 and least_id is not null").drop("n"), ["w1", "w2"])
+    smallest = kept_table(smallest.where("n > 1 and least_id is not null").drop("n"), "repeated-windows")
+    taken = windows.join(smallest, ["w1", "w2"])
     taken = taken.where("doc_id is null or least_id < doc_id").groupBy("row").agg(F.collect_set("at").alias("starts"))
     # What a class loses, all rows of its smallest id lose; larger ids lose everything.
     lost = kept_table(classes.join(taken, "row", "left").drop("row"), "lost")

@@ -20,6 +20,7 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
+from array import array
 from collections import ChainMap
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -32,7 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from stackroom.llm.common import kept_table, process_cache
+from stackroom.llm.bpe import byte_alphabet
+from stackroom.llm.common import Remembered, kept_table, process_cache
 
 LENGTH = 2048
 OPEN = 16
@@ -40,7 +42,7 @@ TASKS_MERGED = 64
 ROWS_AT_ONCE = 128
 ROWS_OUT = 1024
 
-REMEMBERED = 150_000
+REMEMBERED = 300_000
 LONGEST_REMEMBERED = 64
 
 #: Code points below this one: Latin letters whose lower case is among them, and nothing that combines.
@@ -75,34 +77,32 @@ class WordCodec:
         special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.whole = re.compile("|".join([f"[^\\x00-\\u{LATIN - 1:04x}]", *special]))
         self.words = latin_words()
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.ids: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.shown = {byte: character for character, byte in byte_alphabet().items()}
+        self.ids = Remembered(REMEMBERED)
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, np.uint32).tobytes() for e in encoded]
 
-    def _learn(self, unknown: list[str]) -> dict[str, bytes]:
+    def _learn(self, unknown: set[str]) -> dict[str, bytes]:
         """Remember the ids of words not met before; the ids of long ones are returned.
 
-        They are encoded as one text: each ends with the one token that has a word end.
+        A word is one piece, so the model takes it as it is, its bytes written in the
+        vocabulary's characters.
         """
-        raw = self._whole([" ".join(unknown)])[0]
-        numbers = np.frombuffer(raw, np.uint32)
-        after = (np.flatnonzero(self.ends[numbers]) + 1).tolist()
-        found = {w: raw[4 * i : 4 * j] for w, i, j in zip(unknown, [0, *after], after)}
+        found = {}
+        for word in unknown:
+            shown = word if word.isascii() else "".join(map(self.shown.__getitem__, word.encode()))
+            found[word] = array("I", [token.id for token in self.model.tokenize(shown)]).tobytes()
         self.ids.update((w, i) for w, i in found.items() if len(w) <= LONGEST_REMEMBERED)
         return {w: i for w, i in found.items() if len(w) > LONGEST_REMEMBERED}
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.ids) > REMEMBERED:
-            self.ids.clear()
         plain = {k: self.words.findall(t.lower()) for k, t in enumerate(texts) if not self.whole.search(t)}
-        unknown = set().union(*plain.values()).difference(self.ids)
-        long = self._learn(list(unknown)) if unknown else {}
+        unknown = self.ids.known_of(set().union(*plain.values()))
+        long = self._learn(unknown) if unknown else {}
         known = ChainMap(long, self.ids) if long else self.ids
         others = [k for k in range(len(texts)) if k not in plain]
         out = dict(zip(others, self._whole([texts[k] for k in others])))
@@ -264,7 +264,8 @@ def packed(
         rows += packer.rest()
         if rows:
             yield out(rows)
-        pa.default_memory_pool().release_unused()  # the worker stays for later tasks
+        codec.ids.forget()  # the worker stays for later tasks
+        pa.default_memory_pool().release_unused()
 
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")
     rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), text)

@@ -190,16 +190,17 @@ kinds AS (SELECT conv, turn, role, text, xor({_SQL_CRC32}, 4294967295) % 20 AS k
 hit AS (
   SELECT conv, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
          CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
-         unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+         unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END)
   FROM kinds
 ),
+numbered AS (SELECT *, row_number() OVER () AS r FROM hit),
 placed AS (
-  SELECT conv, turn, role, text, copy, row_number() OVER o AS i, left(role, 1) AS initial,
+  SELECT conv, turn, role, text, row_number() OVER o AS i, left(role, 1) AS initial,
          lag(left(role, 1)) OVER o AS before,
          right(regexp_replace(text, '[\x20\x09-\x0D]+$', ''), 1) AS last_char,
-         row_number() OVER (PARTITION BY conv, role, text ORDER BY turn NULLS FIRST, copy) AS seen
-  FROM hit
-  WINDOW o AS (PARTITION BY conv ORDER BY turn NULLS FIRST, sha256(strlen(role)::VARCHAR || ':' || role || text), copy)
+         row_number() OVER (PARTITION BY conv, role, text ORDER BY turn NULLS FIRST, r) AS seen
+  FROM numbered
+  WINDOW o AS (PARTITION BY conv ORDER BY turn NULLS FIRST, sha256(strlen(role)::VARCHAR || ':' || role || text), r)
 ),
 faults AS (
   SELECT *, CASE WHEN last_char = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate'
