@@ -44,7 +44,8 @@ MIN_DOCS = 10
 TOP = 10
 UNIT = 1_000_000_000
 BLOCK = 50_000
-HELD = 200_000
+HELD = 600_000
+DOCS_BITS = 40
 PAIRS_AT_ONCE = 1 << 20
 
 #: ASCII letters in lower case and all bytes above ASCII stay; the rest parts terms.
@@ -78,7 +79,8 @@ def _collapsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Occurrences and documents per (lang, source, term); equal texts stand together."""
-    held: dict[tuple[str, str], dict[bytes, list[int]]] = defaultdict(dict)
+    # Both sums in one number, documents in the low bits: there are very many of them.
+    held: dict[tuple[str, str], dict[bytes, int]] = defaultdict(dict)
     n_held, last, weights = 0, None, Counter()
 
     def add() -> None:
@@ -91,19 +93,15 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known = held[last[0], source]
             before = len(known)
             for term, n in found.items():
-                sums = known.get(term)
-                if sums is None:
-                    known[term] = [n * copies, copies]
-                else:
-                    sums[0] += n * copies
-                    sums[1] += copies
+                known[term] = known.get(term, 0) + copies * ((n << DOCS_BITS) + 1)
             n_held += len(known) - before
 
     def out() -> Iterator[pa.RecordBatch]:
         nonlocal n_held
         for (lang, source), known in held.items():
             if known:
-                n, docs = zip(*known.values())
+                n = [both >> DOCS_BITS for both in known.values()]
+                docs = [both & ((1 << DOCS_BITS) - 1) for both in known.values()]
                 columns = [[lang] * len(known), [source] * len(known), [t.decode() for t in known], n, docs]
                 arrays = [pa.array(c, f.type) for c, f in zip(columns, _COUNTED)]
                 yield pa.RecordBatch.from_arrays(arrays, schema=_COUNTED)
