@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stackroom.functions.paths import dataset_in, manifest_url_to_local
 from stackroom.functions.runs import whole_gib, with_headroom
 from stackroom.plans.outcome import Outcome, dataset_summary, failure_rows
+from stackroom.plans.recording import SILENT, RunLog, leaves_report
 from stackroom.session import checkpointed
 from stackroom.sources.corpus import LISTING_TASKS, decoded_row_counts, file_inventory, file_row_counts
 from stackroom.sources.manifest import manifest_entities, manifest_files, read_manifest
@@ -51,11 +52,11 @@ def check_files(files: DataFrame, inventory: DataFrame, counts: DataFrame | None
         .when(~size_ok, "validate_file_size")
     )
     message = (
-        F.when(~url_ok, "could not derive local path from manifest url")
-        .when(~present, "missing local file")
+        F.when(~url_ok, "the manifest url names no local file")
+        .when(~present, "no such local file")
         .when(
             ~size_ok,
-            F.format_string("size mismatch local=%d manifest=%d", "length", "content_length"),
+            F.format_string("%d bytes, the manifest says %d", "length", "content_length"),
         )
     )
     if counts is not None:
@@ -66,7 +67,7 @@ def check_files(files: DataFrame, inventory: DataFrame, counts: DataFrame | None
             rows_ok = rows_ok & (F.col("content_hash").isNotNull() | (F.col("record_count") == 0))
         failed = failed.when(~rows_ok, "validate_parquet_rowcount")
         message = message.when(
-            ~rows_ok, F.format_string("rowcount mismatch local=%d manifest=%d", n, "record_count")
+            ~rows_ok, F.format_string("%d rows, the manifest says %d", n, "record_count")
         )
     return checked.withColumns({"phase": failed, "error_message": message})
 
@@ -75,8 +76,8 @@ def file_failures(checked: DataFrame, root: str = "") -> DataFrame:
     bad = checked.where(F.col("phase").isNotNull())
     phase = F.col("phase")
     recovery = (
-        F.when(phase == "validate_parquet_rowcount", "rerun download for this file")
-        .when(phase != "validate_manifest_url", "rerun download")
+        F.when(phase == "validate_parquet_rowcount", "get this file anew")
+        .when(phase != "validate_manifest_url", "get the dataset's files anew")
     )
     return failure_rows(
         bad,
@@ -108,8 +109,8 @@ def extra_failures(files: DataFrame, inventory: DataFrame, root: str = "") -> Da
         phase="validate_file_presence",
         rel_path=F.col("rel_path"),
         output_path=F.concat(F.lit(root), F.col("rel_path")),
-        error_message="unexpected local file",
-        suggested_recovery="rerun download with --delete",
+        error_message="the manifest does not list this file",
+        suggested_recovery="remove the file",
     )
 
 
@@ -139,6 +140,7 @@ def summarize_files(entities: DataFrame, files: DataFrame, failures: DataFrame)
     )
 
 
+@leaves_report("verify_download")
 def run_verify_download(
     spark: SparkSession,
     manifest_path: str,
@@ -146,6 +148,7 @@ def run_verify_download(
     dataset: str = "all",
     mode: str = "meta",
     check_extra: bool = False,
+    log: RunLog = SILENT,  # leaves no log: its report says it all
 ) -> Outcome:
     """Check the local files: ``quick`` presence and size, ``meta`` also the row counts
     of the footers, ``full`` also decodes every column."""

@@ -11,8 +11,9 @@ from stackroom.functions.abstracts import abstract_from_json
 from stackroom.functions.citations import citation
 from stackroom.functions.paths import RAW_WORKS, WORKS, scanned_file
 from stackroom.plans.outcome import Outcome, dataset_summary, failure_rows, failures_of
+from stackroom.plans.recording import SILENT, RunLog, leaves_report
 from stackroom.session import checkpointed
-from stackroom.sinks.outputs import STAGED_KEY, publish_partition, remove, stage_partitions
+from stackroom.sinks.outputs import STAGED_KEY, publish_partition, recover_below, remove, stage_partitions, staged_value
 from stackroom.sources.corpus import (
     LISTING_TASKS,
     decoded_row_counts,
@@ -20,6 +21,7 @@ from stackroom.sources.corpus import (
     file_row_counts,
     path_exists,
     read_corpus,
+    unreadable_files,
 )
 
 PARTITION = "updated_date"
@@ -86,21 +88,16 @@ def _per_partition(counts: DataFrame) -> DataFrame:
 
 
 def _unreadable(spark: SparkSession, root: str, files: DataFrame, counts: DataFrame) -> dict[str, str]:
-    """Errors of files that have no rows because they cannot be read.
-
-    A footer that cannot be read and a file without rows look alike in the counts, so the
-    few files without a count are opened one by one.
-    """
-    errors = {}
-    for row in files.join(counts, "rel_path", "left_anti").select("rel_path").collect():
-        try:
-            read_corpus(spark, f"{root}/{row['rel_path']}").isEmpty()
-        except Exception as error:  # any reason makes it a failure row
-            errors[row["rel_path"]] = str(error)
-    return errors
+    """Errors of files that have no rows because they cannot be read: a footer that cannot be
+    read and a file without rows look alike in the counts."""
+    without = files.join(counts, "rel_path", "left_anti").select("rel_path").orderBy("rel_path")
+    return unreadable_files(spark, root, [row["rel_path"] for row in without.collect()])
 
 
-def run_enrich(spark: SparkSession, parquet_dir: str, overwrite: bool = False) -> Outcome:
+@leaves_report("enrich")
+def run_enrich(
+    spark: SparkSession, parquet_dir: str, overwrite: bool = False, log: RunLog = SILENT
+) -> Outcome:
     """Enrich raw works below ``parquet_dir``, partition by partition.
 
     No shuffle: each task writes the rows of the files it read, to a staging folder whose
@@ -111,7 +108,8 @@ def run_enrich(spark: SparkSession, parquet_dir: str, overwrite: bool = False) -
     source_dir, output_dir = f"{parquet_dir}/{RAW_WORKS}", f"{parquet_dir}/{WORKS}"
     source = checkpointed(file_inventory(spark, source_dir).coalesce(LISTING_TASKS))
     if source.isEmpty():
-        raise FileNotFoundError(f"no parquet files under {source_dir} (run download first)")
+        raise FileNotFoundError(f"no parquet files under {source_dir}: nothing to enrich")
+    recover_below(spark, output_dir)
     by_partition = source.withColumn(PARTITION, partition_of(F.col("rel_path")))
     todo = (
         by_partition.select(PARTITION).distinct()
@@ -124,13 +122,16 @@ def run_enrich(spark: SparkSession, parquet_dir: str, overwrite: bool = False) -
     scanned = by_partition.join(todo.withColumn("redone", F.lit(True)), PARTITION, "left").select(
         F.lit(WORKS).alias("dataset"), F.col("redone").isNull().alias("skipped")
     )
+    n_files = scanned.count()
     if not names:
+        log.idle(WORKS, n_files, "converted")
         none = failures_of(spark, [])
         return Outcome(checkpointed(dataset_summary(scanned, none)), none)
     # Files outside any partition folder lie at the root, so the root is read then.
     folders = [] if "" in names else [f"{PARTITION}={name}" for name in names]
     counts = checkpointed(file_row_counts(spark, source_dir, *folders))
     files = by_partition.join(todo, PARTITION, "left_semi")
+    log.start(WORKS, n_files, len(names))
     broken = _unreadable(spark, source_dir, files, counts)
     staged = f"{output_dir}/_staged-{uuid.uuid4().hex}"
     try:
@@ -139,8 +140,9 @@ def run_enrich(spark: SparkSession, parquet_dir: str, overwrite: bool = False) -
             value = partition_of(scanned_file(source_dir))
             stage_partitions(enrich(raw).where(value.isin(names)), staged, value)
         made = file_row_counts(spark, staged) if path_exists(spark, staged) else counts.limit(0)
-        key = F.regexp_replace("rel_path", rf"(\A|/){STAGED_KEY}=", f"$1{PARTITION}=")
-        both = row_parity(_per_partition(counts), _per_partition(made.withColumn("rel_path", key)), PARTITION)
+        key = staged_value(F.regexp_extract("rel_path", rf"(?:\A|/){STAGED_KEY}=([^/]*)/", 1)).alias(PARTITION)
+        made = made.groupBy(key).agg(F.sum("n_rows").alias("n_rows"))
+        both = row_parity(_per_partition(counts), made, PARTITION)
         both = checkpointed(both.join(todo, PARTITION, "left_semi"))
         unequal = both.where("source_rows <> output_rows")
         short = _cut_short(spark, source_dir, unequal, counts)
@@ -149,6 +151,7 @@ def run_enrich(spark: SparkSession, parquet_dir: str, overwrite: bool = False) -
         for row in both.where("output_rows > 0").select(PARTITION).collect():
             if row[PARTITION] not in held:
                 publish_partition(spark, staged, output_dir, PARTITION, row[PARTITION])
+                log.item(WORKS, "converted", f"{PARTITION}={row[PARTITION]}")
     finally:
         remove(spark, staged)
     damaged = spark.createDataFrame([*broken.items(), *short.items()], "rel_path string, error string")
@@ -162,7 +165,7 @@ def run_enrich(spark: SparkSession, parquet_dir: str, overwrite: bool = False) -
         source_path=place,
         output_path=target,
         error_message=F.col("error"),
-        suggested_recovery="fetch the file again, then run enrich",
+        suggested_recovery="get the file anew, then enrich again",
     )
     with_damage = files.join(damaged, "rel_path", "left_semi").select(PARTITION).distinct()
     of_partitions = failure_rows(
@@ -174,11 +177,14 @@ def run_enrich(spark: SparkSession, parquet_dir: str, overwrite: bool = False) -
         source_path=place,
         output_path=target,
         error_message=F.format_string("%d rows in the source, %d enriched", "source_rows", "output_rows"),
-        suggested_recovery="run enrich again",
+        suggested_recovery="enrich again",
     )
     failures = checkpointed(of_files.unionByName(of_partitions))
     kept_back = files.where(F.col(PARTITION).isin(list(held))).select(F.lit(WORKS).alias("dataset"))
-    return Outcome(checkpointed(dataset_summary(scanned, kept_back)), failures)
+    summary = checkpointed(dataset_summary(scanned, kept_back))
+    for row in summary.collect():
+        log.summary(row["dataset"], row["items_scanned"], row["succeeded"], row["failed"])
+    return Outcome(summary, failures)
 
 
 def _cut_short(spark: SparkSession, root: str, unequal: DataFrame, counts: DataFrame) -> dict[str, str]:

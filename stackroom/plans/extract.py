@@ -19,8 +19,9 @@ from stackroom.functions.ids import (
 from stackroom.operators.keyed import BROADCAST_BYTES, fits_broadcast, semi_join
 from stackroom.plans.index import index_path
 from stackroom.plans.outcome import Outcome, failures_of, summary_of
+from stackroom.plans.recording import SILENT, RunLog, leaves_report
 from stackroom.session import checkpointed
-from stackroom.sinks.outputs import is_complete, output_path, write_csv_if_any, write_parquet
+from stackroom.sinks.outputs import is_complete, output_path, whole_version, write_csv_if_any, write_parquet
 from stackroom.sources.corpus import read_corpus
 from stackroom.sources.idlist import read_id_list
 
@@ -142,6 +143,7 @@ class Extraction:
     missing: DataFrame
 
 
+@leaves_report("extract")
 def run_extract(
     spark: SparkSession,
     parquet_dir: str,
@@ -150,6 +152,7 @@ def run_extract(
     scheme: IdScheme,
     dataset: str = "all",
     side_outputs: str | None = None,
+    log: RunLog = SILENT,
 ) -> Extraction:
     """Write ``<stem>_<dataset>.parquet`` per dataset with matches, overwriting it.
 
@@ -166,6 +169,7 @@ def run_extract(
         target = index_path(parquet_dir, name)
         count = {"dataset": name, "items_scanned": wanted[name]}
         counts.append(count)
+        log.start(name, wanted[name], wanted[name])
         if not is_complete(spark, target):
             count["failed"] = wanted[name]
             failed.append(
@@ -174,13 +178,13 @@ def run_extract(
                     "phase": "extract_index_read",
                     "source_path": target,
                     "error_message": "index file missing",
-                    "suggested_recovery": f"run index for {name}",
+                    "suggested_recovery": f"index {name} first",
                 }
             )
             continue
         requested = accepted.where(F.col("dataset") == name)
         try:
-            index = in_requested_blocks(spark.read.parquet(target), requested)
+            index = in_requested_blocks(spark.read.parquet(whole_version(spark, target)), requested)
             hits = checkpointed(lookup(index, requested))
             matched = checkpointed(matched_ids(hits))
             n_matched = matched.count()
@@ -192,7 +196,7 @@ def run_extract(
                     "phase": "extract_index_read",
                     "source_path": target,
                     "error_message": str(error),
-                    "suggested_recovery": "rebuild index and retry extract",
+                    "suggested_recovery": "build the index anew, then extract again",
                 }
             )
             continue
@@ -214,9 +218,11 @@ def run_extract(
                     "source_path": target,
                     "output_path": path,
                     "error_message": str(error),
-                    "suggested_recovery": "verify parquet/index and retry extract",
+                    "suggested_recovery": "check the corpus files and the index, then extract again",
                 }
             )
+    for count in counts:
+        log.summary(count["dataset"], count["items_scanned"], count.get("succeeded", 0), count.get("failed", 0))
     all_missing = reduce(DataFrame.unionByName, missing).select("dataset", "id")
     if side_outputs is not None:
         write_csv_if_any(requests.unknown, f"{side_outputs}/extract-unknown-ids")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -10,19 +11,25 @@ from pyspark.sql import functions as F
 
 from stackroom.functions.ids import id_block
 from stackroom.plans.outcome import Outcome, failure_rows, failures_of, summary_of
+from stackroom.plans.recording import SILENT, RunLog, leaves_report
 from stackroom.schemas import ID_INDEX
 from stackroom.session import checkpointed
-from stackroom.sinks.outputs import is_complete, write_parquet
+from stackroom.sinks.outputs import is_complete, recover, remove, swap, whole_version, write_parquet
 from stackroom.sources.corpus import (
     INDEX_SUFFIX,
-    datasets_in,
+    LISTING_TASKS,
+    dataset_folders,
     distinct_strings,
     file_inventory,
+    file_row_counts,
     read_corpus,
+    unreadable_files,
     with_file_position,
 )
 
-_REBUILD = "rebuild the index with overwrite"
+ROWS_PER_RANGE = 4_000_000
+
+_REBUILD = "build the index anew, with overwrite"
 
 
 def index_path(parquet_dir: str, dataset: str) -> str:
@@ -37,57 +44,110 @@ def index_rows(rows: DataFrame, root: str, record_id: Column | None = None) -> D
     )
 
 
-def in_id_order(index: DataFrame) -> DataFrame:
+def in_id_order(index: DataFrame, n_rows: int | None = None) -> DataFrame:
     """Range-partition the index by id, so row-group statistics prune lookups.
 
     File and row number take part in the ranges: they split an id that very many
-    rows share.
+    rows share. With ``n_rows`` a range has about ``ROWS_PER_RANGE``, whatever the session's
+    number of shuffle partitions.
     """
     order = ["id", "parquet_file", "file_row_number"]
-    return index.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranges = [] if n_rows is None else [max(1, -(-n_rows // ROWS_PER_RANGE))]
+    return index.repartitionByRange(*ranges, *order).sortWithinPartitions(*order)
+
+
+def _sound_files(spark: SparkSession, parquet_dir: str, name: str) -> tuple[DataFrame, int, dict[str, str]]:
+    """A footer pass over a dataset: ``rel_path, n_rows`` of the files that hold rows, the number
+    of all files, and the errors of those that cannot be read."""
+    files = checkpointed(file_inventory(spark, parquet_dir, name).select("rel_path").coalesce(LISTING_TASKS))
+    counts = checkpointed(file_row_counts(spark, parquet_dir, name)) if not files.isEmpty() else None
+    if counts is None:
+        return files.selectExpr("rel_path", "0L AS n_rows"), 0, {}
+    without = files.join(counts, "rel_path", "left_anti").orderBy("rel_path")
+    broken = unreadable_files(spark, parquet_dir, [row["rel_path"] for row in without.collect()])
+    return counts, files.count(), broken
+
 
+def _short_files(index: DataFrame, counts: DataFrame) -> dict[str, str]:
+    """Files of which the index holds fewer rows than their footers promise."""
+    indexed = index.groupBy(F.col("parquet_file").alias("rel_path")).agg(F.count(F.lit(1)).alias("n_indexed"))
+    n_indexed = F.coalesce("n_indexed", F.lit(0))
+    short = counts.join(indexed, "rel_path", "left").where(n_indexed < F.col("n_rows"))
+    found = short.select("rel_path", "n_rows", n_indexed.alias("n_indexed")).collect()
+    return {row["rel_path"]: f"{row['n_indexed']} of {row['n_rows']} rows can be read" for row in found}
 
-def files_per_dataset(spark: SparkSession, parquet_dir: str, dataset: str = "all") -> dict[str, int]:
-    """Dataset names, sorted, with their number of files, from one listing."""
-    folder = "" if dataset == "all" else dataset
-    inventory = file_inventory(spark, parquet_dir, folder)
-    files = inventory.select(F.substring_index("rel_path", "/", 1).alias("dataset"))
-    counted = files.groupBy("dataset").count()
-    if dataset == "all":
-        counted = counted.join(datasets_in(inventory), "dataset", "left_semi")
-    found = {row["dataset"]: row["count"] for row in counted.collect()}
-    if not found:
-        raise FileNotFoundError(f"no parquet files found under {parquet_dir}/{folder}")
-    return dict(sorted(found.items()))
+
+def _write_index(spark: SparkSession, parquet_dir: str, name: str, counts: DataFrame) -> dict[str, str]:
+    """Write the index of the files in ``counts``, and the errors of those that turn out damaged.
+
+    What can be read is written beside the old index and counted per file. If a file falls short
+    of its footer, its rows are left out in a second write; the index holds whole files only.
+    """
+    target = index_path(parquet_dir, name)
+    # The names of the files, as any scan of the folder makes the driver hold them.
+    names = [row["rel_path"] for row in counts.orderBy("rel_path").collect()]
+    n_rows = counts.agg(F.sum("n_rows").alias("n")).first()["n"] or 0
+    if names:
+        rows = read_corpus(spark, *[f"{parquet_dir}/{n}" for n in names], merge_schema=False, skip_damaged=True)
+        index = index_rows(rows, parquet_dir)
+    else:
+        index = spark.createDataFrame([], ID_INDEX)
+    draft = f"{parquet_dir}/.draft-{uuid.uuid4().hex}"
+    try:
+        write_parquet(in_id_order(index, n_rows), draft)
+        written = spark.read.parquet(draft)
+        short = _short_files(written, counts)
+        if short:
+            gone = spark.createDataFrame([(n,) for n in short], "parquet_file string")
+            whole = written.join(F.broadcast(gone), "parquet_file", "left_anti").select(*written.columns)
+            write_parquet(in_id_order(whole, n_rows), target, overwrite=True)
+        else:
+            swap(spark, draft, target)
+    finally:
+        remove(spark, draft)
+    return short
 
 
+@leaves_report("index")
 def run_index(
-    spark: SparkSession, parquet_dir: str, dataset: str = "all", overwrite: bool = False
+    spark: SparkSession, parquet_dir: str, dataset: str = "all", overwrite: bool = False, log: RunLog = SILENT
 ) -> Outcome:
-    """Write ``<dataset>_id_idx.parquet``; an index that exists is left unless ``overwrite``."""
+    """Write ``<dataset>_id_idx.parquet``; an index that exists is left unless ``overwrite``.
+
+    A file that cannot be read is a failure, and the others are indexed without it. A dataset
+    folder without files is passed over.
+    """
+    names = dataset_folders(spark, parquet_dir) if dataset == "all" else [dataset]
     counts, failed = [], []
-    for name, n_files in files_per_dataset(spark, parquet_dir, dataset).items():
+    for name in names:
         target = index_path(parquet_dir, name)
+        entry = {"dataset": name, "phase": "index_stage1", "output_path": target}
+        recovery = "get the damaged file anew, then build the index again"
+        recover(spark, target)
         if not overwrite and is_complete(spark, target):
             counts.append({"dataset": name, "skipped": 1})
+            log.idle(name, 1, "indexed")
+            continue
+        sound, n_files, broken = _sound_files(spark, parquet_dir, name)
+        if not n_files:
             continue
-        count = {"dataset": name, "items_scanned": n_files, "succeeded": n_files}
+        log.start(name, n_files, n_files)
+        count = {"dataset": name, "items_scanned": n_files}
         try:
-            rows = index_rows(read_corpus(spark, f"{parquet_dir}/{name}", merge_schema=False), parquet_dir)
-            write_parquet(in_id_order(rows), target, overwrite=True)  # or over what a killed run left
+            broken |= _write_index(spark, parquet_dir, name, sound)
+            count |= {"succeeded": n_files - len(broken), "failed": len(broken)}
+            failed += [
+                entry | {"rel_path": n, "source_path": f"{parquet_dir}/{n}", "error_message": e, "suggested_recovery": recovery}
+                for n, e in sorted(broken.items())
+            ]
+            log.item(name, "indexed", f"files={n_files - len(broken)}")
         except Exception as error:  # the next dataset is still to be indexed
             count |= {"succeeded": 0, "failed": n_files}
-            failed.append(
-                {
-                    "dataset": name,
-                    "phase": "index_stage1",
-                    "source_path": f"{parquet_dir}/{name}",
-                    "output_path": target,
-                    "error_message": str(error),
-                    "suggested_recovery": "re-download the damaged file and rerun index",
-                }
-            )
+            failed.append(entry | {"source_path": f"{parquet_dir}/{name}", "error_message": str(error), "suggested_recovery": recovery})
+        log.summary(name, n_files, count["succeeded"], count["failed"])
         counts.append(count)
+    if not counts:
+        raise FileNotFoundError(f"no parquet files in {parquet_dir}/{'' if dataset == 'all' else dataset}")
     return Outcome(summary_of(spark, counts), failures_of(spark, failed))
 
 
@@ -120,7 +180,7 @@ def count_failures(
         source_path=target,
         output_path=corpus_dir,
         error_message=F.format_string(
-            "row count mismatch: index=%d corpus=%d", "index_rows", "corpus_rows"
+            "the index holds %d rows, the corpus %d", "index_rows", "corpus_rows"
         ),
         suggested_recovery=_REBUILD,
     )
@@ -166,12 +226,12 @@ def _verify_one(spark: SparkSession, parquet_dir: str, dataset: str) -> DataFram
             | {
                 "phase": "verify_index_exists",
                 "error_message": "index file missing",
-                "suggested_recovery": "run index first",
+                "suggested_recovery": "build the index first",
             }
         )
     else:
         try:
-            index = spark.read.parquet(target)
+            index = spark.read.parquet(whole_version(spark, target))
             columns = index.columns
         except AnalysisException as error:
             columns = []
@@ -213,13 +273,22 @@ def _verify_one(spark: SparkSession, parquet_dir: str, dataset: str) -> DataFram
     return checkpointed(paths.unionByName(block_failures(index, dataset, target)))
 
 
-def run_verify_index(spark: SparkSession, parquet_dir: str, dataset: str = "all") -> Outcome:
-    names = list(files_per_dataset(spark, parquet_dir)) if dataset == "all" else [dataset]
+@leaves_report("verify_index")
+def run_verify_index(
+    spark: SparkSession, parquet_dir: str, dataset: str = "all", log: RunLog = SILENT
+) -> Outcome:
+    """Check the index of each dataset folder, also of those without a single file."""
+    names = dataset_folders(spark, parquet_dir) if dataset == "all" else [dataset]
+    if not names:
+        raise FileNotFoundError(f"no dataset folders in {parquet_dir}")
     counts, found = [], []
     for name in names:
+        log.start(name, 1, 1)
         failures = _verify_one(spark, parquet_dir, name)
         n_failed = failures.count()
         found.append(failures)
+        log.item(name, "verified", name)
+        log.summary(name, 1, int(n_failed == 0), n_failed)
         counts.append(
             {
                 "dataset": name,

@@ -10,10 +10,31 @@ from pyspark.sql import functions as F
 from stackroom.schemas import DATASET_SUMMARY, FAILURE
 
 
+#: The phases of failures, by which reports are searched.
+PHASES = (
+    "enrich",
+    "enrich_rowcount",
+    "extract_index_read",
+    "extract_write_output",
+    "index_stage1",
+    "validate_file_presence",
+    "validate_file_size",
+    "validate_manifest_url",
+    "validate_parquet_rowcount",
+    "verify_index_block",
+    "verify_index_corpus",
+    "verify_index_count",
+    "verify_index_exists",
+    "verify_index_path",
+    "verify_index_schema",
+)
+
+
 @dataclass(frozen=True)
 class Outcome:
     summary: DataFrame
     failures: DataFrame
+    report_path: str | None = None  # where the run was asked to leave a report
 
 
 def failure_rows(rows: DataFrame, **columns: Column | str) -> DataFrame:

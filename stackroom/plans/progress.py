@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stackroom.functions.runs import canonical_command, format_duration, parse_counter
 from stackroom.operators.ranking import last_lines
 from stackroom.plans.reports import for_dataset, report_stamp
+from stackroom.session import checkpointed
+from stackroom.sources.runs import log_times, read_logs, read_reports, run_datasets
 
 RECENT_SECONDS = 300
 
@@ -45,46 +49,75 @@ def _marks(lines: DataFrame) -> DataFrame:
     )
 
 
-def _last(mark: str) -> Column:
-    """Last value of a mark in log order: an aggregate, combined map-side."""
-    return F.max_by(F.col(mark), F.when(F.col(mark).isNotNull(), F.col("position")))
+def _last(mark: str, order: str) -> Column:
+    """Last value of a mark: an aggregate, combined map-side."""
+    return F.max_by(F.col(mark), F.when(F.col(mark).isNotNull(), F.col(order)))
 
 
-def dataset_status(lines: DataFrame) -> DataFrame:
-    """Per dataset: status, counts and last log line (dataset, position, value -> one row).
+_MARKS = ("scanned", "todo", "ok", "failed")
+
+
+def _block_states(lines: DataFrame) -> DataFrame:
+    """What each block of a log tells by itself.
 
-    Three grouped aggregates: no line is ever sorted or gathered per dataset.
+    A block is read by one task, so it is folded before anything moves. ``at_idle`` is what was
+    scanned as of the block's last line that says all files are done, null if no line before it
+    in the block told.
     """
-    zero = F.lit(0).cast("bigint")
-    marks = _marks(lines)
-    told = marks.groupBy("dataset").agg(
-        F.coalesce(_last("scanned_mark"), zero).alias("scanned"),
-        F.coalesce(_last("todo_mark"), zero).alias("todo"),
+    told = F.struct("row", F.col("scanned_mark").alias("scanned"), F.col("all_done").alias("idle"))
+    states = _marks(lines).groupBy("dataset", "block").agg(
+        *[_last(f"{mark}_mark", "row").alias(mark) for mark in _MARKS],
         F.count_if("item_done").alias("converted"),
-        F.coalesce(_last("ok_mark"), zero).alias("ok"),
-        F.coalesce(_last("failed_mark"), zero).alias("failed"),
         F.bool_or(F.col("is_summary") | F.col("all_done")).alias("done"),
+        F.bool_or("all_done").alias("idle"),
         F.coalesce(F.bool_or(F.col("failed_mark") > 0), F.lit(False)).alias("errored"),
-        F.max_by("value", "position").alias("last_log"),
-    )
-    # Skipped is what was scanned as of the last "all files already" line.
-    idle = (
-        marks.where("all_done").groupBy("dataset").agg(F.max("position").alias("idle_at"))
+        F.max_by("value", "row").alias("last_log"),
+        F.collect_list(F.when(F.col("scanned_mark").isNotNull() | F.col("all_done"), told)).alias("told"),
     )
-    skipped = (
-        marks.where(F.col("scanned_mark").isNotNull())
-        .join(idle, "dataset")
-        .where(F.col("position") <= F.col("idle_at"))
-        .groupBy("dataset")
-        .agg(F.max_by("scanned_mark", "position").alias("skipped"))
+    nothing = F.lit(None).cast("bigint")
+
+    def told_next(state: Column, line: Column) -> Column:
+        scanned = F.coalesce(line["scanned"], state["scanned"])
+        at_idle = F.when(line["idle"], scanned).otherwise(state["at_idle"])
+        return F.struct(scanned.alias("scanned"), at_idle.alias("at_idle"))
+
+    start = F.struct(nothing.alias("scanned"), nothing.alias("at_idle"))
+    at_idle = F.aggregate(F.array_sort("told"), start, told_next)["at_idle"]
+    return states.withColumn("at_idle", at_idle).drop("told")
+
+
+def dataset_status(lines: DataFrame) -> DataFrame:
+    """Per dataset: status, counts and last log line (dataset, block, row, value -> one row).
+
+    One scan: lines become a state per block, and states merge in the order of blocks, one row
+    for each block of a log (128 MB of it, say). No line is ever sorted or gathered.
+    """
+    zero = F.lit(0).cast("bigint")
+    part = F.struct("block", "scanned", "idle", "at_idle")
+    merged = _block_states(lines).groupBy("dataset").agg(
+        *[F.coalesce(_last(mark, "block"), zero).alias(mark) for mark in _MARKS],
+        F.sum("converted").alias("converted"),
+        F.bool_or("done").alias("done"),
+        F.bool_or("errored").alias("errored"),
+        F.max_by("last_log", "block").alias("last_log"),
+        F.array_sort(F.collect_list(part)).alias("blocks"),
     )
+
+    def block_next(state: Column, block: Column) -> Column:
+        scanned = F.coalesce(block["scanned"], state["scanned"])
+        skipped = F.when(block["idle"], F.coalesce(block["at_idle"], state["scanned"])).otherwise(state["skipped"])
+        return F.struct(scanned.alias("scanned"), skipped.alias("skipped"))
+
+    # Skipped is what was scanned as of the last "all files already" line.
+    start = F.struct(zero.alias("scanned"), zero.alias("skipped"))
+    skipped = F.aggregate("blocks", start, block_next)["skipped"]
     status = (
         F.when(F.col("errored"), "error")
         .when(F.col("done"), "done")
         .when((F.col("scanned") > 0) | (F.col("converted") > 0), "in-progress")
         .otherwise("pending")
     )
-    return told.join(skipped, "dataset", "left").select(
+    return merged.select(
         "dataset",
         status.alias("status"),
         "scanned",
@@ -92,7 +125,7 @@ def dataset_status(lines: DataFrame) -> DataFrame:
         "converted",
         "ok",
         "failed",
-        F.coalesce("skipped", zero).alias("skipped"),
+        skipped.alias("skipped"),
         "last_log",
     )
 
@@ -212,3 +245,44 @@ def progress_snapshot(run: DataFrame, now_unix: Column) -> DataFrame:
 def log_tail(lines: DataFrame, keep: int = 2) -> DataFrame:
     """Last lines of each log file, newest first by ``from_end``."""
     return last_lines(lines, keep).select("file", "from_end", "value")
+
+
+@dataclass(frozen=True)
+class Progress:
+    """A picked run: its report, its datasets as their logs tell, and the ends of those logs."""
+
+    snapshot: DataFrame
+    datasets: DataFrame
+    totals: DataFrame
+    last_lines: DataFrame
+
+
+def run_progress(
+    spark: SparkSession,
+    metadata_dir: str,
+    now_unix: int,
+    command: str | None = None,
+    dataset: str = "all",
+    keep: int = 2,
+) -> Progress:
+    """How far the newest run is that is open or has written to a log within five minutes.
+
+    Reports and logs are those that jobs leave with ``metadata_dir``. A dataset folder without
+    a log of the run's command is pending.
+    """
+    root, now = metadata_dir.rstrip("/"), F.lit(now_unix).cast("bigint")
+    reports = read_reports(spark, f"{root}/reports")
+    run = checkpointed(pick_run(reports, log_times(spark, root), now, command, dataset))
+    picked = run.select("command", "report_nonce", "started_at_unix", "duration_seconds").first()
+    if picked is None:
+        raise LookupError(f"no open or recent run in {root}")
+    runtime = picked["duration_seconds"]
+    if runtime is None:
+        runtime = max(now_unix - picked["started_at_unix"], 0)
+    lines = read_logs(spark, root, picked["command"])
+    names = spark.createDataFrame([(name,) for name in run_datasets(spark, root)], "dataset string")
+    status = checkpointed(with_pending(names, dataset_status(lines)))
+    seconds = F.lit(float(runtime))
+    of_run = run.select(F.explode("datasets.dataset").alias("dataset"))
+    ends = log_tail(lines.join(of_run, "dataset", "left_semi"), keep)
+    return Progress(progress_snapshot(run, now), with_eta(status, seconds), progress_totals(status, seconds), ends)

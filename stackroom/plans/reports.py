@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,9 +11,11 @@ from stackroom.functions.runs import (
     format_duration,
     started_local,
 )
-from stackroom.operators.ranking import beyond_first, first_per
+from stackroom.operators.ranking import beyond_first, first_per, with_ordinal
 from stackroom.plans.outcome import Outcome
-from stackroom.schemas import REPORT, STEP_RUN
+from stackroom.schemas import REPORT
+from stackroom.sinks.outputs import remove
+from stackroom.sources.runs import read_reports
 
 
 def report_stamp() -> Column:
@@ -53,6 +53,12 @@ def in_report_order(reports: DataFrame) -> DataFrame:
     return reports.orderBy(command_flow_rank(F.col("command")), *_newest_first())
 
 
+def with_report_position(reports: DataFrame) -> DataFrame:
+    """``reports`` with their ``position`` (from 1) in that order."""
+    order = [command_flow_rank(F.col("command")), *_newest_first()]
+    return with_ordinal(reports, order, "position")
+
+
 def select_reports(reports: DataFrame, command: str | None = None, latest: bool = False) -> DataFrame:
     chosen = for_command(reports, command)
     return latest_per_command(chosen) if latest else chosen
@@ -169,19 +175,13 @@ def step_failures(reports: DataFrame) -> DataFrame:
     )
 
 
-def run_steps(spark: SparkSession, steps: dict[str, Callable[[], Outcome]]) -> DataFrame:
-    """Run the jobs in turn and stop after the first that fails; one row per step run."""
-    done = []
-    for name, job in steps.items():
-        try:
-            n_failed = job().failures.count()
-            message = f"failures detected: {n_failed}" if n_failed else None
-        except Exception as error:  # a step that breaks is a failed step
-            message = str(error)
-        done.append((name, "ok" if message is None else "failed", None, message))
-        if message is not None:
-            break
-    return spark.createDataFrame(done, STEP_RUN)
+def run_prune_reports(spark: SparkSession, folder: str, keep: int, command: str | None = None) -> list[str]:
+    """Delete the reports beyond the ``keep`` newest of their command; their paths."""
+    gone = prunable_reports(read_reports(spark, folder), keep, command).select("path").orderBy("path")
+    paths = [row["path"] for row in gone.collect()]
+    for path in paths:
+        remove(spark, path)
+    return paths
 
 
 def new_report(

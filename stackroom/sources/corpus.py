@@ -23,11 +23,12 @@ def _parquet(spark: SparkSession) -> DataFrameReader:
     return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
 
 
-def _listing(spark: SparkSession, path: str) -> DataFrame | None:
-    """Files below a path (content unread), None when there is no such path."""
+def listing(spark: SparkSession, path: str, names: str = "*.parquet") -> DataFrame | None:
+    """``path, length, modificationTime`` of the files below a path whose names match the
+    pattern (content unread), None when there is no such path."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     try:
-        return reader.option("pathGlobFilter", "*.parquet").load(path)
+        return reader.option("pathGlobFilter", names).load(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
@@ -35,7 +36,7 @@ def _listing(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    return _listing(spark, path) is not None
+    return listing(spark, path) is not None
 
 
 def read_corpus(
@@ -58,7 +59,7 @@ def file_inventory(spark: SparkSession, root: str, folder: str = "") -> DataFram
     narrows the listing, the paths stay relative to ``root``.
     """
     where = f"{root.rstrip('/')}/{folder}" if folder else root
-    files = _listing(spark, where)
+    files = listing(spark, where)
     if files is None:
         return spark.createDataFrame([], _INVENTORY)
     return files.select(
@@ -150,6 +151,40 @@ def datasets_in(inventory: DataFrame) -> DataFrame:
     )
 
 
+def dataset_folders(spark: SparkSession, parquet_dir: str) -> list[str]:
+    """Names of the dataset folders, sorted, whether they hold files or not.
+
+    One listing of the file system, of one level.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(parquet_dir)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return []
+    names = [entry.getPath().getName() for entry in files.listStatus(root) if entry.isDirectory()]
+    return sorted(
+        n for n in names if not n.startswith((".", "_")) and not n.endswith((RAW_SUFFIX, INDEX_SUFFIX))
+    )
+
+
+def unreadable_files(spark: SparkSession, root: str, names: list[str]) -> dict[str, str]:
+    """Errors of the files whose footers cannot be read.
+
+    All are opened in one job; only where that fails, both halves are tried in turn. So empty
+    files, however many, cost one job, and each damaged one about as many as the listing has bits.
+    """
+    if not names:
+        return {}
+    try:
+        files = _parquet(spark).option("ignoreCorruptFiles", "false").schema("id string")
+        files.parquet(*[f"{root.rstrip('/')}/{name}" for name in names]).select().write.format("noop").mode("append").save()
+        return {}
+    except Exception as error:  # any reason makes it a failure row
+        if len(names) == 1:
+            return {names[0]: str(error)}
+    half = len(names) // 2
+    return unreadable_files(spark, root, names[:half]) | unreadable_files(spark, root, names[half:])
+
+
 def distinct_strings(rows: DataFrame, column: str) -> DataFrame:
     """Distinct values of one string column, nulls dropped."""
     return rows.select(column).where(F.col(column).isNotNull()).distinct()

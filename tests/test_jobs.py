@@ -15,7 +15,8 @@ from stackroom.plans.download import plan_download, run_verify_download
 from stackroom.plans.enrich import enrich, run_enrich, stale
 from stackroom.plans.extract import run_extract
 from stackroom.plans.index import index_path, run_index, run_verify_index
-from stackroom.plans.reports import latest_per_command, new_report, prunable_reports, run_steps
+from stackroom.plans.recording import run_steps
+from stackroom.plans.reports import latest_per_command, new_report, prunable_reports
 from stackroom.sinks.outputs import append_report, output_path
 from stackroom.sources import corpus
 from stackroom.sources.runs import read_reports
@@ -276,7 +277,7 @@ def test_verify_index(spark, indexed):
     put(f"{root}/works/updated_date=2020-01-03/c.parquet", id=["W9"])
     more = run_verify_index(spark, root, "works")
     assert phases(more) == {"verify_index_count": 1}
-    assert more.failures.first()["error_message"] == "row count mismatch: index=5 corpus=6"
+    assert more.failures.first()["error_message"] == "the index holds 5 rows, the corpus 6"
     # Same number of rows, but under another name.
     os.rename(f"{root}/works/updated_date=2020-01-03", f"{root}/works/updated_date=2020-01-04")
     run_index(spark, root, "works", overwrite=True)
@@ -433,7 +434,7 @@ def test_verify_download_failures(spark, mirrored):
     }
     assert counts(bad) == {"authors": (4, 0, 4, 0), "works": (1, 0, 1, 0), "topics": (0, 0, 0, 0)}
     messages = {r["error_message"] for r in bad.failures.collect()}
-    assert "rowcount mismatch local=2 manifest=3" in messages and "unexpected local file" in messages
+    assert "2 rows, the manifest says 3" in messages and "the manifest does not list this file" in messages
     assert phases(verify(spark, mirrored, mode="quick")) == {
         "validate_file_size": 1, "validate_manifest_url": 1, "validate_file_presence": 1,
     }

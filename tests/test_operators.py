@@ -3,7 +3,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from stackroom.operators import keyed
-from stackroom.operators.ranking import beyond_first, first_per, last_lines
+from stackroom.operators.ranking import beyond_first, first_per, last_lines, with_ordinal
 
 
 def test_semi_join_shuffled_equals_broadcast(spark):
@@ -50,9 +50,32 @@ def test_beyond_first_equals_a_plain_ranking(spark):
 
 
 def test_first_per_and_last_lines(spark):
-    rows = spark.createDataFrame([("a", 1, "x"), ("a", 3, "y"), ("b", 2, "z")], "file string, position int, value string")
-    first = first_per(rows, "file", [-F.col("position")]).collect()
+    rows = [("a", 0, 1, "x"), ("a", 0, 3, "y"), ("a", 1, 0, "w"), ("b", 0, 2, "z")]
+    rows = spark.createDataFrame(rows, "file string, block int, row int, value string")
+    first = first_per(rows, "file", [-F.col("row")]).collect()
     assert {(r["file"], r["value"]) for r in first} == {("a", "y"), ("b", "z")}
     tail = last_lines(rows, 1)
     assert "WindowGroupLimit" in tail._jdf.queryExecution().executedPlan().toString()
-    assert {(r["file"], r["value"]) for r in tail.collect()} == {("a", "y"), ("b", "z")}
+    assert {(r["file"], r["value"]) for r in tail.collect()} == {("a", "w"), ("b", "z")}
+    two = {(r["file"], r["from_end"], r["value"]) for r in last_lines(rows, 2).collect()}
+    assert two == {("a", 1, "w"), ("a", 2, "y"), ("b", 1, "z")}
+
+
+def test_last_lines_beyond_the_group_limit(spark):
+    """Blocks before the end are not ranked at all, and none is ranked with another."""
+    rows = spark.range(6000).selectExpr("'log' file", "id div 500 block", "id row", "cast(id as string) value")
+    got = {r["from_end"]: r["value"] for r in last_lines(rows, 2700).collect()}
+    assert got == {k: str(6000 - k) for k in range(1, 2701)}
+    plan = last_lines(rows, 2700)._jdf.queryExecution().optimizedPlan().toString()
+    assert "windowspecdefinition(file#" in plan.replace(" ", "") and "[file#" in plan
+    ranked = [line for line in plan.splitlines() if "row_number" in line]
+    assert ranked and all("file#" in line and "block#" in line for line in ranked)
+
+
+def test_ordinals(spark):
+    rows = spark.range(0, 5000, 1, 7).selectExpr("id", "id % 13 AS g", "'x' AS ordinal_of")
+    got = with_ordinal(rows, [F.col("g"), -F.col("id")]).collect()
+    want = sorted(range(5000), key=lambda i: (i % 13, -i))
+    assert [r["id"] for r in sorted(got, key=lambda r: r["ordinal"])] == want
+    assert sorted(r["ordinal"] for r in got) == list(range(1, 5001))
+    assert with_ordinal(rows.where("false"), [F.col("id")]).count() == 0

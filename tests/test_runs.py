@@ -180,7 +180,7 @@ def test_log_order_across_blocks(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
     try:
         lines = read_logs(spark, f"{tmp_path}/meta", "index")
-        assert lines.select("position.block").distinct().count() > 3
+        assert lines.select("block").distinct().count() > 3
         tail = {r["from_end"]: r["value"] for r in log_tail(lines, 2).collect()}
         assert dataset_status(lines).first()["todo"] == 2999
     finally:

@@ -266,24 +266,24 @@ quick AS (
   SELECT f.*, l.n_rows, CASE WHEN f.rel_path IS NULL THEN 'validate_manifest_url'
            WHEN l.rel_path IS NULL THEN 'validate_file_presence'
            WHEN l.length <> f.content_length THEN 'validate_file_size' END AS phase,
-         CASE WHEN f.rel_path IS NULL THEN 'could not derive local path from manifest url'
-           WHEN l.rel_path IS NULL THEN 'missing local file'
+         CASE WHEN f.rel_path IS NULL THEN 'the manifest url names no local file'
+           WHEN l.rel_path IS NULL THEN 'no such local file'
            WHEN l.length <> f.content_length
-           THEN 'size mismatch local=' || l.length || ' manifest=' || f.content_length END AS error_message
+           THEN l.length || ' bytes, the manifest says ' || f.content_length END AS error_message
   FROM files f LEFT JOIN local_files l ON f.rel_path = l.rel_path),
 quick_failures AS (
   SELECT dataset, phase, rel_path, url AS source_path, error_message,
-         CASE WHEN phase <> 'validate_manifest_url' THEN 'rerun download' END AS suggested_recovery
+         CASE WHEN phase <> 'validate_manifest_url' THEN 'get the dataset''s files anew' END AS suggested_recovery
   FROM quick WHERE phase IS NOT NULL),
 meta_failures AS (
   SELECT * FROM quick_failures
   UNION ALL
   SELECT dataset, 'validate_parquet_rowcount', rel_path, NULL,
-         'rowcount mismatch local=' || n_rows || ' manifest=' || record_count, 'rerun download for this file'
+         n_rows || ' rows, the manifest says ' || record_count, 'get this file anew'
   FROM quick WHERE phase IS NULL AND n_rows <> record_count),
 extra AS (
   SELECT e.dataset, 'validate_file_presence' AS phase, l.rel_path, CAST(NULL AS VARCHAR) AS source_path,
-         'unexpected local file' AS error_message, 'rerun download with --delete' AS suggested_recovery
+         'the manifest does not list this file' AS error_message, 'remove the file' AS suggested_recovery
   FROM local_files l JOIN (SELECT DISTINCT dataset, split_part(rel_path, '/', 1) AS folder FROM files
                            WHERE rel_path IS NOT NULL) e ON split_part(l.rel_path, '/', 1) = e.folder
   WHERE NOT EXISTS (SELECT 1 FROM files f WHERE f.rel_path = l.rel_path)),

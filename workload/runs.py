@@ -27,6 +27,7 @@ from stackroom.plans.reports import (
     select_reports,
     step_failures,
     step_rollup,
+    with_report_position,
     with_totals,
 )
 from stackroom.schemas import REPORT
@@ -131,6 +132,11 @@ def report_order(spark, sf_dir):
     return report_summary(in_report_order(_reports(spark, sf_dir)), "UTC")
 
 
+def report_positions(spark, sf_dir):
+    """The place of each report in the listing."""
+    return with_report_position(_reports(spark, sf_dir)).select("position", "command", "path")
+
+
 def report_lines(spark, sf_dir):
     return report_breakdown(_reports(spark, sf_dir))
 
@@ -180,7 +186,9 @@ def _logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "events").withColumn("k", _k()).select(
         _user().alias("dataset"),
         F.concat(_user(), F.lit("/index/index.log")).alias("file"),
-        F.struct(micros("ts").alias("at"), "event_id").alias("position"),
+        # A day of a log is a block of it.
+        F.call_function("div", micros("ts"), F.lit(86_400_000_000)).alias("block"),
+        F.struct(micros("ts").alias("at"), "event_id").alias("row"),
         F.concat(seconds("ts").cast("string"), F.lit(" [index] "), body).alias("value"),
     )
     return derived(lines)
@@ -212,6 +220,17 @@ def log_tails(spark, sf_dir):
     return log_tail(_logs(spark, sf_dir), 2)
 
 
+def long_log_tails(spark, sf_dir):
+    """The last 1,500 lines of one log per kind of event."""
+    lines = table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("file"),
+        F.call_function("div", micros("ts"), F.lit(86_400_000_000)).alias("block"),
+        F.struct(micros("ts").alias("at"), "event_id").alias("row"),
+        F.col("props").alias("value"),
+    )
+    return log_tail(lines, 1_500)
+
+
 def _touched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """When the log of each (command, user) was last touched: the user's last purchase."""
     events = table(spark, sf_dir, "events")
@@ -246,6 +265,7 @@ QUERIES = {
     "report_latest": report_latest,
     "report_totals": report_totals,
     "report_order": report_order,
+    "report_position": report_positions,
     "report_breakdown": report_lines,
     "report_command_filter": report_command_filter,
     "report_dataset_filter": report_dataset_filter,
@@ -258,6 +278,7 @@ QUERIES = {
     "progress_eta": progress_eta,
     "progress_totals": progress_overall,
     "log_tail": log_tails,
+    "log_tail_long": long_log_tails,
     "pick_active_run": pick_active_run,
     "pick_recent_run": pick_recent_run,
 }
@@ -367,6 +388,9 @@ SQL = {
                strftime(make_timestamp(started_at_unix * 1000000), '%Y-%m-%d %H:%M:%S') AS started_local,
                coalesce({_duration('duration_seconds')}, '-') AS runtime, path
         FROM totals ORDER BY flow_rank, stamp DESC, path""",
+    "report_position": f"""
+        WITH {_REPORTS} SELECT row_number() OVER (ORDER BY flow_rank, stamp DESC, path) AS position, command, path
+        FROM totals""",
     "report_breakdown": f"""
         WITH {_REPORTS}, t AS (SELECT *, CASE WHEN totals_failed = 0 THEN 'ok' ELSE 'FAILED' END AS status FROM totals)
         SELECT path, command, status, 'dataset' AS kind, usr AS name, k AS scanned,
@@ -420,6 +444,10 @@ SQL = {
         WITH {_LOGS} SELECT dataset || '/index/index.log' AS file, from_end, line AS value FROM (
           SELECT dataset, line, CAST(row_number() OVER (PARTITION BY dataset ORDER BY at_us DESC, event_id DESC) AS INTEGER)
                  AS from_end FROM lines) WHERE from_end <= 2""",
+    "log_tail_long": """
+        SELECT event_type AS file, from_end, props AS value FROM (
+          SELECT *, CAST(row_number() OVER (PARTITION BY event_type ORDER BY epoch_us(ts) DESC, event_id DESC) AS INTEGER)
+                 AS from_end FROM events) WHERE from_end <= 1500""",
     "pick_active_run": f"""
         WITH {_REPORTS}, {_TOUCHED},
         open_runs AS (SELECT count(*) AS n FROM totals WHERE finished_at_unix IS NULL)
