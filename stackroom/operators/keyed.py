@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -20,6 +20,46 @@ def fits_broadcast(keys: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     return (size or 0) <= max_bytes
 
 
+#: A filter's bits: as many a key, up to a bound that holds for any number of keys. Its words lie in
+#: 64-bit integers of 32 bits each, so a broadcast filter has at most 64 MB.
+BLOOM_BITS = 16
+BLOOM_MAX_BITS = 1 << 28
+_BITMAP = 1 << 15  # bits of one bitmap of Spark's bitmap aggregate
+
+
+def _bloom_places(on: str, n_bitmaps: int) -> tuple[Column, list[Column]]:
+    """The bitmap of a key, and its two bits in there."""
+    first, second = F.xxhash64(F.col(on)), F.xxhash64(F.col(on), F.lit(1))
+    places = [F.shiftrightunsigned(second, shift).bitwiseAND(F.lit(_BITMAP - 1)) for shift in (0, 15)]
+    return F.pmod(first, F.lit(n_bitmaps)), places
+
+
+def bloom_filter(keys: DataFrame, on: str, n_bitmaps: int) -> DataFrame:
+    """``bitmap, words``: a Bloom filter over the keys, aggregated on both sides of the shuffle."""
+    bitmap, places = _bloom_places(on, n_bitmaps)
+    bits = keys.select(bitmap.alias("bitmap"), F.explode(F.array(*places)).alias("place"))
+    built = bits.groupBy("bitmap").agg(F.bitmap_construct_agg("place").alias("bits"))
+
+    def word(k: Column) -> Column:
+        return F.conv(F.hex(F.substring("bits", 4 * k + 1, F.lit(4))), 16, 10).cast("bigint")
+
+    return built.select("bitmap", F.transform(F.sequence(F.lit(0), F.lit(_BITMAP // 32 - 1)), word).alias("words"))
+
+
+def might_be_among(rows: DataFrame, keys: DataFrame, on: str = "id") -> DataFrame:
+    """The rows whose ``on`` is among ``keys``, and a few more (about one in a hundred of the
+    others, while the filter is within its bound). ``rows`` do not move; only the filter does,
+    and it is of bounded size."""
+    wanted = BLOOM_BITS * keys.count()
+    n_bitmaps = min(BLOOM_MAX_BITS, max(_BITMAP, wanted)) // _BITMAP
+    bitmap, places = _bloom_places(on, n_bitmaps)
+    # A word holds four bytes of the bitmap, the first one highest.
+    in_word = [F.getbit(F.col("words")[(p / 32).cast("int")], ((3 - (p / 8).cast("int") % 4) * 8 + p % 8).cast("int")) for p in places]
+    both = (F.col("_bitmap") == F.col("bitmap")) & (in_word[0] + in_word[1] == 2)
+    marked = rows.withColumn("_bitmap", bitmap)
+    return marked.join(F.broadcast(bloom_filter(keys, on, n_bitmaps)), both, "left_semi").drop("_bitmap")
+
+
 def semi_join(
     rows: DataFrame,
     keys: DataFrame,

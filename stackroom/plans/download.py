@@ -16,12 +16,22 @@ from stackroom.sources.manifest import manifest_entities, manifest_files, read_m
 DOWNLOAD_TENTHS = 11
 
 
-def plan_download(entities: DataFrame, files: DataFrame) -> DataFrame:
-    """Per dataset: files, rows, bytes, and the space to have (10 % above the bytes)."""
-    rows = files.groupBy("dataset").agg(
-        F.count(F.lit(1)).alias("n_files"), F.sum("record_count").alias("record_count")
-    )
+def plan_download(entities: DataFrame, files: DataFrame, whole: DataFrame | None = None) -> DataFrame:
+    """Per dataset: files, rows, bytes, and the space to have (10 % above the bytes).
+
+    With ``whole``, one row that holds the manifest's own ``content_length``, a line ``all`` comes
+    beside the datasets: files and rows are their sums, from the same aggregate, and the bytes
+    are what the manifest says of itself.
+    """
+    measures = [F.count(F.lit(1)).alias("n_files"), F.sum("record_count").alias("record_count")]
     sizes = entities.groupBy("dataset").agg(F.sum("content_length").alias("content_length"))
+    if whole is None:
+        rows = files.groupBy("dataset").agg(*measures)
+    else:
+        in_sum = F.grouping_id() == 1
+        rows = files.rollup("dataset").agg(*measures, in_sum.alias("is_sum"))
+        rows = rows.select(F.when(F.col("is_sum"), "all").otherwise(F.col("dataset")).alias("dataset"), "n_files", "record_count")
+        sizes = sizes.unionByName(whole.select(F.lit("all").alias("dataset"), F.col("content_length").cast("bigint").alias("content_length")))
     required = with_headroom(F.col("content_length"), DOWNLOAD_TENTHS)
     zero = F.lit(0).cast("bigint")
     return sizes.join(rows, "dataset", "left").select(

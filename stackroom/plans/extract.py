@@ -16,7 +16,7 @@ from stackroom.functions.ids import (
     short_form,
     unquoted,
 )
-from stackroom.operators.keyed import BROADCAST_BYTES, fits_broadcast, semi_join
+from stackroom.operators.keyed import BROADCAST_BYTES, fits_broadcast, might_be_among, semi_join
 from stackroom.plans.index import index_path
 from stackroom.plans.outcome import Outcome, failures_of, summary_of
 from stackroom.plans.recording import SILENT, RunLog, leaves_report
@@ -86,7 +86,9 @@ def lookup(index: DataFrame, requested: DataFrame, max_bytes: int = BROADCAST_BY
     Within the bound the requests are broadcast and the index does not move until it is
     counted. Beyond it the index shuffles once, on the id and one of ``SALTS`` slices of
     its files, and unrequested ids are dropped before anything is counted; so a heavy id
-    is split, and its rows are combined per file before they move again.
+    is split, and its rows are combined per file before they move again. A Bloom filter of the
+    requests, of bounded size, goes to the index scan first, so what shuffles follows the
+    requests and not the index.
     """
     keys = requested.select("id").distinct()
     rows = index.select("id", "parquet_file")
@@ -94,6 +96,7 @@ def lookup(index: DataFrame, requested: DataFrame, max_bytes: int = BROADCAST_BY
         # Catalyst moves the semi-join below the count.
         found = rows.join(F.broadcast(keys), "id", "left_semi")
     else:
+        rows = might_be_among(rows, keys)
         rows = rows.withColumn("_salt", F.pmod(F.xxhash64("parquet_file"), F.lit(SALTS)))
         keys = keys.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
         found = rows.join(keys.hint("merge"), ["id", "_salt"], "left_semi")

@@ -97,6 +97,8 @@ def _write_index(spark: SparkSession, parquet_dir: str, name: str, counts: DataF
         write_parquet(in_id_order(index, n_rows), draft)
         written = spark.read.parquet(draft)
         short = _short_files(written, counts)
+        if short and len(short) == len(names):
+            return short  # nothing to publish: an old index stays
         if short:
             gone = spark.createDataFrame([(n,) for n in short], "parquet_file string")
             whole = written.join(F.broadcast(gone), "parquet_file", "left_anti").select(*written.columns)
@@ -134,7 +136,8 @@ def run_index(
         log.start(name, n_files, n_files)
         count = {"dataset": name, "items_scanned": n_files}
         try:
-            broken |= _write_index(spark, parquet_dir, name, sound)
+            if len(broken) < n_files:  # else an old index stays
+                broken |= _write_index(spark, parquet_dir, name, sound)
             count |= {"succeeded": n_files - len(broken), "failed": len(broken)}
             failed += [
                 entry | {"rel_path": n, "source_path": f"{parquet_dir}/{n}", "error_message": e, "suggested_recovery": recovery}

@@ -25,6 +25,11 @@ def manifest_entities(manifest: DataFrame, dataset: str = "all") -> DataFrame:
     return entities if dataset == "all" else entities.where(F.col("dataset") == dataset)
 
 
+def manifest_total(manifest: DataFrame) -> DataFrame:
+    """One row: the record_count and content_length that the manifest states for the whole."""
+    return manifest.select("meta.record_count", "meta.content_length")
+
+
 def manifest_files(entities: DataFrame) -> DataFrame:
     """One row per file: dataset, url, content_length, record_count."""
     return entities.select("dataset", F.inline("files")).select(

@@ -311,6 +311,50 @@ def test_killed_index_write(spark, tmp_path):
     assert phases(run_verify_index(spark, root, "authors")) == {"verify_index_block": 1}
 
 
+def test_a_damaged_file_fails_alone(spark, tmp_path):
+    """A broken footer and a broken page keep their files out of the index, and no other."""
+    root = str(tmp_path)
+    for k in range(5):
+        put(f"{root}/works/updated_date=2020-01-0{k + 1}/f.parquet", id=[f"{URL}W{k}{i}" for i in range(300)])
+    put(f"{root}/works/updated_date=2020-01-09/empty.parquet", id=pa.array([], pa.string()))
+    Path(f"{root}/works/updated_date=2020-01-02/f.parquet").write_bytes(b"PAR1 damaged")
+    page = Path(f"{root}/works/updated_date=2020-01-04/f.parquet")
+    held = bytearray(page.read_bytes())
+    held[4:200] = b"\xff" * 196
+    page.write_bytes(bytes(held))
+    outcome = run_index(spark, root)
+    assert counts(outcome) == {"works": (6, 4, 2, 0)}
+    failed = {r["rel_path"]: r["error_message"] for r in outcome.failures.collect()}
+    assert set(failed) == {f"works/updated_date=2020-01-0{k}/f.parquet" for k in (2, 4)}
+    assert "of 300 rows can be read" in failed["works/updated_date=2020-01-04/f.parquet"]
+    index = spark.read.parquet(index_path(root, "works"))
+    assert index.count() == 900 and not index.where("parquet_file like '%-02/%' or parquet_file like '%-04/%'").count()
+    assert not [p for p in Path(root).iterdir() if p.name.startswith(".draft")]
+
+
+def test_datasets_are_folders(spark, tmp_path):
+    """A dataset folder without files has no index to build, and fails the check of all indexes."""
+    root = str(tmp_path)
+    put(f"{root}/works/a.parquet", id=[f"{URL}W1"])
+    for name in ("topics", "works_aws", "_meta", ".git"):
+        os.makedirs(f"{root}/{name}")
+    assert corpus.dataset_folders(spark, root) == ["topics", "works"]
+    assert counts(run_index(spark, root)) == {"works": (1, 1, 0, 0)}
+    outcome = run_verify_index(spark, root)
+    assert counts(outcome) == {"topics": (1, 0, 2, 0), "works": (1, 1, 0, 0)}
+    assert phases(outcome) == {"verify_index_exists": 1, "verify_index_corpus": 1}
+
+
+def test_index_ranges_follow_the_rows(spark, tmp_path, monkeypatch):
+    from stackroom.plans import index
+
+    monkeypatch.setattr(index, "ROWS_PER_RANGE", 100)
+    put(f"{tmp_path}/works/a.parquet", id=[f"{URL}W{k}" for k in range(950)])
+    run_index(spark, str(tmp_path))
+    made = [p for p in os.listdir(index_path(str(tmp_path), "works")) if p.endswith(".parquet")]
+    assert 8 <= len(made) <= 10
+
+
 # --- extract -----------------------------------------------------------------
 
 

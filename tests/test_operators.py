@@ -3,7 +3,9 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from stackroom.operators import keyed
+from stackroom.operators.keyed import might_be_among
 from stackroom.operators.ranking import beyond_first, first_per, last_lines, with_ordinal
+from stackroom.plans.extract import lookup
 
 
 def test_semi_join_shuffled_equals_broadcast(spark):
@@ -67,9 +69,8 @@ def test_last_lines_beyond_the_group_limit(spark):
     got = {r["from_end"]: r["value"] for r in last_lines(rows, 2700).collect()}
     assert got == {k: str(6000 - k) for k in range(1, 2701)}
     plan = last_lines(rows, 2700)._jdf.queryExecution().optimizedPlan().toString()
-    assert "windowspecdefinition(file#" in plan.replace(" ", "") and "[file#" in plan
-    ranked = [line for line in plan.splitlines() if "row_number" in line]
-    assert ranked and all("file#" in line and "block#" in line for line in ranked)
+    ranked = [line for line in plan.splitlines() if "Window [row_number()" in line]
+    assert ranked and all("block#" in line for line in ranked)
 
 
 def test_ordinals(spark):
@@ -79,3 +80,30 @@ def test_ordinals(spark):
     assert [r["id"] for r in sorted(got, key=lambda r: r["ordinal"])] == want
     assert sorted(r["ordinal"] for r in got) == list(range(1, 5001))
     assert with_ordinal(rows.where("false"), [F.col("id")]).count() == 0
+
+
+def test_bloom_filter(spark):
+    """No key is lost, few others pass, and rows do not shuffle for it."""
+    rows = spark.range(0, 60_000).select(F.concat(F.lit("W"), F.col("id").cast("string")).alias("id"))
+    keys = rows.where("id like '%7'")
+    passed = might_be_among(rows, keys)
+    assert "left_semi" not in passed.columns and passed.columns == ["id"]
+    found = {r["id"] for r in passed.collect()}
+    wanted = {f"W{k}" for k in range(60_000) if k % 10 == 7}
+    assert wanted <= found and len(found - wanted) < 0.03 * 54_000
+    plan = passed._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning(id" not in plan
+    assert might_be_among(rows, keys.where("false")).count() == 0
+    nulls = spark.createDataFrame([(None,), ("a",)], "id string")
+    assert {r["id"] for r in might_be_among(nulls, nulls).collect()} == {None, "a"}
+
+
+def test_lookup_beyond_the_bound_filters_before_it_shuffles(spark):
+    index = spark.range(0, 50_000).selectExpr("concat('W', id) AS id", "concat('f', id % 7) AS parquet_file")
+    asked = index.where("id like '%00'").select("id")
+    hits = lookup(index, asked, max_bytes=0)
+    assert sorted(r["id"] for r in hits.collect()) == sorted(r["id"] for r in asked.collect())
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("SortMergeJoin") :]
+    assert "BroadcastHashJoin" in below[below.index("Exchange") :]
+    assert might_be_among(index, asked).count() < 1.05 * asked.count() + 700

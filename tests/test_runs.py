@@ -172,6 +172,22 @@ def test_progress(spark, logs):
     assert tuple(totals) == (2, 1, 2, 1, 6, 12, "1m00s")
 
 
+def test_status_is_one_scan(spark, logs):
+    plan = dataset_status(read_logs(spark, logs, "index"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1 and "Join" not in plan and "Window" not in plan
+
+
+def test_status_merges_blocks_in_order(spark):
+    """What was scanned as of the last idle line, wherever block ends fall."""
+    lines = [" start source_files=4", " x", " all files already indexed", " again source_files=9", " all files already indexed", " y"]
+    for size in (1, 2, 3, 6):
+        rows = [("d", k // size, -k if size == 1 else k, f"1{line}") for k, line in enumerate(lines)]
+        status = dataset_status(spark.createDataFrame(rows, "dataset string, block int, row int, value string").repartition(3)).first()
+        assert (status["scanned"], status["skipped"], status["last_log"]) == (9, 9, "1 y")
+        cut = dataset_status(spark.createDataFrame(rows[:4], "dataset string, block int, row int, value string")).first()
+        assert (cut["scanned"], cut["skipped"]) == (9, 4)
+
+
 def test_log_order_across_blocks(spark, tmp_path):
     folder = tmp_path / "meta/works/index"
     folder.mkdir(parents=True)

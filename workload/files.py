@@ -24,7 +24,7 @@ from stackroom.sources.corpus import (
     file_inventory,
     file_row_counts,
 )
-from stackroom.sources.manifest import manifest_entities, manifest_files
+from stackroom.sources.manifest import manifest_entities, manifest_files, manifest_total
 from workload.tables import TABLES, seconds, table
 
 
@@ -136,8 +136,9 @@ def manifest_summary(spark, sf_dir):
 
 
 def download_plan(spark, sf_dir):
-    entities = manifest_entities(_manifest(spark, sf_dir))
-    return plan_download(entities, manifest_files(entities))
+    manifest = checkpointed(_manifest(spark, sf_dir))
+    entities = manifest_entities(manifest)
+    return plan_download(entities, manifest_files(entities), manifest_total(manifest))
 
 
 def file_counts(spark, sf_dir):
@@ -313,11 +314,12 @@ SQL = {
         FROM seen LEFT JOIN bad USING (dataset)""",
     "download_plan": f"""
         WITH {_FILES}
-        SELECT dataset, count(*) AS n_files, CAST(sum(record_count) AS BIGINT) AS record_count,
+        SELECT CASE WHEN grouping(dataset) = 1 THEN 'all' ELSE dataset END AS dataset,
+               count(*) AS n_files, CAST(sum(record_count) AS BIGINT) AS record_count,
                CAST(sum(content_length) AS BIGINT) AS content_length,
                CAST(sum(content_length) * 11 // 10 AS BIGINT) AS required_bytes,
                CAST(sum(content_length) * 11 // 10 // 1073741824 AS BIGINT) AS required_gib
-        FROM files GROUP BY dataset""",
+        FROM files GROUP BY ROLLUP (dataset)""",
     "index_count_check": """
         SELECT * FROM (SELECT (SELECT count(*) FROM lineitem) AS index_rows,
                               (SELECT count(*) FROM orders) AS corpus_rows)
