@@ -93,7 +93,7 @@ class WordCodec:
         """
         found = {}
         for word in unknown:
-            shown = word if word.isascii() else "".join(map(self.shown.__getitem__, word.encode()))
+            shown = word if word.isascii() and word.isprintable() else "".join(map(self.shown.__getitem__, word.encode()))
             found[word] = array("I", [token.id for token in self.model.tokenize(shown)]).tobytes()
         self.ids.update((w, i) for w, i in found.items() if len(w) <= LONGEST_REMEMBERED)
         return {w: i for w, i in found.items() if len(w) > LONGEST_REMEMBERED}

@@ -50,8 +50,9 @@ FROM d WINDOW g AS (PARTITION BY text_sha256)
 
 
 def op2_suffix_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rest = suffix_index.without_repeats(table(spark, sf_dir, "documents"))
-    return rest.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    rest = suffix_index.without_repeats(table(spark, sf_dir, "documents"), by_words=True)
+    sha = F.sha2("kept", 256).alias("kept_sha256")
+    return rest.select("doc_id", "n_bytes", "n_removed", "n_spans", sha, "n_kept", F.col("rest").alias("text"))
 
 
 def op3_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,8 +3,7 @@
 A fingerprint is cut into segments. Every distinct fingerprint stands in one table bucket
 per segment, and probes the buckets of the small Hamming ball around each of its segments;
 whole distances are verified for what it meets. With ``m`` segments and ball radius 1, every
-pair at distance below ``2 m`` is met (pigeonhole); beyond that a pair is met with a
-probability that grows with the number of segments.
+pair at distance below ``2 m`` is met (pigeonhole).
 
 Buckets of more than ``BUCKET`` fingerprints, as large groups of near copies make them, are
 left out of the join, for it would make pairs by the square. What meets there goes another
@@ -13,22 +12,18 @@ way that loses no link:
   fingerprint; two share a point if and only if they are at distance 2 or less, and a point
   holds 65 fingerprints at most;
 - beyond, all that meet in the bucket are compared with its smallest member. Those linked to
-  it are one component already; the others are compared with all. Where a link also needs
-  similar shingle sets, "linked" means verified: stars are verified, further members become
-  centres (the most linked one, and the smallest outside the bucket's largest component) while
-  that shrinks the rest, and what is then left outside is compared with all.
+  it are one component already; the others are compared with all.
 
-Texts with one fingerprint are one node or, where links need similar shingle sets, texts with one
-shingle set (by 128-bit hash): an equal fingerprint then makes a candidate only. Nodes have
-numbers of their own, for ids may be null or repeat; a component is named by its smallest id.
-Components come from label propagation with pointer jumping over tables in the shared folder.
+Texts with one fingerprint are one node. Nodes have numbers of their own, for ids may be null or
+repeat; a component is named by its smallest id. Components come from label propagation with
+pointer jumping over tables in the shared folder.
 
 Results for odd input: null and empty texts, and those of white space only, have fingerprint
 zero and are linked to each other like any others; texts of fewer words than a shingle are one
 shingle; rows that repeat an id are nodes by their texts; a row with a null id links others like
 any row, and its component is null if no row of it has an id; an empty table gives an empty table.
 Long texts are hashed in slices, so a task holds one text and its words at a time. Repeated
-shingles count in a fingerprint, but not where links are defined on shingle sets.
+shingles count in a fingerprint.
 """
 
 from __future__ import annotations
@@ -60,7 +55,6 @@ class Scheme:
     width: int = 32  # bits of a segment, probed with a ball of radius 1
     n_segments: int = 2
     max_distance: int = 2
-    similarity: float | None = None  # least Jaccard similarity of the shingle sets of a link
 
     def segments(self) -> list[tuple[int, int]]:
         """(word, first bit) of each segment; segments do not cross words."""
@@ -68,26 +62,6 @@ class Scheme:
         return [(i // per_word, self.width * (i % per_word)) for i in range(self.n_segments)]
 
 
-def similar(n_rows: int, similarity: float = 0.8, recall: float = 0.99, shingle: int = 5) -> Scheme:
-    """A scheme for shingle sets of a given Jaccard similarity.
-
-    Sets of similarity ``s`` have a cosine of ``2 s / (1 + s)``, which fixes the share of
-    differing bits. A segment is about as wide as the number of rows has bits, so a bucket
-    holds about one row by chance at any size; so many segments are taken that a pair at the
-    given similarity is met with the wanted probability. The distance allows for three standard
-    deviations more than the mean, so that few such pairs are beyond it; pairs that are less
-    similar and yet within it go when the shingle sets themselves are compared.
-    """
-    differing = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    width = min(32, max(16, int(n_rows).bit_length()))
-    met = (1 - differing) ** width + width * differing * (1 - differing) ** (width - 1)  # at most one bit differs
-    n_segments = int(np.ceil(np.log(1 - recall) / np.log(1 - met)))
-    n_words = -(-n_segments // (64 // width))
-    bits = 64 * n_words
-    most = bits * differing + 3 * np.sqrt(bits * differing * (1 - differing))
-    return Scheme(shingle, n_words, width, n_segments, int(np.ceil(most)), similarity)
-
-
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 _LANES = (np.arange(8) * 256).astype(np.int64)
 _MIX = 0x9E3779B97F4A7C15
@@ -110,12 +84,6 @@ def shingle_hashes(text: bytes, shingle: int) -> Iterator[np.ndarray]:
         yield np.array([xxhash.xxh64_intdigest(b" ".join(t), SEED) for t in tuples], np.uint64)
 
 
-def shingle_set(text: bytes, shingle: int) -> np.ndarray:
-    """The distinct shingle hashes of the whole text, in order."""
-    hashes = [*shingle_hashes(text, shingle)]
-    return np.unique(np.concatenate(hashes)) if hashes else np.zeros(0, np.uint64)
-
-
 def _majority(parts: Iterable[np.ndarray], n_words: int) -> list[int]:
     """Signed 64-bit words; a bit is set if more than half of the hashes have it."""
     counts, total = np.zeros((n_words, 8, 8), np.int64), 0
@@ -136,23 +104,23 @@ def fingerprint(text: bytes, shingle: int, n_words: int = 1) -> list[int]:
     return _majority(shingle_hashes(text, shingle), n_words)
 
 
-def set_fingerprint(distinct: np.ndarray, n_words: int) -> list[int]:
-    """The fingerprint of a shingle set: how often a shingle is repeated does not count."""
-    return _majority((distinct[at : at + SLICE] for at in range(0, len(distinct), SLICE)), n_words)
-
-
-def fingerprints(docs: DataFrame, scheme: Scheme, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fp`` for every row; ``fp`` is an array of 64-bit words."""
+def fingerprints(
+    docs: DataFrame, scheme: Scheme, id_col: str = "doc_id", text_col: str = "text", keyed: bool = False
+) -> DataFrame:
+    """``doc_id, fp`` for every row; ``fp`` is an array of 64-bit words. ``keyed`` adds the key of
+    the text, ``k1, k2``, which tells rows that repeat an id apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(t.as_py(), scheme.shingle, scheme.n_words) for t in batch.column(1)]
-            fps = pa.array(found, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), fps], names=["doc_id", "fp"])
+            found = [fingerprint(t.as_py(), scheme.shingle, scheme.n_words) for t in batch.column("text")]
+            rest = batch.drop_columns(["text"])
+            yield rest.append_column("fp", pa.array(found, pa.list_(pa.int64())))
 
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")
     rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), text.alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, fp array<bigint>")
+    if keyed:
+        rows = rows.select("doc_id", *text_key(F.col("text")), "text")
+    return rows.mapInArrow(run, f"doc_id bigint, {'k1 bigint, k2 bigint, ' if keyed else ''}fp array<bigint>")
 
 
 def _keys(scheme: Scheme) -> list[Column]:
@@ -173,9 +141,8 @@ def _near(scheme: Scheme) -> Column:
     return reduce(lambda x, y: x + y, words) <= scheme.max_distance
 
 
-def _buckets(nodes: DataFrame, scheme: Scheme) -> tuple[DataFrame, DataFrame, DataFrame | None]:
-    """The pairs ``a, b`` that meet in small buckets, the crowded ones (``key, n, leader``), and
-    who meets there (None if nobody does).
+def links(nodes: DataFrame, scheme: Scheme) -> DataFrame:
+    """``a, b``: enough links by distance between ``nodes`` (``node, fp``) for their components.
 
     Of two segments that differ in one bit, one has the bit set: it is enough that a probe
     clears the set bits of its segment in turn, which is half of the ball.
@@ -188,21 +155,10 @@ def _buckets(nodes: DataFrame, scheme: Scheme) -> tuple[DataFrame, DataFrame, Da
     heavy = tables.groupBy("key").agg(F.count("*").alias("n"), F.min("node_b").alias("leader")).where(F.col("n") > BUCKET)
     heavy = kept_table(heavy, "heavy")
     found = probes.join(tables.join(heavy, "key", "left_anti"), "key").where((F.col("node") != F.col("node_b")) & _near(scheme))
-    found = _ordered(found)
+    found = found.select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b"))
     if heavy.isEmpty():
-        return found, heavy, None
-    return found, heavy, kept_table(probes.join(heavy.select("key", "leader"), "key"), "crowd")
-
-
-def _ordered(met: DataFrame) -> DataFrame:
-    return met.select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b"))
-
-
-def links(nodes: DataFrame, scheme: Scheme) -> DataFrame:
-    """``a, b``: enough links by distance between ``nodes`` (``node, fp``) for their components."""
-    found, _, crowd = _buckets(nodes, scheme)
-    if crowd is None:
         return found
+    crowd = kept_table(probes.join(heavy.select("key", "leader"), "key"), "crowd")
     if scheme.max_distance <= 2 and scheme.n_words == 1:
         return found.unionByName(_through_points(crowd))
     return found.unionByName(_through_leaders(crowd, nodes, scheme))
@@ -258,151 +214,18 @@ def components(edges: DataFrame) -> DataFrame:
         )
 
 
-def _shingle_sets(shingle: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):  # one at a time: a set is as large as its text
-                found = pa.array([shingle_set(batch.column(1)[row].as_py(), shingle).tobytes()], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, 1), found], names=["node", "shingles"])
-
-    return run
-
-
-def _alike(least: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("in_a"), batch.column("in_b")):
-                sets = [np.frombuffer(v.as_py(), np.uint64) for v in (x, y)]
-                both = len(np.intersect1d(*sets, assume_unique=True))
-                keep.append(both >= least * (len(sets[0]) + len(sets[1]) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return run
-
-
-def similar_links(pairs: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
-    """The ``pairs`` whose shingle sets are as similar as the scheme asks.
+def near_groups(
+    docs: DataFrame, scheme: Scheme = Scheme(), id_col: str = "doc_id", text_col: str = "text", keyed: bool = False
+) -> DataFrame:
+    """``doc_id, fp, component, component_id`` for every row of ``docs``, with ``k1, k2`` if ``keyed``.
 
-    Sets are made only of texts (``node, text``) that a pair names.
+    ``component`` is a number of this run; ``component_id`` the smallest id, null if there is none.
     """
-    pairs = kept_table(pairs.distinct(), "pairs")
-    named = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = texts.join(named, "node", "left_semi").select("node", "text").mapInArrow(_shingle_sets(scheme.shingle), "node bigint, shingles binary")
-    sets = kept_table(sets, "shingles")
-    joined = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("in_a")), "a")
-    joined = joined.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("in_b")), "b")
-    return joined.mapInArrow(_alike(scheme.similarity), "a bigint, b bigint")
-
-
-def alike_links(nodes: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
-    """``a, b``: enough verified links between ``nodes`` for the components of all pairs that
-    meet, are near, and have shingle sets as similar as the scheme asks.
-
-    A pair is left out only if verified links join its ends already. Crowded buckets give stars
-    round by round, for as long as a round takes a quarter of the rest into the largest
-    components; then the rest is compared with all.
-    """
-    found, heavy, crowd = _buckets(nodes, scheme)
-    if crowd is None:
-        return similar_links(found, texts, scheme)
-    crowd = crowd.drop("leader")
-    words = [F.col(f"w{k}").alias(f"w{k}_b") for k in range(scheme.n_words)]
-    members, leaders, before = crowd.withColumn("label", F.col("node")), heavy.select("key", "leader"), None
-    good = tried = used = None
-    while True:
-        used = leaders if used is None else used.unionByName(leaders)
-        centres = members.join(leaders, "key").where("node = leader")
-        centres = centres.select("key", F.col("node").alias("node_b"), F.col("label").alias("label_b"), *words)
-        met = members.join(centres, "key").where((F.col("label") != F.col("label_b")) & _near(scheme))
-        pairs = _ordered(met).distinct()
-        pairs = kept_table(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "star-pairs")
-        alike = kept_table(similar_links(pairs, texts, scheme), "alike")
-        good = alike if good is None else good.unionByName(alike)
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        labels = kept_table(components(good), "components")
-        named = labels.withColumnRenamed("component", "label")
-        members = kept_table(
-            crowd.join(named, "node", "left").withColumn("label", F.coalesce("label", "node")), "members"
-        )
-        largest = members.groupBy("key", "label").agg(F.count("*").alias("n"))
-        largest = largest.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("main"))
-        rest = kept_table(members.join(largest, "key").where("label != main").drop("main"), "rest")
-        left = rest.count()
-        if not left or (before is not None and 4 * left > 3 * before):
-            break
-        before = left
-        degrees = good.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
-        fresh = members.join(rest.select("key").distinct(), "key", "left_semi")
-        fresh = fresh.join(used.withColumnRenamed("leader", "node"), ["key", "node"], "left_anti")
-        most = fresh.join(degrees, "node").groupBy("key").agg(F.max_by("node", F.struct("degree", "node")).alias("leader"))
-        least = rest.join(used.withColumnRenamed("leader", "node"), ["key", "node"], "left_anti")
-        least = least.groupBy("key").agg(F.min("node").alias("leader"))
-        leaders = kept_table(most.unionByName(least).distinct(), "leaders")
-    every = members.select("key", F.col("node").alias("node_b"), F.col("label").alias("label_b"), *words)
-    among = rest.join(every, "key").where((F.col("label") != F.col("label_b")) & _near(scheme))
-    last = found.unionByName(_ordered(among)).distinct().join(tried, ["a", "b"], "left_anti")
-    for end in ("a", "b"):
-        last = last.join(labels.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}")), end, "left")
-    last = last.where("coalesce(of_a, a) != coalesce(of_b, b)").select("a", "b")
-    return good.unionByName(similar_links(last, texts, scheme))
-
-
-def _set_rows(scheme: Scheme):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fps, sets = [], []
-            for text in batch.column(3):  # one at a time: a set is as large as its text
-                distinct = shingle_set(text.as_py(), scheme.shingle)
-                fps.append(set_fingerprint(distinct, scheme.n_words))
-                sets.append(xxhash.xxh3_128_digest(distinct.tobytes()))
-            columns = [*batch.columns[:3], pa.array(fps, pa.list_(pa.int64())), pa.array(sets, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "k1", "k2", "fp", "shingles"])
-
-    return run
-
-
-def _keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, k1, k2, text`` (binary); the text's key tells rows that repeat an id apart."""
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")
-    rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), text.alias("text"))
-    return rows.select("doc_id", *text_key(F.col("text")), "text")
-
-
-def _components_of(rows: DataFrame, same: str, joined) -> DataFrame:
-    """``rows`` with the ``component_id`` of those that are equal in ``same`` or linked by
-    ``joined(nodes)``."""
-    firsts = [F.first(c).alias(c) for c in rows.columns if c == "fp" and c != same]
-    if "k1" in rows.columns:  # the row whose text stands for the node
-        firsts.append(F.min(F.struct("k1", "k2", "doc_id")).alias("of"))
-    nodes = rows.groupBy(same).agg(F.min("doc_id").alias("least_id"), *firsts)
+    rows = kept_table(fingerprints(docs, scheme, id_col, text_col, keyed), "fingerprints")
+    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
     nodes = kept_table(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    linked = components(joined(nodes))
-    named = nodes.join(linked, "node", "left").select(same, "least_id", F.coalesce("component", "node").alias("component"))
+    linked = components(links(nodes, scheme))
+    named = nodes.join(linked, "node", "left").select("fp", "least_id", F.coalesce("component", "node").alias("component"))
     named = kept_table(named, "named")
     ids = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    return rows.join(kept_table(named.join(ids, "component").select(same, "component", "component_id"), "named"), same)
-
-
-def similar_groups(docs: DataFrame, scheme: Scheme, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, k1, k2, fp, component, component_id`` for every row: groups by verified links."""
-    texts = _keyed_texts(docs, id_col, text_col)
-    kinds = "doc_id bigint, k1 bigint, k2 bigint, fp array<bigint>, shingles binary"
-    rows = kept_table(texts.mapInArrow(_set_rows(scheme), kinds), "fingerprints")
-
-    def joined(nodes: DataFrame) -> DataFrame:
-        of = nodes.select("node", F.col("of.k1").alias("of1"), F.col("of.k2").alias("of2"), F.col("of.doc_id").alias("of_id"))
-        same = (F.col("k1") == F.col("of1")) & (F.col("k2") == F.col("of2")) & F.col("doc_id").eqNullSafe(F.col("of_id"))
-        return alike_links(nodes.select("node", "fp"), texts.join(of, same).select("node", "text"), scheme)
-
-    return _components_of(rows, "shingles", joined).drop("shingles")
-
-
-def near_groups(
-    docs: DataFrame, scheme: Scheme = Scheme(), id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """``doc_id, fp, component_id`` for every row of ``docs``."""
-    if scheme.similarity is not None:
-        return similar_groups(docs, scheme, id_col, text_col).select("doc_id", "fp", "component_id")
-    rows = kept_table(fingerprints(docs, scheme, id_col, text_col), "fingerprints")
-    return _components_of(rows, "fp", lambda nodes: links(nodes, scheme)).select("doc_id", "fp", "component_id")
+    return rows.join(kept_table(named.join(ids, "component").select("fp", "component", "component_id"), "named"), "fp")

@@ -8,19 +8,20 @@ zones of a text hold each of its windows once, and a text has about one per 185
 
 1. Zones are found text by text and counted by a 128-bit hash. A zone met twice is repeated
    as a whole.
-2. Zones that share a gram with different zones are fetched and dealt out by gram. A task adds
-   them, batch by batch, to a family of suffix arrays: a new batch gets a suffix array (the
-   suffixes start at the anchors), is merge-scanned within itself and against every level for
-   neighbours that agree on ``LENGTH`` bytes around the anchor, and levels of like size merge,
-   so sizes grow geometrically. All matches of a zone contain its anchor, so their union is
-   one interval.
+2. Zones that share a gram with different zones are fetched and dealt out by gram, in order. A
+   task adds those of a gram, batch by batch, to a family of suffix arrays: a new batch gets a
+   suffix array (the suffixes start at the anchors), is merge-scanned within itself and against
+   every level for neighbours that agree on ``LENGTH`` bytes around the anchor, and levels of like
+   size merge, so sizes grow geometrically. All matches of a zone contain its anchor, so their
+   union is one interval. The next gram begins a new family, so a task holds one gram's zones.
 3. A gram with more than ``HOT_ZONES`` different zones, as at the edges of a passage that many
    documents share, is not gathered anywhere: the windows of its zones are counted by 128-bit
    hash, which combines before the shuffle and is dealt out evenly.
 4. Intervals meet their texts, and bytes are cut out.
 
 The same runs on words: a text is then the 64-bit hashes of its words, eight bytes each, and the
-length that of ``WORDS`` words. Spans are rounded inward to whole words.
+length that of ``WORDS`` words. Spans are rounded inward to whole words. Both kinds of zones are
+made in one pass over the texts and go through all steps together, told apart by ``kind``.
 
 Texts are known by the first 120 bits of their SHA-256, so copies are indexed once, and rows
 that repeat an id, or have none, do no harm. Results for odd input: a null text is empty; a
@@ -32,8 +33,10 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from heapq import merge
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -50,6 +53,7 @@ GRAM = 32
 SEGMENT = 1 << 23
 HOT_ZONES = 32
 BATCH = 512
+SALTS = 8
 ROWS_OUT = 4096
 
 #: Odd constants that mix the four words of a gram.
@@ -169,11 +173,11 @@ def _schema(spec: str) -> pa.Schema:
     return pa.schema([(name, kinds[kind]) for name, kind in (f.split() for f in spec.split(", "))])
 
 
-OCCURRENCES = "k1 bigint, k2 bigint, gram bigint, z1 bigint, z2 bigint, lo int, hi int, at int"
-FETCHED = "gram bigint, hot boolean, n bigint, k1 bigint, k2 bigint, z1 bigint, z2 bigint, lo int, at int, content binary"
-INTERVALS = "k1 bigint, k2 bigint, lo int, hi int"
+OCCURRENCES = "k1 bigint, k2 bigint, kind int, gram bigint, z1 bigint, z2 bigint, lo int, hi int, at int"
+FETCHED = "kind int, gram bigint, hot boolean, n bigint, k1 bigint, k2 bigint, z1 bigint, z2 bigint, lo int, at int, content binary"
+INTERVALS = "k1 bigint, k2 bigint, kind int, lo int, hi int"
 COUNTED = "h1 bigint, h2 bigint, n bigint"
-PLACED = "h1 bigint, h2 bigint, k1 bigint, k2 bigint, z1 bigint, z2 bigint, lo int"
+PLACED = "h1 bigint, h2 bigint, k1 bigint, k2 bigint, kind int, z1 bigint, z2 bigint, lo int"
 
 
 def _halves(digests: list[bytes]) -> np.ndarray:
@@ -196,22 +200,44 @@ def word_spans(text: bytes, spans: list[dict]) -> list[dict]:
     return found
 
 
-def _occurrences(length: int, encode=None):
+@dataclass(frozen=True)
+class Kind:
+    """What texts are taken as, and the least length of a match in bytes of that."""
+
+    number: int
+    length: int
+    encode: Callable[[bytes], bytes] | None = None
+
+    def of(self, text: bytes) -> bytes:
+        return self.encode(text) if self.encode else text
+
+
+def as_bytes(length: int = LENGTH) -> Kind:
+    return Kind(0, length)
+
+
+def as_words() -> Kind:
+    return Kind(1, 8 * WORDS, word_codes)
+
+
+def _occurrences(kinds: list[Kind]):
     names = [f.split()[0] for f in OCCURRENCES.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k1, k2, text in zip(*(batch.column(c) for c in ("k1", "k2", "text"))):
-                text = encode(text.as_py()) if encode else text.as_py()
-                if len(text) < length:
-                    continue
-                for gram, lo, hi, at in zones(text, length):
-                    hashed = [xxhash.xxh3_128_digest(text[i : j + length]) for i, j in zip(lo.tolist(), hi.tolist())]
-                    pair = _halves(hashed)
-                    keys = [pa.array(np.full(len(lo), k.as_py(), np.int64)) for k in (k1, k2)]
-                    places = [pa.array(x.astype(np.int32)) for x in (lo, hi, at)]
-                    columns = [*keys, pa.array(gram), pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy()), *places]
-                    yield pa.RecordBatch.from_arrays(columns, names=names)
+            for k1, k2, plain in zip(*(batch.column(c) for c in ("k1", "k2", "text"))):
+                for kind in kinds:
+                    text = kind.of(plain.as_py())
+                    if len(text) < kind.length:
+                        continue
+                    for gram, lo, hi, at in zones(text, kind.length):
+                        hashed = [xxhash.xxh3_128_digest(text[i : j + kind.length]) for i, j in zip(lo.tolist(), hi.tolist())]
+                        pair = _halves(hashed)
+                        keys = [pa.array(np.full(len(lo), k.as_py(), np.int64)) for k in (k1, k2)]
+                        keys.append(pa.array(np.full(len(lo), kind.number, np.int32)))
+                        places = [pa.array(x.astype(np.int32)) for x in (lo, hi, at)]
+                        columns = [*keys, pa.array(gram), pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy()), *places]
+                        yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
@@ -233,19 +259,21 @@ def _regrouped(run):
     return grouped
 
 
-def _fetch(length: int, encode=None):
+def _fetch(kinds: list[Kind]):
     schema = _schema(FETCHED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for wanted, text in zip(*(batch.column(c) for c in ("wanted", "text"))):
-                text = encode(text.as_py()) if encode else text.as_py()
-                for z in wanted.as_py():
-                    content = text[z["lo"] : z["hi"] + length]
-                    rows.append(
-                        (z["gram"], z["hot"], z["n"], z["k1"], z["k2"], z["z1"], z["z2"], z["lo"], z["at"] - z["lo"], content)
-                    )
+            for wanted, plain in zip(*(batch.column(c) for c in ("wanted", "text"))):
+                plain, wanted = plain.as_py(), wanted.as_py()
+                for kind in kinds:
+                    mine = [z for z in wanted if z["kind"] == kind.number]
+                    text = kind.of(plain) if mine else b""
+                    for z in mine:
+                        content = text[z["lo"] : z["hi"] + kind.length]
+                        known = (z["kind"], z["gram"], z["hot"], z["n"], z["k1"], z["k2"], z["z1"], z["z2"], z["lo"])
+                        rows.append((*known, z["at"] - z["lo"], content))
                 if len(rows) >= ROWS_OUT:
                     yield from _batches(rows, schema)
                     rows = []
@@ -254,45 +282,58 @@ def _fetch(length: int, encode=None):
     return run
 
 
-def _matched(length: int):
-    schema = _schema(INTERVALS)
+def _matched(kinds: list[Kind]):
+    schema, lengths = _schema(INTERVALS), {k.number: k.length for k in kinds}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        family, single, seen = SuffixFamily(length), {}, {}
+        family, single, seen, rows, now = SuffixFamily(0), {}, {}, [], None
+
+        def ended() -> None:
+            for zone, (left, right) in family.reach.items():
+                if zone in single:  # zones met twice are repeated as a whole anyway
+                    k1, k2, kind, anchor = single[zone]
+                    rows.append((k1, k2, kind, anchor - left, anchor + right))
+
         for batch in batches:
             for start in range(0, batch.num_rows, BATCH):
-                added = []
-                for row in batch.slice(start, BATCH).to_pylist():
-                    if (row["z1"], row["z2"]) in seen:  # a row that was there twice
-                        continue
-                    zone = seen[row["z1"], row["z2"]] = len(seen)
-                    content, at = row["content"], row["at"]
-                    added.append((content[at:], content[:at][::-1], zone))
-                    if row["n"] == 1:
-                        single[zone] = (row["k1"], row["k2"], row["lo"] + at)
-                family.add(added)
-        rows = []
-        for zone, (left, right) in family.reach.items():
-            if zone in single:  # zones met twice are repeated as a whole anyway
-                k1, k2, anchor = single[zone]
-                rows.append((k1, k2, anchor - left, anchor + right))
+                part = batch.slice(start, BATCH).to_pylist()
+                for key, of_gram in groupby(part, key=lambda row: (row["kind"], row["gram"])):
+                    if key != now:  # rows come in order of kind and gram
+                        ended()
+                        family, single, seen, now = SuffixFamily(lengths[key[0]]), {}, {}, key
+                    added = []
+                    for row in of_gram:
+                        if (row["z1"], row["z2"]) in seen:  # a row that was there twice
+                            continue
+                        zone = seen[row["z1"], row["z2"]] = len(seen)
+                        content, at = row["content"], row["at"]
+                        added.append((content[at:], content[:at][::-1], zone))
+                        if row["n"] == 1:
+                            single[zone] = (row["k1"], row["k2"], row["kind"], row["lo"] + at)
+                    if added:
+                        family.add(added)
+            if len(rows) >= ROWS_OUT:
+                yield from _batches(rows, schema)
+                rows.clear()
+        ended()
         yield from _batches(rows, schema)
 
     return run
 
 
-def _windows(length: int, spec: str):
+def _windows(kinds: list[Kind], spec: str):
     """A row for each window of a zone: its hash, and what ``spec`` asks of the zone."""
-    names = [f.split()[0] for f in spec.split(", ")]
+    names, lengths = [f.split()[0] for f in spec.split(", ")], {k.number: k.length for k in kinds}
+    types = {"kind": np.int32}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                content = memoryview(row["content"])
+                content, length = memoryview(row["content"]), lengths[row["kind"]]
                 count = len(content) - length + 1
                 pair = _halves([xxhash.xxh3_128_digest(content[s : s + length]) for s in range(count)])
                 columns = [pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy())]
-                columns += [pa.array(np.full(count, row[c], np.int64)) for c in names[2:] if c != "lo"]
+                columns += [pa.array(np.full(count, row[c], types.get(c, np.int64))) for c in names[2:] if c != "lo"]
                 if "lo" in names:
                     columns.append(pa.array(np.arange(row["lo"], row["lo"] + count, dtype=np.int32)))
                 yield pa.RecordBatch.from_arrays(columns, names=names)
@@ -307,38 +348,39 @@ def text_key(text: Column) -> list[Column]:
     return [half.alias(name) for half, name in zip(halves, ("k1", "k2"))]
 
 
-def repeated_intervals(rows: DataFrame, length: int = LENGTH, encode=None) -> DataFrame:
-    """``k1, k2, spans``: the repeated byte intervals of each text that has any; they may
-    overlap. ``rows`` are ``doc_id, k1, k2, text`` (binary). With ``encode``, lengths and
-    intervals are those of the encoded texts."""
+def repeated_intervals(rows: DataFrame, kinds: list[Kind]) -> DataFrame:
+    """``k1, k2, spans`` (of ``kind, lo, hi``): the repeated intervals of each text that has any;
+    they may overlap. ``rows`` are ``doc_id, k1, k2, text`` (binary); lengths and intervals are
+    those of the text taken as its kind."""
     spark = rows.sparkSession
-    occurrences = kept_table(rows.select("k1", "k2", "text").mapInArrow(_regrouped(_occurrences(length, encode)), OCCURRENCES), "zones")
-    first = [F.first(c).alias(c) for c in ("k1", "k2", "gram", "lo", "hi", "at")]
+    occurrences = kept_table(rows.select("k1", "k2", "text").mapInArrow(_regrouped(_occurrences(kinds)), OCCURRENCES), "zones")
+    first = [F.first(c).alias(c) for c in ("k1", "k2", "kind", "gram", "lo", "hi", "at")]
     met = kept_table(occurrences.groupBy("z1", "z2").agg(F.count("*").alias("n"), *first), "distinct-zones")
     grams = met.groupBy("gram").agg(F.count("*").alias("n_zones")).where("n_zones > 1")
     contested = met.join(kept_table(grams, "grams"), "gram").withColumn("hot", F.col("n_zones") > HOT_ZONES)
     wanted = contested.groupBy("k1", "k2").agg(
-        F.collect_list(F.struct("gram", "hot", "n", "k1", "k2", "z1", "z2", "lo", "hi", "at")).alias("wanted")
+        F.collect_list(F.struct("kind", "gram", "hot", "n", "k1", "k2", "z1", "z2", "lo", "hi", "at")).alias("wanted")
     )
     copies = rows.groupBy("k1", "k2").agg(F.min("doc_id").alias("one"))  # copies are fetched once
     wanted = kept_table(wanted.join(copies, ["k1", "k2"]), "wanted")
     held = rows.join(wanted.withColumnsRenamed({"k1": "w1", "k2": "w2"}), _same_text() & F.col("doc_id").eqNullSafe(F.col("one")))
-    fetched = kept_table(held.select("wanted", "text").mapInArrow(_fetch(length, encode), FETCHED), "contents")
+    fetched = kept_table(held.select("wanted", "text").mapInArrow(_fetch(kinds), FETCHED), "contents")
 
+    length = F.element_at(F.create_map(*[F.lit(x) for k in kinds for x in (k.number, k.length)]), F.col("kind"))
     whole = met.where("n > 1").select("z1", "z2")
     found = occurrences.join(whole, ["z1", "z2"], "left_semi")
-    found = found.select("k1", "k2", "lo", (F.col("hi") + length).alias("hi")).distinct()
-    dealt = fetched.where("not hot").repartition(partitions(spark), "gram")
-    found = found.unionByName(dealt.mapInArrow(_matched(length), INTERVALS))
-    hot = fetched.where("hot").select("n", "k1", "k2", "z1", "z2", "lo", "content")
+    found = found.select("k1", "k2", "kind", "lo", (F.col("hi") + length).alias("hi")).distinct()
+    dealt = fetched.where("not hot").repartition(partitions(spark), "gram").sortWithinPartitions("kind", "gram")
+    found = found.unionByName(dealt.mapInArrow(_matched(kinds), INTERVALS))
+    hot = fetched.where("hot").select("n", "k1", "k2", "kind", "z1", "z2", "lo", "content")
     # The windows of one zone differ, and a zone that a repeated row brings twice has n > 1.
-    counted = hot.select("n", "content").mapInArrow(_regrouped(_windows(length, COUNTED)), COUNTED)
+    counted = hot.select("n", "kind", "content").mapInArrow(_regrouped(_windows(kinds, COUNTED)), COUNTED)
     twice = counted.groupBy("h1", "h2").agg(F.sum("n").alias("n")).where("n > 1").select("h1", "h2")
-    placed = hot.where("n = 1").drop("n").mapInArrow(_regrouped(_windows(length, PLACED)), PLACED)
-    again = placed.join(twice, ["h1", "h2"], "left_semi").groupBy("k1", "k2", "z1", "z2")
-    again = again.agg(F.min("lo").alias("lo"), (F.max("lo") + length).alias("hi"))
-    found = found.unionByName(again.select("k1", "k2", "lo", "hi"))
-    spans = found.groupBy("k1", "k2").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("spans"))
+    placed = hot.where("n = 1").drop("n").mapInArrow(_regrouped(_windows(kinds, PLACED)), PLACED)
+    again = placed.join(twice, ["h1", "h2"], "left_semi").groupBy("k1", "k2", "kind", "z1", "z2")
+    again = again.agg(F.min("lo").alias("lo"), F.max("lo").alias("hi")).withColumn("hi", F.col("hi") + length)
+    found = found.unionByName(again.select("k1", "k2", "kind", "lo", "hi"))
+    spans = found.groupBy("k1", "k2").agg(F.sort_array(F.collect_list(F.struct("kind", "lo", "hi"))).alias("spans"))
     return kept_table(spans, "spans")
 
 
@@ -346,6 +388,14 @@ def _same_text() -> Column:
     return (F.col("k1") == F.col("w1")) & (F.col("k2") == F.col("w2"))
 
 
+def _with_spans(rows: DataFrame, spans: DataFrame) -> DataFrame:
+    """``rows`` with the spans of their text. Copies of one text meet its spans in ``SALTS`` places."""
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("w_salt")
+    spans = spans.select(F.col("k1").alias("w1"), F.col("k2").alias("w2"), "spans", every)
+    return salted.join(spans, _same_text() & (F.col("salt") == F.col("w_salt")), "left")
+
+
 def cut(text: bytes, spans: list[dict] | None) -> tuple[bytes, int, int]:
     """The remaining bytes, how many were removed, and in how many runs."""
     kept, end, runs = [], 0, 0
@@ -359,27 +409,46 @@ def cut(text: bytes, spans: list[dict] | None) -> tuple[bytes, int, int]:
     return rest, len(text) - len(rest), runs
 
 
+def every_span(text: bytes, spans: list[dict] | None) -> list[dict]:
+    """Spans of both kinds as spans of the text's bytes, in order."""
+    spans = spans or []
+    found = [x for x in spans if x["kind"] == 0]
+    in_words = [x for x in spans if x["kind"] == 1]
+    return sorted([*found, *word_spans(text, in_words)], key=lambda x: (x["lo"], x["hi"])) if in_words else found
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str, *extra: Column) -> DataFrame:
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")
+    rows = docs.select(*extra, F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), text.alias("text"))
+    return rows.select("*", *text_key(F.col("text")))
+
+
+_REST = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, n_kept bigint, rest string"
+
+
 def _cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]
+    names = [f.split()[0] for f in _REST.split(", ")]
     for batch in batches:
-        texts = batch.column("text").to_pylist()
-        found = [cut(text, spans) for text, spans in zip(texts, batch.column("spans").to_pylist())]
-        kept, removed, runs = zip(*found) if found else ((), (), ())
-        columns = [batch.column("doc_id"), pa.array([len(t) for t in texts], pa.int64()), pa.array(removed, pa.int64())]
-        columns += [pa.array(runs, pa.int64()), pa.array(kept, pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, names=names)
+        rows = []
+        for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
+            kept, removed, runs = cut(text, [x for x in spans or [] if x["kind"] == 0])
+            rest = cut(text, every_span(text, spans))[0].decode("utf-8", "ignore")
+            rows.append((len(text), removed, runs, kept, len(kept), rest))
+        columns = list(zip(*rows)) if rows else [()] * 6
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.string()]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, columns, kinds)], names=names)
 
 
 def without_repeats(
-    docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", by_words: bool = False
 ) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept`` (the remaining bytes) for every row."""
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")
-    rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), text.alias("text"))
-    rows = rows.select("doc_id", "text", *text_key(F.col("text")))
-    spans = repeated_intervals(rows, length).withColumnsRenamed({"k1": "w1", "k2": "w2"})
-    joined = rows.join(spans, _same_text(), "left").select("doc_id", "text", "spans")
-    return joined.mapInArrow(_cut_rows, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+    """``doc_id, n_bytes, n_removed, n_spans, kept`` (the remaining bytes), ``n_kept, rest`` for every
+    row. ``rest`` is the remaining text; with ``by_words``, passages of ``WORDS`` words are cut out of
+    it as well, whatever their bytes."""
+    rows = _keyed(docs, id_col, text_col)
+    kinds = [as_bytes(length), *([as_words()] if by_words else [])]
+    spans = repeated_intervals(rows, kinds)
+    return _with_spans(rows, spans).select("doc_id", "text", "spans").mapInArrow(_cut_rows, _REST)
 
 
 def with_texts_cut(
@@ -391,27 +460,15 @@ def with_texts_cut(
     white space between them, are cut as well."""
 
     @F.pandas_udf("string")
-    def rest(texts: pd.Series, spans: pd.Series, in_words: pd.Series) -> pd.Series:
-        found = []
-        for text, byte_spans, code_spans in zip(texts, spans, in_words):
-            every = [] if byte_spans is None else list(byte_spans)
-            if code_spans is not None:
-                every = sorted([*every, *word_spans(text, list(code_spans))], key=lambda x: (x["lo"], x["hi"]))
-            found.append(cut(text, every)[0].decode("utf-8", "ignore"))
-        return pd.Series(found)
-
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")
-    rows = docs.select(F.struct("*").alias("row"), F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), text.alias("text"))
-    rows = rows.select("row", "doc_id", "text", *text_key(F.col("text")))
-    keyed = rows.select("doc_id", "text", "k1", "k2")
-    spans = repeated_intervals(keyed, length).withColumn("in_words", F.lit(None).cast("array<struct<lo:int,hi:int>>"))
-    if by_words:
-        in_words = repeated_intervals(keyed, 8 * WORDS, word_codes).withColumnRenamed("spans", "in_words")
-        spans = kept_table(spans.drop("in_words").join(in_words, ["k1", "k2"], "full_outer"), "all-spans")
-    spans = spans.withColumnsRenamed({"k1": "w1", "k2": "w2"})
-    joined = rows.join(spans, _same_text(), "left")
-    whole = F.col("spans").isNull() & F.col("in_words").isNull()
-    left = F.when(whole, F.col("row")[text_col]).otherwise(rest("text", "spans", "in_words"))
+    def rest(texts: pd.Series, spans: pd.Series) -> pd.Series:
+        found = (cut(text, every_span(text, [] if held is None else list(held)))[0] for text, held in zip(texts, spans))
+        return pd.Series([text.decode("utf-8", "ignore") for text in found])
+
+    rows = _keyed(docs, id_col, text_col, F.struct("*").alias("row"))
+    kinds = [as_bytes(length), *([as_words()] if by_words else [])]
+    spans = repeated_intervals(rows.select("doc_id", "text", "k1", "k2"), kinds)
+    joined = _with_spans(rows, spans)
+    left = F.when(F.col("spans").isNull(), F.col("row")[text_col]).otherwise(rest("text", "spans"))
     return joined.select("row", left.alias("left")).select(
         *[F.col("left").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns]
     )

@@ -207,83 +207,11 @@ def test_links_with_heavy_buckets(spark, monkeypatch, n_words, width, most):
     assert {k: got.get(k, k) for k in nodes} == want and len(set(want.values())) < len(want)
 
 
-def test_similar_pairs(spark):
-    """Of pairs at a Jaccard similarity of 0.8 or more nearly all are found, and no others."""
-    texts = {}
-    for k in range(120):
-        texts[2 * k] = fixtures.prose(300, 5000 + k)
-        texts[2 * k + 1] = fixtures.edited(texts[2 * k], 25 + k)
-
-    def shingles(text):
-        words = text.lower().split()
-        return {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
-
-    sets = {k: shingles(t) for k, t in texts.items()}
-    want = {k for k in range(120) if len(sets[2 * k] & sets[2 * k + 1]) >= 0.8 * len(sets[2 * k] | sets[2 * k + 1])}
-    docs = fixtures.table(spark, list(texts.items()))
-    found = {r.doc_id: r.component_id for r in simhash.near_groups(docs, simhash.similar(len(texts))).collect()}
-    got = {k for k in range(120) if found[2 * k + 1] == 2 * k}
-    assert got <= want and len(got) >= 0.9 * len(want) and 20 < len(want) < 120
-    assert all(found[2 * k] == 2 * k for k in range(120))
-
-
-@pytest.mark.parametrize("bucket", [3, 64])
-def test_similar_pairs_in_crowded_buckets(spark, monkeypatch, bucket):
-    """Edits of one text, alike to it but not to each other, are one component however many
-    meet in a bucket, and whichever has the smallest id."""
-    monkeypatch.setattr(simhash, "BUCKET", bucket)
-    text, rng = fixtures.prose(300, 77), np.random.default_rng(3)
-    rows = [(500, text)]
-    for k in range(40):
-        words = text.split(" ")
-        for at in rng.choice(np.arange(5, len(words) - 5), 5, replace=False):
-            words[at] = f"edit{k}x{at}"
-        rows.append((k, " ".join(words)))
-    # Low segments of 8 bits, so that all meet, and every distance: only the sets decide.
-    scheme = simhash.Scheme(5, 1, 8, 8, 64, 0.8)
-    found = simhash.near_groups(fixtures.table(spark, rows), scheme).collect()
-    sets = {i: {tuple(t.lower().split()[k : k + 5]) for k in range(len(t.split()) - 4)} for i, t in rows}
-    alike = [i for i in range(40) if len(sets[i] & sets[500]) >= 0.8 * len(sets[i] | sets[500])]
-    assert len(alike) > 30 and sum(len(sets[a] & sets[0]) >= 0.8 * len(sets[a] | sets[0]) for a in alike) < 20
-    assert {r.component_id for r in found if r.doc_id in {*alike, 500}} == {min(alike)}
-
-
-def test_equal_fingerprints_are_no_link(spark):
-    """Unrelated texts whose fingerprints are equal stay apart; texts with equal sets are one."""
-    run = "zz " * 40
-    rows = [(k, run * 4 + fixtures.prose(60, 900 + k)) for k in range(6)]
-    rows += [(10, fixtures.prose(80, 950)), (11, fixtures.prose(80, 950).upper()), (None, "  " + fixtures.prose(80, 950))]
-    docs = fixtures.table(spark, rows)
-    scheme = simhash.Scheme(5, 1, 8, 8, 64, 0.8)
-    constant = lambda text, *_: [7]
-    with pytest.MonkeyPatch.context() as patch:
-        patch.setattr(simhash, "set_fingerprint", constant)
-        found = simhash.near_groups(docs, scheme).collect()
-    assert len({tuple(r.fp) for r in found}) == 1
-    assert ordered((r.doc_id, r.component_id) for r in found) == ordered([*((k, k) for k in range(6)), (10, 10), (11, 10), (None, 10)])
-
-
-def test_repeats_do_not_move_similar_texts_apart(spark):
-    """A passage repeated seven more times leaves the shingle set nearly as it was."""
-    rows = []
-    for k in range(20):
-        text = fixtures.prose(420, 3000 + k)
-        passage = " ".join(text.split()[100:120])
-        rows += [(2 * k, text), (2 * k + 1, text + (" " + passage) * 7)]
-    found = simhash.near_groups(fixtures.table(spark, rows), simhash.similar(len(rows))).collect()
-    assert {r.doc_id: r.component_id for r in found} == {k: k - k % 2 for k in range(40)}
-
-
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(50)], "a bigint, b bigint")
     assert {r.component for r in simhash.components(edges).collect()} == {0}
 
 
-def test_similar_scheme_is_as_wide_as_the_table():
-    small, large = simhash.similar(1000), simhash.similar(10**9)
-    assert (small.width, large.width) == (16, 30) and large.n_segments > small.n_segments
-
-
 @pytest.mark.parametrize("n_shards", [4, 16])
 def test_sharded(docs, n_shards):
     rows = sharding.sharded(docs, n_shards).collect()

