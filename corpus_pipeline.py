@@ -1,80 +1,41 @@
 """The corpus pipeline: clean, dedup exactly, dedup nearly, cut repeated passages, pack.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and
-read again as the next one's docs. All but the last return the columns of documents; extra
-columns travel along whatever their names, for a row stays one value inside each stage.
+read again as the next one's docs. All but the last return the columns of documents. What a
+stage does is in ``stackroom/llm/stages.py``.
 
 Results for odd input: a null or empty text fails the quality rules; rows that repeat an id and
-a text become one in the exact dedup; a row with a null id is a document of its own for the
-near dedup; an empty table stays empty to the end.
+a text become one in the exact dedup; a null id is larger than any other; an empty table stays
+empty to the end.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from stackroom.llm import cuckoo, line_rules, packing, simhash, suffix_index
+from stackroom.llm import stages
 from stackroom.llm.common import kept_table
 
 
-def _replaced(docs: DataFrame, text: Column) -> list[Column]:
-    """The fields of ``row`` with another text, and its length where ``n_chars`` tells it."""
-    new = {"text": text.alias("text")}
-    if "n_chars" in docs.columns:
-        new["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType).alias("n_chars")
-    return [new.get(c, F.col("row")[c].alias(c)) for c in docs.columns]
-
-
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Failing lines go, and documents that the rules reject."""
-    rows = docs.select(F.struct("*").alias("row"), F.col("text"))
-    judged = line_rules.with_verdict(rows)
-    # Not a filter: it would be pushed below the measures and make each of them anew.
-    stay = judged.select(F.inline(F.when(F.col("kept"), F.array(F.struct("row", "clean_text")))))
-    return stay.select(*_replaced(docs, F.col("clean_text")))
+    return stages.clean(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal texts (up to white space) the one with the smallest id stays."""
-    key = F.concat_ws("-", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.hex("digest")).alias("_key")
-    stay = cuckoo.exact_groups(docs).where("kept").select(key)
-    digest = F.sha2(cuckoo.one_space(F.col("text")).cast("binary"), 256)
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id"), F.unhex(digest).alias("digest"))
-    rows = rows.select("row", key).join(stay.distinct(), "_key", "left_semi").dropDuplicates(["_key"])
-    return rows.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    return stages.distinct(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by fingerprints of five-word shingles (similarity 0.8 or more) the
-    one with the smallest id stays; rows that repeat an id are told apart by their texts."""
-    scheme = simhash.similar(docs.count(), similarity=0.8, shingle=5)
-    groups = simhash.similar_groups(docs, scheme)
-    rank = F.struct("doc_id", "k1", "k2")
-    named = groups.where("doc_id is not null")
-    first = kept_table(named.groupBy("component").agg(F.min(rank).alias("first")), "firsts")
-    gone = named.join(first, "component").where(rank != F.col("first"))
-    gone = gone.select(F.col("doc_id").alias("_id"), F.col("k1").alias("_k1"), F.col("k2").alias("_k2")).distinct()
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    k1, k2 = suffix_index.text_key(F.col("text").cast("binary"))
-    rows = rows.select("row", F.col("doc_id").cast("bigint").alias("_id"), k1.alias("_k1"), k2.alias("_k2"))
-    rows = rows.join(kept_table(gone, "near-copies"), ["_id", "_k1", "_k2"], "left_anti")
-    return rows.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    return stages.not_near(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of over 50 words, or of 400 bytes or more (which may hold fewer words, or be
-    written without spaces), that occur elsewhere are cut out; documents of which no word is left
-    go."""
-    cut = suffix_index.with_texts_cut(docs, by_words=True).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    rows = cut.select(F.struct("*").alias("row"))
-    return rows.select(*_replaced(docs, F.col("row")["text"]))
+    return stages.without_passages(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of at most 2048 tokens, with their ids."""
-    return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return stages.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES = [
