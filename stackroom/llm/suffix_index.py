@@ -348,12 +348,64 @@ def text_key(text: Column) -> list[Column]:
     return [half.alias(name) for half, name in zip(halves, ("k1", "k2"))]
 
 
-def repeated_intervals(rows: DataFrame, kinds: list[Kind]) -> DataFrame:
+def zones_of(rows: DataFrame, kinds: list[Kind]) -> DataFrame:
+    """The zones of all texts (``k1, k2, text``), kept as a table."""
+    return kept_table(rows.select("k1", "k2", "text").mapInArrow(_regrouped(_occurrences(kinds)), OCCURRENCES), "zones")
+
+
+@dataclass(frozen=True)
+class Level:
+    """One level of the index: the zones of its texts, in the order of their grams, and the texts."""
+
+    zones: DataFrame
+    texts: DataFrame
+    n_zones: int
+
+
+class SuffixIndex:
+    """A family of levels, each kept as tables in the shared folder, to which batches are added.
+
+    The zones of a new batch meet those of every level by gram; where grams are shared, suffixes
+    of old and new texts are merge-scanned together. Then the batch becomes a level, and levels
+    of like size merge, so sizes grow geometrically and a zone is rewritten a logarithmic
+    number of times.
+    """
+
+    def __init__(self, kinds: list[Kind]):
+        self.kinds = kinds
+        self.levels: list[Level] = []
+
+    def add(self, rows: DataFrame) -> DataFrame:
+        """``k1, k2, spans``: what repeats now in the texts of the batch (``doc_id, k1, k2, text``) and,
+        because of it, in older ones."""
+        rows = kept_table(rows.select("doc_id", "k1", "k2", "text"), "batch")
+        zones = zones_of(rows, self.kinds)
+        found = repeated_intervals(rows, self.kinds, zones, self.levels)
+        level = Level(zones, rows, zones.count())
+        while self.levels and self.levels[-1].n_zones < 2 * level.n_zones:
+            old = self.levels.pop()
+            both = old.zones.unionByName(level.zones).repartitionByRange("kind", "gram").sortWithinPartitions("kind", "gram")
+            texts = kept_table(old.texts.unionByName(level.texts), "level-texts")
+            level = Level(kept_table(both, "level"), texts, old.n_zones + level.n_zones)
+        self.levels.append(level)
+        return found
+
+
+def repeated_intervals(
+    rows: DataFrame, kinds: list[Kind], zones: DataFrame | None = None, older: list[Level] | None = None
+) -> DataFrame:
     """``k1, k2, spans`` (of ``kind, lo, hi``): the repeated intervals of each text that has any;
     they may overlap. ``rows`` are ``doc_id, k1, k2, text`` (binary); lengths and intervals are
-    those of the text taken as its kind."""
+    those of the text taken as its kind. ``zones`` are those of ``rows`` where they are made already;
+    texts of ``older`` levels count where they share a gram with a text of ``rows``."""
     spark = rows.sparkSession
-    occurrences = kept_table(rows.select("k1", "k2", "text").mapInArrow(_regrouped(_occurrences(kinds)), OCCURRENCES), "zones")
+    occurrences = zones_of(rows, kinds) if zones is None else zones
+    if older:
+        shared = kept_table(occurrences.select("kind", "gram").distinct(), "batch-grams")
+        for level in older:
+            occurrences = occurrences.unionByName(level.zones.join(shared, ["kind", "gram"], "left_semi").select(occurrences.columns))
+            rows = rows.unionByName(level.texts)
+        occurrences = kept_table(occurrences, "met-zones")
     first = [F.first(c).alias(c) for c in ("k1", "k2", "kind", "gram", "lo", "hi", "at")]
     met = kept_table(occurrences.groupBy("z1", "z2").agg(F.count("*").alias("n"), *first), "distinct-zones")
     grams = met.groupBy("gram").agg(F.count("*").alias("n_zones")).where("n_zones > 1")

@@ -145,6 +145,26 @@ def test_suffix_family_levels():
     assert family.reach == {k: (4, 14) for k in range(8)}
 
 
+def test_batches_are_added_to_the_index(spark):
+    """Three batches find what one pass over all finds, in new texts and in older ones."""
+    rows = [(k, t) for k, (_, t) in enumerate(fixtures.documents()) if t and len(t) < 50_000]
+    rows += [(100, fixtures.prose(90, 61) + rows[0][1][:700]), (101, fixtures.prose(90, 61)[100:600])]
+    batches, kinds = [rows[:7], rows[7:20], rows[20:]], [suffix_index.as_bytes(), suffix_index.as_words()]
+    index, spans = suffix_index.SuffixIndex(kinds), defaultdict(set)
+    for batch in batches:
+        keyed = suffix_index._keyed(fixtures.table(spark, batch), "doc_id", "text")
+        for r in index.add(keyed).collect():
+            spans[r.k1, r.k2] |= {(s.kind, s.lo, s.hi) for s in r.spans}
+    assert 1 <= len(index.levels) < 3 and sum(level.texts.count() for level in index.levels) == len(rows)
+    whole = suffix_index._keyed(fixtures.table(spark, rows), "doc_id", "text")
+    want = {(r.k1, r.k2): {(s.kind, s.lo, s.hi) for s in r.spans} for r in suffix_index.repeated_intervals(whole, kinds).collect()}
+
+    def covered(found):
+        return {(kind, at) for kind, lo, hi in found for at in range(lo, hi)}
+
+    assert {k: covered(v) for k, v in spans.items()} == {k: covered(v) for k, v in want.items()} and len(want) > 5
+
+
 def test_texts_cut(spark, docs):
     got = {r.doc_id: r for r in suffix_index.with_texts_cut(docs).collect()}
     assert got[9].text.startswith(fixtures.prose(80, 5)[:200]) and fixtures.PASSAGE[:200] not in got[9].text
