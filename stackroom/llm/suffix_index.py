@@ -177,7 +177,7 @@ OCCURRENCES = "k1 bigint, k2 bigint, kind int, gram bigint, z1 bigint, z2 bigint
 FETCHED = "kind int, gram bigint, hot boolean, n bigint, k1 bigint, k2 bigint, z1 bigint, z2 bigint, lo int, at int, content binary"
 INTERVALS = "k1 bigint, k2 bigint, kind int, lo int, hi int"
 COUNTED = "h1 bigint, h2 bigint, n bigint"
-PLACED = "h1 bigint, h2 bigint, k1 bigint, k2 bigint, kind int, z1 bigint, z2 bigint, lo int"
+PLACED = "h1 bigint, h2 bigint, zone bigint, lo int"
 
 
 def _halves(digests: list[bytes]) -> np.ndarray:
@@ -324,7 +324,6 @@ def _matched(kinds: list[Kind]):
 def _windows(kinds: list[Kind], spec: str):
     """A row for each window of a zone: its hash, and what ``spec`` asks of the zone."""
     names, lengths = [f.split()[0] for f in spec.split(", ")], {k.number: k.length for k in kinds}
-    types = {"kind": np.int32}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -333,7 +332,7 @@ def _windows(kinds: list[Kind], spec: str):
                 count = len(content) - length + 1
                 pair = _halves([xxhash.xxh3_128_digest(content[s : s + length]) for s in range(count)])
                 columns = [pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy())]
-                columns += [pa.array(np.full(count, row[c], types.get(c, np.int64))) for c in names[2:] if c != "lo"]
+                columns += [pa.array(np.full(count, row[c], np.int64)) for c in names[2:] if c != "lo"]
                 if "lo" in names:
                     columns.append(pa.array(np.arange(row["lo"], row["lo"] + count, dtype=np.int32)))
                 yield pa.RecordBatch.from_arrays(columns, names=names)
@@ -416,21 +415,23 @@ def repeated_intervals(
     copies = rows.groupBy("k1", "k2").agg(F.min("doc_id").alias("one"))  # copies are fetched once
     wanted = kept_table(wanted.join(copies, ["k1", "k2"]), "wanted")
     held = rows.join(wanted.withColumnsRenamed({"k1": "w1", "k2": "w2"}), _same_text() & F.col("doc_id").eqNullSafe(F.col("one")))
-    fetched = kept_table(held.select("wanted", "text").mapInArrow(_fetch(kinds), FETCHED), "contents")
+    fetched = held.select("wanted", "text").mapInArrow(_fetch(kinds), FETCHED)
+    fetched = kept_table(fetched.withColumn("zone", F.monotonically_increasing_id()), "contents")
 
     length = F.element_at(F.create_map(*[F.lit(x) for k in kinds for x in (k.number, k.length)]), F.col("kind"))
     whole = met.where("n > 1").select("z1", "z2")
     found = occurrences.join(whole, ["z1", "z2"], "left_semi")
     found = found.select("k1", "k2", "kind", "lo", (F.col("hi") + length).alias("hi")).distinct()
-    dealt = fetched.where("not hot").repartition(partitions(spark), "gram").sortWithinPartitions("kind", "gram")
+    dealt = fetched.where("not hot").drop("zone").repartition(partitions(spark), "gram").sortWithinPartitions("kind", "gram")
     found = found.unionByName(dealt.mapInArrow(_matched(kinds), INTERVALS))
-    hot = fetched.where("hot").select("n", "k1", "k2", "kind", "z1", "z2", "lo", "content")
+    hot = fetched.where("hot").select("n", "zone", "k1", "k2", "kind", "lo", "content")
     # The windows of one zone differ, and a zone that a repeated row brings twice has n > 1.
     counted = hot.select("n", "kind", "content").mapInArrow(_regrouped(_windows(kinds, COUNTED)), COUNTED)
     twice = counted.groupBy("h1", "h2").agg(F.sum("n").alias("n")).where("n > 1").select("h1", "h2")
-    placed = hot.where("n = 1").drop("n").mapInArrow(_regrouped(_windows(kinds, PLACED)), PLACED)
-    again = placed.join(twice, ["h1", "h2"], "left_semi").groupBy("k1", "k2", "kind", "z1", "z2")
-    again = again.agg(F.min("lo").alias("lo"), F.max("lo").alias("hi")).withColumn("hi", F.col("hi") + length)
+    # There are very many windows, so they carry a number for their zone.
+    placed = hot.where("n = 1").select("kind", "zone", "lo", "content").mapInArrow(_regrouped(_windows(kinds, PLACED)), PLACED)
+    again = placed.join(twice, ["h1", "h2"], "left_semi").groupBy("zone").agg(F.min("lo").alias("lo"), F.max("lo").alias("hi"))
+    again = again.join(hot.select("zone", "k1", "k2", "kind"), "zone").withColumn("hi", F.col("hi") + length)
     found = found.unionByName(again.select("k1", "k2", "kind", "lo", "hi"))
     spans = found.groupBy("k1", "k2").agg(F.sort_array(F.collect_list(F.struct("kind", "lo", "hi"))).alias("spans"))
     return kept_table(spans, "spans")
@@ -519,7 +520,8 @@ def with_texts_cut(
     rows = _keyed(docs, id_col, text_col, F.struct("*").alias("row"))
     kinds = [as_bytes(length), *([as_words()] if by_words else [])]
     spans = repeated_intervals(rows.select("doc_id", "text", "k1", "k2"), kinds)
-    joined = _with_spans(rows, spans)
+    joined = _with_spans(rows.drop("text"), spans)  # the text is in the row: it travels once
+    joined = joined.withColumn("text", F.coalesce(F.col("row")[text_col], F.lit("")).cast("binary"))
     left = F.when(F.col("spans").isNull(), F.col("row")[text_col]).otherwise(rest("text", "spans"))
     return joined.select("row", left.alias("left")).select(
         *[F.col("left").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns]

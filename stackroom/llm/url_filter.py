@@ -86,14 +86,15 @@ def _after_scheme(url: Column) -> Column:
 
 def grams(text: Column, mark: str) -> Column:
     """Character n-grams of the text between its end marks; one cut into characters."""
-    characters = F.split(F.concat(F.lit("^"), text, F.lit("$")), "")
+    cut = F.split(F.concat(F.lit("^"), text, F.lit("$")), "")
 
-    def of_size(n: int) -> Column:
+    def of_size(characters: Column, n: int) -> Column:
         starts = F.when(F.size(characters) >= n, F.sequence(F.lit(1), F.size(characters) - n + 1))
         starts = F.coalesce(starts, F.array().cast("array<int>"))
         return F.transform(starts, lambda at: F.concat(F.lit(mark), F.array_join(F.slice(characters, at, F.lit(n)), "")))
 
-    return F.concat(*[of_size(n) for n in GRAMS])
+    # As the argument of a function the characters are cut once, not at each n-gram anew.
+    return F.flatten(F.transform(F.array(cut), lambda characters: F.concat(*[of_size(characters, n) for n in GRAMS])))
 
 
 def with_grams(rows: DataFrame) -> DataFrame:
