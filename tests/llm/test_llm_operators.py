@@ -357,6 +357,30 @@ def test_url_model_on_held_out_rows(spark):
     assert right >= 0.8 * held.count()
 
 
+def test_url_model_on_held_out_names(spark):
+    """No training URL holds one of the held-out words. Names of such words alone are hardly known,
+    and clean ones are left alone; names that pair one with a known word to block are blocked."""
+    rows = url_filter.labelled_rows()
+    held = {*url_filter.BLOCKED_WORDS[::5], *url_filter.ALLOWED_WORDS[::5]}
+
+    def words(url):
+        return set(re.sub(r"^(www|m|blog)\.", "", url.split("://")[1].split(".example")[0]).split("-"))
+
+    labelled = lambda part: spark.createDataFrame(part, "url string, label double")
+    model = url_filter.trained(labelled([r for r in rows if not words(r[0]) & held]))
+
+    def counts(part):
+        urls = labelled(part).withColumnRenamed("url", "u")
+        judged = url_filter.judged(urls.selectExpr("u page_id", "u url"), model, rules=())
+        found = judged.join(urls, judged.page_id == urls.u).groupBy("label", "verdict").count().collect()
+        return defaultdict(int, {(r.label, r.verdict): r["count"] for r in found})
+
+    alone = counts([r for r in rows if words(r[0]) <= held])
+    paired = counts([r for r in rows if words(r[0]) & held and not words(r[0]) <= held])
+    assert alone[0.0, "block"] == paired[0.0, "block"] == 0 and alone[0.0, "allow"] >= 30
+    assert paired[1.0, "block"] >= 0.8 * (paired[1.0, "block"] + paired[1.0, "allow"]) > 0
+
+
 def test_empty_tables(spark):
     docs, pages = fixtures.table(spark, []), fixtures.pages(spark, [])
     model = url_filter.trained(url_filter.labelled_urls(spark))
