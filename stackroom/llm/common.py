@@ -40,6 +40,24 @@ def kept_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Kept tables that are needed no longer than a result that is a table itself."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def kept(self, df: DataFrame, name: str) -> DataFrame:
+        path = self.paths[name] = scratch_path(self.spark, name)
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        """Delete some of the tables, all if none is named."""
+        for name in names or [*self.paths]:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

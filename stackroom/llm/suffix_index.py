@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stackroom.llm.common import kept_table, partitions
+from stackroom.llm.common import Scratch, kept_table, partitions
 
 LENGTH = 400
 WORDS = 51
@@ -348,8 +348,8 @@ def text_key(text: Column) -> list[Column]:
 
 
 def zones_of(rows: DataFrame, kinds: list[Kind]) -> DataFrame:
-    """The zones of all texts (``k1, k2, text``), kept as a table."""
-    return kept_table(rows.select("k1", "k2", "text").mapInArrow(_regrouped(_occurrences(kinds)), OCCURRENCES), "zones")
+    """The zones of all texts (``k1, k2, text``)."""
+    return rows.select("k1", "k2", "text").mapInArrow(_regrouped(_occurrences(kinds)), OCCURRENCES)
 
 
 @dataclass(frozen=True)
@@ -378,7 +378,7 @@ class SuffixIndex:
         """``k1, k2, spans``: what repeats now in the texts of the batch (``doc_id, k1, k2, text``) and,
         because of it, in older ones."""
         rows = kept_table(rows.select("doc_id", "k1", "k2", "text"), "batch")
-        zones = zones_of(rows, self.kinds)
+        zones = kept_table(zones_of(rows, self.kinds), "zones")
         found = repeated_intervals(rows, self.kinds, zones, self.levels)
         level = Level(zones, rows, zones.count())
         while self.levels and self.levels[-1].n_zones < 2 * level.n_zones:
@@ -398,30 +398,35 @@ def repeated_intervals(
     those of the text taken as its kind. ``zones`` are those of ``rows`` where they are made already;
     texts of ``older`` levels count where they share a gram with a text of ``rows``."""
     spark = rows.sparkSession
-    occurrences = zones_of(rows, kinds) if zones is None else zones
+    scratch = Scratch(spark)  # all but the spans goes at the end, or as soon as it has been read
+    occurrences = scratch.kept(zones_of(rows, kinds), "zones") if zones is None else zones
     if older:
-        shared = kept_table(occurrences.select("kind", "gram").distinct(), "batch-grams")
+        shared = scratch.kept(occurrences.select("kind", "gram").distinct(), "batch-grams")
         for level in older:
             occurrences = occurrences.unionByName(level.zones.join(shared, ["kind", "gram"], "left_semi").select(occurrences.columns))
             rows = rows.unionByName(level.texts)
-        occurrences = kept_table(occurrences, "met-zones")
+        occurrences = scratch.kept(occurrences, "met-zones")
     first = [F.first(c).alias(c) for c in ("k1", "k2", "kind", "gram", "lo", "hi", "at")]
-    met = kept_table(occurrences.groupBy("z1", "z2").agg(F.count("*").alias("n"), *first), "distinct-zones")
+    met = scratch.kept(occurrences.groupBy("z1", "z2").agg(F.count("*").alias("n"), *first), "distinct-zones")
     grams = met.groupBy("gram").agg(F.count("*").alias("n_zones")).where("n_zones > 1")
-    contested = met.join(kept_table(grams, "grams"), "gram").withColumn("hot", F.col("n_zones") > HOT_ZONES)
+    contested = met.join(scratch.kept(grams, "grams"), "gram").withColumn("hot", F.col("n_zones") > HOT_ZONES)
     wanted = contested.groupBy("k1", "k2").agg(
         F.collect_list(F.struct("kind", "gram", "hot", "n", "k1", "k2", "z1", "z2", "lo", "hi", "at")).alias("wanted")
     )
     copies = rows.groupBy("k1", "k2").agg(F.min("doc_id").alias("one"))  # copies are fetched once
-    wanted = kept_table(wanted.join(copies, ["k1", "k2"]), "wanted")
+    wanted = scratch.kept(wanted.join(copies, ["k1", "k2"]), "wanted")
+    scratch.drop("grams")
     held = rows.join(wanted.withColumnsRenamed({"k1": "w1", "k2": "w2"}), _same_text() & F.col("doc_id").eqNullSafe(F.col("one")))
     fetched = held.select("wanted", "text").mapInArrow(_fetch(kinds), FETCHED)
-    fetched = kept_table(fetched.withColumn("zone", F.monotonically_increasing_id()), "contents")
+    fetched = scratch.kept(fetched.withColumn("zone", F.monotonically_increasing_id()), "contents")
+    scratch.drop("wanted")
 
     length = F.element_at(F.create_map(*[F.lit(x) for k in kinds for x in (k.number, k.length)]), F.col("kind"))
     whole = met.where("n > 1").select("z1", "z2")
     found = occurrences.join(whole, ["z1", "z2"], "left_semi")
     found = found.select("k1", "k2", "kind", "lo", (F.col("hi") + length).alias("hi")).distinct()
+    found = scratch.kept(found, "whole-zones")
+    scratch.drop("distinct-zones", *(["zones"] if zones is None else []))
     dealt = fetched.where("not hot").drop("zone").repartition(partitions(spark), "gram").sortWithinPartitions("kind", "gram")
     found = found.unionByName(dealt.mapInArrow(_matched(kinds), INTERVALS))
     hot = fetched.where("hot").select("n", "zone", "k1", "k2", "kind", "lo", "content")
@@ -434,7 +439,9 @@ def repeated_intervals(
     again = again.join(hot.select("zone", "k1", "k2", "kind"), "zone").withColumn("hi", F.col("hi") + length)
     found = found.unionByName(again.select("k1", "k2", "kind", "lo", "hi"))
     spans = found.groupBy("k1", "k2").agg(F.sort_array(F.collect_list(F.struct("kind", "lo", "hi"))).alias("spans"))
-    return kept_table(spans, "spans")
+    spans = kept_table(spans, "spans")
+    scratch.drop()
+    return spans
 
 
 def _same_text() -> Column:
