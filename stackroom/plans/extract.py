@@ -16,7 +16,14 @@ from stackroom.functions.ids import (
     short_form,
     unquoted,
 )
-from stackroom.operators.keyed import BROADCAST_BYTES, fits_broadcast, might_be_among, semi_join
+from stackroom.operators.keyed import (
+    BROADCAST_BYTES,
+    fits_broadcast,
+    measured_bytes,
+    might_be_among,
+    parts_for,
+    semi_join,
+)
 from stackroom.plans.index import index_path
 from stackroom.plans.outcome import Outcome, failures_of, summary_of
 from stackroom.plans.recording import SILENT, RunLog, leaves_report
@@ -27,7 +34,6 @@ from stackroom.sources.idlist import read_id_list
 
 # Beyond this the plan changes, not the result: the whole index is read.
 MAX_BLOCKS = 1_000
-SALTS = 8
 
 
 @dataclass(frozen=True)
@@ -84,23 +90,23 @@ def lookup(index: DataFrame, requested: DataFrame, max_bytes: int = BROADCAST_BY
     """id, parquet_file, n_rows for the requested ids the index holds.
 
     Within the bound the requests are broadcast and the index does not move until it is
-    counted. Beyond it the index shuffles once, on the id and one of ``SALTS`` slices of
-    its files, and unrequested ids are dropped before anything is counted; so a heavy id
-    is split, and its rows are combined per file before they move again. A Bloom filter of the
-    requests, of bounded size, goes to the index scan first, so what shuffles follows the
-    requests and not the index.
+    counted. Beyond it a Bloom filter of the requests, of bounded size, goes to the index scan;
+    what passes is counted per id and file, so that a heavy id is a row per file, and the counts
+    meet the requests. What shuffles follows the requests and not the index. The requests are
+    dealt to as many partitions as their bytes ask for, so a task's memory does not follow them.
     """
     keys = requested.select("id").distinct()
     rows = index.select("id", "parquet_file")
+    counted = F.count(F.lit(1)).alias("n_rows")
     if fits_broadcast(keys, max_bytes):
         # Catalyst moves the semi-join below the count.
-        found = rows.join(F.broadcast(keys), "id", "left_semi")
-    else:
-        rows = might_be_among(rows, keys)
-        rows = rows.withColumn("_salt", F.pmod(F.xxhash64("parquet_file"), F.lit(SALTS)))
-        keys = keys.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
-        found = rows.join(keys.hint("merge"), ["id", "_salt"], "left_semi")
-    return found.groupBy("id", "parquet_file").agg(F.count(F.lit(1)).alias("n_rows"))
+        return rows.join(F.broadcast(keys), "id", "left_semi").groupBy("id", "parquet_file").agg(counted)
+    n_parts = parts_for(keys.sparkSession, measured_bytes(keys))
+    keys = requested.select("id").repartition(n_parts, "id").distinct()
+    found = might_be_among(rows, keys).groupBy("id", "parquet_file").agg(counted)
+    # Not a semi-join: Catalyst would move that below the count and into each part of a union,
+    # and every part would gather and sort all requests again.
+    return found.join(keys.hint("merge"), "id").select("id", "parquet_file", "n_rows")
 
 
 def matched_ids(hits: DataFrame) -> DataFrame:

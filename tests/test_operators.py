@@ -107,3 +107,29 @@ def test_lookup_beyond_the_bound_filters_before_it_shuffles(spark):
     below = plan[plan.index("SortMergeJoin") :]
     assert "BroadcastHashJoin" in below[below.index("Exchange") :]
     assert might_be_among(index, asked).count() < 1.05 * asked.count() + 700
+
+
+def test_lookup_beyond_the_bound_gathers_the_requests_once(spark):
+    """However many parts the index is a union of; and one id in many rows and files counts whole."""
+    part = spark.range(0, 20_000).selectExpr("if(id % 3 = 0, 'hot', concat('W', id)) AS id", "concat('f', id % 7) AS parquet_file")
+    index = part.unionByName(part.withColumn("parquet_file", F.lit("g"))).unionByName(part.withColumn("parquet_file", F.lit("h")))
+    asked = part.where("id = 'hot' OR id like '%0'").select("id")
+    hits = lookup(index, asked.unionByName(asked), max_bytes=0)
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 1
+    narrow = lookup(index, asked)
+    assert narrow.columns == hits.columns
+    assert Counter(map(tuple, hits.collect())) == Counter(map(tuple, narrow.collect()))
+
+
+def test_bloom_filter_shuffles_places_and_no_bitmaps(spark):
+    keys = spark.range(0, 60_000).select(F.concat(F.lit("W"), F.col("id").cast("string")).alias("id"))
+    plan = might_be_among(keys, keys)._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning(bitmap" in line]
+    assert dealt and all("REPARTITION_BY_NUM" in line for line in dealt)
+
+
+def test_parts_follow_the_bytes(spark):
+    few = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert keyed.parts_for(spark, 0) == few
+    assert keyed.parts_for(spark, 1000 * keyed.PART_BYTES + 1) == 1001
