@@ -216,3 +216,33 @@ def test_cover_dedup(spark, n_partitions):
 
 def test_empty_cover_dedup(spark):
     assert cover_anchors.without_repeats(fixtures.table(spark, [])).count() == 0
+
+
+def test_remembered_does_not_walk_through_its_memory():
+    from stackroom.llm.common import Remembered
+
+    class Walked(Remembered):
+        def __iter__(self):
+            raise AssertionError("walked through")
+
+        keys = __iter__
+
+    memory = Walked(100)
+    memory.update({f"w{k}": k for k in range(40)})
+    memory.old = Walked(100)
+    memory.old.update({"old": 7})
+    assert memory.known_of({"w1", "old", "new"}) == {"new"}
+    assert memory["old"] == 7 and memory["w1"] == 1
+
+
+def test_words_are_learnt_when_asked_for():
+    from stackroom.llm.packing import LONGEST_REMEMBERED, WordIds
+
+    asked = []
+    ids = WordIds(4, lambda word: asked.append(word) or word.encode())
+    long = "x" * (LONGEST_REMEMBERED + 1)
+    words = ["a", "b", "a", long, "c", "d", "a", "e", "f", "g", "a", long]
+    assert b"".join(map(ids.__getitem__, words)) == "".join(words).encode()
+    # Long words are learnt anew, and the memory has two bounded generations; what is frequent stays.
+    assert asked.count("a") == 1 and asked.count(long) == 2 and long not in ids
+    assert len(ids) <= 3 and len(ids.old) <= 3
