@@ -41,6 +41,20 @@ def test_suffix_index_query(spark, documents):
     assert got == ordered(want) and any(r[2] for r in got)
 
 
+def test_suffix_index_query_cuts_passages_of_short_words(spark, tmp_path):
+    """A passage of 55 words in 274 bytes: the contract leaves it, ``text`` is without it. One of 50 words stays."""
+    passage, shorter = (" ".join(f"{k}{n:03d}" for n in range(size)) for k, size in (("p", 55), ("q", 50)))
+    own = [" ".join(f"d{i}w{n}" for n in range(90)) for i in range(4)]
+    texts = [f"{own[0]} {passage}\n{shorter} end", f"begin {passage} {own[1]}", f"{shorter} {own[2]}", own[3], None]
+    rows = list(enumerate(texts))
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in queries.op2_suffix_index(spark, str(tmp_path)).collect()}
+    assert [got[i].text for i, _ in rows] == [(t or "").replace(passage, "") for t in texts]
+    for i, text in rows:
+        raw = (text or "").encode()
+        assert tuple(got[i])[1:6] == (len(raw), 0, 0, hashlib.sha256(raw).hexdigest(), len(raw))
+
+
 def test_simhash_query(spark, documents):
     fps = {i: brute_fingerprint(t, 3) for i, t in documents}
     label = brute_components(fps, 2)
