@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -189,7 +191,7 @@ def _row_counts(
     paths: dict[str, list[str]] = {}
     for row in sound.orderBy("rel_path").collect():
         paths.setdefault(row["rel_path"].partition("/")[0], []).append(row["rel_path"])
-    read = decoded_row_counts if full else file_row_counts
+    read = decoded_row_counts if full else partial(file_row_counts, skip_damaged=True)
     counts = None
     for names in paths.values():
         one = read(spark, parquet_dir, *names)

@@ -129,7 +129,7 @@ def run_enrich(
         return Outcome(checkpointed(dataset_summary(scanned, none)), none)
     # Files outside any partition folder lie at the root, so the root is read then.
     folders = [] if "" in names else [f"{PARTITION}={name}" for name in names]
-    counts = checkpointed(file_row_counts(spark, source_dir, *folders))
+    counts = checkpointed(file_row_counts(spark, source_dir, *folders, skip_damaged=True))
     files = by_partition.join(todo, PARTITION, "left_semi")
     log.start(WORKS, n_files, len(names))
     broken = _unreadable(spark, source_dir, files, counts)
@@ -139,7 +139,7 @@ def run_enrich(
             raw = read_corpus(spark, *[f"{source_dir}/{folder}" for folder in folders or [""]], skip_damaged=True)
             value = partition_of(scanned_file(source_dir))
             stage_partitions(enrich(raw).where(value.isin(names)), staged, value)
-        made = file_row_counts(spark, staged) if path_exists(spark, staged) else counts.limit(0)
+        made = file_row_counts(spark, staged, skip_damaged=True) if path_exists(spark, staged) else counts.limit(0)
         key = staged_value(F.regexp_extract("rel_path", rf"(?:\A|/){STAGED_KEY}=([^/]*)/", 1)).alias(PARTITION)
         made = made.groupBy(key).agg(F.sum("n_rows").alias("n_rows"))
         both = row_parity(_per_partition(counts), made, PARTITION)

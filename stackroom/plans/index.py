@@ -60,9 +60,9 @@ def _sound_files(spark: SparkSession, parquet_dir: str, name: str) -> tuple[Data
     """A footer pass over a dataset: ``rel_path, n_rows`` of the files that hold rows, the number
     of all files, and the errors of those that cannot be read."""
     files = checkpointed(file_inventory(spark, parquet_dir, name).select("rel_path").coalesce(LISTING_TASKS))
-    counts = checkpointed(file_row_counts(spark, parquet_dir, name)) if not files.isEmpty() else None
-    if counts is None:
+    if files.isEmpty():
         return files.selectExpr("rel_path", "0L AS n_rows"), 0, {}
+    counts = checkpointed(file_row_counts(spark, parquet_dir, name, skip_damaged=True))
     without = files.join(counts, "rel_path", "left_anti").orderBy("rel_path")
     broken = unreadable_files(spark, parquet_dir, [row["rel_path"] for row in without.collect()])
     return counts, files.count(), broken
